@@ -21,14 +21,17 @@ def distinct_count(df: DataFrame, group: Sequence[str], counted: Sequence[str],
     return pairs.groupBy(*group).agg(F.count_if(present).alias(name))
 
 
-def with_group_total(df: DataFrame, group: Sequence[str], value: Column, name: str) -> DataFrame:
+def with_group_total(
+    df: DataFrame, group: Sequence[str], value: Column, name: str, rows: DataFrame | None = None
+) -> DataFrame:
     """Adds the group's sum to each row, as an aggregate joined back.
 
     The unordered window ``sum().over(partitionBy(group))`` gathers a group in
     one task; the aggregate combines inside the input tasks, and the join back
-    is broadcast or split by AQE.
+    is broadcast or split by AQE. ``rows`` gives the same rows from a cheaper
+    place, such as the stored table ``df`` was derived from.
     """
-    totals = df.groupBy(*group).agg(F.sum(value).alias(name))
+    totals = (df if rows is None else rows).groupBy(*group).agg(F.sum(value).alias(name))
     totals = totals.select([F.col(g).alias(f"_total_{g}") for g in group] + [F.col(name)])
     match = F.lit(True)
     for g in group:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,6 +29,23 @@ def write_clustered(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_rebalanced(
+    df: DataFrame, path: str, partition_by: Sequence[str], cluster_by: Sequence[str], measure: Callable | None = None
+) -> None:
+    """Appends in one pass: rows gathered by ``partition_by`` and ``cluster_by``, sorted inside each file.
+
+    Unlike the range form this needs no sampling pass over the input, so a load
+    computes its rows once. AQE merges small groups and cuts a large one over
+    several tasks. ``measure`` may wrap the frame that is written, behind the
+    last shuffle, where a repeated task is not counted twice.
+    """
+    gathered = df.hint("rebalance", *[F.col(c) for c in [*partition_by, *cluster_by]])
+    placed = gathered.sortWithinPartitions(*partition_by, *cluster_by)
+    if measure is not None:
+        placed = measure(placed)
+    placed.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
 def write_bucketed(df: DataFrame, table: str, buckets: int, keys: Sequence[str], mode: str = "overwrite") -> None:
     """Catalog table bucketed and sorted by ``keys``, so that joins on them need no shuffle."""
     df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(table)

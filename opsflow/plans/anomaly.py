@@ -12,6 +12,7 @@ from opsflow.operators.aggregates import with_group_total
 from opsflow.operators.joins import lookup
 from opsflow.operators.ranking import row_number_at_scale
 from opsflow.operators.rolling import rolling_stats
+from opsflow.session import staged
 
 SERIES = ("sku_id", "warehouse_id")
 
@@ -104,12 +105,17 @@ def ranked(anomalies: DataFrame) -> DataFrame:
     """Adds the rank within category and day and the warehouse's total of the day.
 
     Neither a category nor a warehouse is bounded in size, so the rank comes from
-    range pieces and the total from an aggregate joined back.
+    range pieces and the total from an aggregate joined back. The anomalies are
+    stored first: the range bounds are sampled and the totals summed from them,
+    without running the rolling windows again.
     """
+    anomalies = staged(anomalies, "anomalies")
     by_exposure = [F.col("estimated_variance_usd").desc_nulls_first(), F.col("sku_id"), F.col("warehouse_id")]
     numbered = row_number_at_scale(anomalies, ["category", "transaction_date"], by_exposure, "rank_in_category")
     cents = F.col("estimated_variance_usd").cast("decimal(30,2)")
-    totalled = with_group_total(numbered, ["warehouse_id", "transaction_date"], cents, "warehouse_total_variance_usd")
+    totalled = with_group_total(
+        numbered, ["warehouse_id", "transaction_date"], cents, "warehouse_total_variance_usd", rows=anomalies
+    )
     return totalled.withColumn("warehouse_total_variance_usd", F.col("warehouse_total_variance_usd").cast("double"))
 
 

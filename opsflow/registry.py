@@ -362,10 +362,16 @@ def as_of_state(spark, sf):
     return _quantities(versions.as_of(view(spark, sf, "fx_commit_log"), LOG_KEY, MID_WATERMARK))
 
 
+def _bad_commit(log):
+    """The commit to go back behind: the last one before 20 January."""
+    early = log.where(F.col("commit_ts") < F.lit(datetime(2024, 1, 20)).cast("timestamp_ntz"))
+    return early.agg(F.max("commit_id")).first()[0]
+
+
 @query
 def as_of_before_commit(spark, sf):
     log = view(spark, sf, "fx_commit_log")
-    return _quantities(versions.before_commit(log.drop("channel"), ["sku_id"], 500))
+    return _quantities(versions.before_commit(log.drop("channel"), ["sku_id"], _bad_commit(log)))
 
 
 @query
@@ -376,7 +382,7 @@ def added_since(spark, sf):
 @query
 def restore_state(spark, sf):
     log = view(spark, sf, "fx_commit_log")
-    return _quantities(versions.restore(log, LOG_KEY, 750, work_path(spark, "restored")))
+    return _quantities(versions.restore(log, LOG_KEY, _bad_commit(log), work_path(spark, "restored")))
 
 
 # --- daily summary ---------------------------------------------------------

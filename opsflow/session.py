@@ -33,15 +33,16 @@ def build_session(app_name: str = "opsflow", master: str | None = None, **extra:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a temporary folder,
-    which is then remembered in the setting.
+    Only a local session without that setting (a test) gets a temporary folder,
+    which the context then remembers as its checkpoint folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="opsflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="opsflow-"))
+        folder = context.getCheckpointDir()
     return folder
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from opsflow.operators.layout import write_clustered
+from opsflow.operators.layout import write_rebalanced
 from opsflow.schemas import conform
 
 
@@ -76,18 +76,13 @@ def append_table(
     df: DataFrame,
     path: str,
     schema: StructType,
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
-    spread_by: Sequence[str] = (),
 ) -> int:
-    """Appends ``df`` in the declared types and returns the rows written, counted by the write itself."""
+    """Appends ``df`` in the declared types and returns the rows written, counted by the writing tasks."""
     loaded = Observation()
-    rows = conform(df, schema).observe(loaded, F.count(F.lit(1)).alias("rows"))
-    if cluster_by:
-        write_clustered(rows, path, cluster_by, partition_by, spread_by)
-    else:
-        writer = rows.write.mode("append")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    count = F.count(F.lit(1)).alias("rows")
+    write_rebalanced(conform(df, schema), path, partition_by, cluster_by, lambda rows: rows.observe(loaded, count))
     return loaded.get["rows"]
 
 

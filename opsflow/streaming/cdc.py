@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
@@ -117,8 +118,13 @@ def run_cdc_stream(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            merge_batch(batch, batch_id, table, run_ts)
+        # The batch is read for its buckets and for its rows; keep it instead of reading the source twice.
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not batch.isEmpty():
+                merge_batch(batch, batch_id, table, run_ts)
+        finally:
+            batch.unpersist()
 
     writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -14,7 +14,8 @@ def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     sort-merge join cannot be split when one key (or the NULL key, which never
     matches) holds a large share of the rows; both halves here can, because AQE
     may cut the preserved side of either. Several rows per key multiply as in
-    any outer join.
+    any outer join. Both inputs are read twice, so they should be stored tables
+    rather than long plans.
     """
     l = left.select([F.col(c).alias(f"l_{c}") for c in left.columns])
     r = right.select([F.col(c).alias(f"r_{c}") for c in right.columns])

@@ -106,8 +106,24 @@ def variance_severity(gross: Column) -> Column:
 def classified(
     ap_lines: DataFrame, gl_lines: DataFrame, vendors: DataFrame, start: date, end: date
 ) -> DataFrame:
-    """Every reconciled invoice with vendor data, discrepancy type, severity and variance %."""
-    rows = reconciled(wms_invoices(ap_lines, start, end), erp_invoices(gl_lines, start, end))
+    """Every reconciled invoice with vendor data, discrepancy type, severity and variance %.
+
+    The two roll-ups are written by one job, so that each ledger's lines are
+    scanned and shuffled a single time for both halves of the outer join.
+    """
+    wms = wms_invoices(ap_lines, start, end)
+    erp = erp_invoices(gl_lines, start, end)
+    both = staged(
+        wms.withColumn("ledger", F.lit("WMS")).unionByName(
+            erp.withColumn("ledger", F.lit("ERP")), allowMissingColumns=True
+        ),
+        "ledgers",
+        partition_by=["ledger"],
+    )
+    rows = reconciled(
+        both.where(F.col("ledger") == "WMS").select(*wms.columns),
+        both.where(F.col("ledger") == "ERP").select(*erp.columns),
+    )
     named = lookup(
         rows,
         vendors.select("vendor_id", "vendor_name", "vendor_category", "payment_terms"),

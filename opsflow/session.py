@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +52,7 @@ def work_path(spark: SparkSession, label: str) -> str:
     return posixpath.join(shared_dir(spark), "opsflow", f"{label}-{uuid.uuid4().hex}")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` written once below the shared folder and read back.
 
     Used where one result feeds several branches, or where row placement must be
@@ -60,5 +61,6 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

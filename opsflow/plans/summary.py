@@ -12,13 +12,24 @@ from opsflow.functions.numeric import mean
 from opsflow.operators.changes import ACTION
 
 KEYS = ("snapshot_day", "warehouse_id", "sku_id", "category")
-# An average cannot be merged, so the state keeps its sum and count. ``row_count``
-# tells when deletions have emptied a group.
-PARTS = ("total_received", "total_shipped", "cost_sum", "cost_count", "row_count")
+# An average cannot be merged, so the state keeps its sum and count. The counts
+# beside the totals tell a total of nothing (NULL) from a total of zero, and
+# ``row_count`` tells when deletions have emptied a group.
+PARTS = (
+    "total_received",
+    "received_count",
+    "total_shipped",
+    "shipped_count",
+    "cost_sum",
+    "cost_count",
+    "row_count",
+)
 COUNTED_TYPES = ("RECEIPT", "SHIPMENT")
 STATE_TYPES = {
     "total_received": "decimal(38,4)",
+    "received_count": "bigint",
     "total_shipped": "decimal(38,4)",
+    "shipped_count": "bigint",
     "cost_sum": "decimal(38,4)",
     "cost_count": "bigint",
     "row_count": "bigint",
@@ -29,9 +40,13 @@ def summary_state(movements: DataFrame, sign: Column | None = None) -> DataFrame
     """Sums and counts per day, warehouse, SKU and category; ``sign`` is −1 for removed rows."""
     unit = F.lit(1) if sign is None else sign
     kind, quantity, cost = F.col("transaction_type"), F.col("quantity"), F.col("unit_cost")
+    received = F.when(kind == "RECEIPT", quantity).otherwise(F.lit(0))
+    shipped = F.when(kind == "SHIPMENT", quantity).otherwise(F.lit(0))
     amounts = {
-        "total_received": F.when(kind == "RECEIPT", quantity * unit).otherwise(F.lit(0)),
-        "total_shipped": F.when(kind == "SHIPMENT", quantity * unit).otherwise(F.lit(0)),
+        "total_received": F.coalesce(received * unit, F.lit(0)),
+        "received_count": received.isNotNull().cast("int") * unit,
+        "total_shipped": F.coalesce(shipped * unit, F.lit(0)),
+        "shipped_count": shipped.isNotNull().cast("int") * unit,
         "cost_sum": F.coalesce(cost * unit, F.lit(0)),
         "cost_count": cost.isNotNull().cast("int") * unit,
         "row_count": unit,
@@ -65,12 +80,14 @@ def refresh(state: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 def summary_view(state: DataFrame) -> DataFrame:
-    """The report columns of a state."""
+    """The report columns of a state; a total without any known quantity is NULL."""
+    received = F.when(F.col("received_count") > 0, F.col("total_received"))
+    shipped = F.when(F.col("shipped_count") > 0, F.col("total_shipped"))
     return state.select(
         *KEYS,
-        F.col("total_received").cast("double").alias("total_received"),
-        F.col("total_shipped").cast("double").alias("total_shipped"),
-        (F.col("total_received") - F.col("total_shipped")).cast("double").alias("net_movement"),
+        received.cast("double").alias("total_received"),
+        shipped.cast("double").alias("total_shipped"),
+        (received - shipped).cast("double").alias("net_movement"),
         mean(F.col("cost_sum"), F.col("cost_count")).alias("avg_unit_cost"),
     )
 

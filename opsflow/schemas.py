@@ -75,7 +75,9 @@ SUMMARY_STATE = table(
     sku_id=TEXT,
     category=TEXT,
     total_received=TOTAL,
+    received_count=LONG,
     total_shipped=TOTAL,
+    shipped_count=LONG,
     cost_sum=TOTAL,
     cost_count=LONG,
     row_count=LONG,

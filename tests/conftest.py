@@ -16,6 +16,7 @@ def test_session():
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="5000",
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

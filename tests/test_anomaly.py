@@ -1,7 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
-from hypothesis import HealthCheck, given, settings, strategies as st
+from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from helpers import D, by_key, rows
@@ -57,7 +57,7 @@ def test_frame_without_the_current_row_can_reach_critical(spark):
     assert z(False) < 3 <= z(True)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(0, 10_000), min_size=2, max_size=20))
 def test_z_is_bounded_by_the_frame(spark, quantities):
     # (n - 1) / sqrt(n) for a sample of n = 7 that holds the value itself.

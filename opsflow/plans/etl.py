@@ -69,21 +69,34 @@ def modified_since(movements: DataFrame, watermark: datetime) -> DataFrame:
     return movements.where((F.col("modified_date") >= naive(watermark)) & (F.col("transaction_status") != "VOIDED"))
 
 
-def extract(sources: Sources, watermark: datetime) -> DataFrame:
-    """Changed movements with SKU and warehouse names; movements without either record drop out."""
+def clean_names(df: DataFrame) -> DataFrame:
+    """Name columns trimmed and in title case."""
+    return df.withColumns({c: title_case(F.col(c)) for c in df.columns if c.upper() in TEXT_COLUMNS})
+
+
+def extract(sources: Sources, watermark: datetime, tidy: bool = False) -> DataFrame:
+    """Changed movements with SKU and warehouse names; movements without either record drop out.
+
+    ``tidy`` cleans the names in the two dimension tables, once per SKU and
+    warehouse, so that :func:`transform` need not clean them once per movement.
+    """
     rows = modified_since(sources.movements, watermark).drop("transaction_status")
-    with_sku = lookup(rows, sources.skus.select(*SKU_COLUMNS.values()), {"sku_id": "sku_id"})
-    return lookup(with_sku, sources.warehouses.select(*WAREHOUSE_COLUMNS.values()), {"warehouse_id": "warehouse_id"})
+    skus, warehouses = sources.skus.select(*SKU_COLUMNS.values()), sources.warehouses.select(*WAREHOUSE_COLUMNS.values())
+    if tidy:
+        skus, warehouses = clean_names(skus), clean_names(warehouses)
+    return lookup(lookup(rows, skus, {"sku_id": "sku_id"}), warehouses, {"warehouse_id": "warehouse_id"})
 
 
 def signed_quantity(kind: Column, quantity: Column) -> Column:
     return F.when(kind.isin(*OUTBOUND_TYPES), -F.abs(quantity)).otherwise(F.abs(quantity))
 
 
-def transform(raw: DataFrame, run_ts: datetime, dropped: Observation | None = None) -> DataFrame:
+def transform(
+    raw: DataFrame, run_ts: datetime, dropped: Observation | None = None, tidy: bool = False
+) -> DataFrame:
     """Cleansed rows in the staging table's columns.
 
-    ``dropped`` receives, as ``rows``, how many rows had no quantity or no readable date.
+    ``tidy`` says that the names are clean already. ``dropped`` receives, as ``rows``, how many rows had no quantity or no readable date.
     """
     upper = raw.toDF(*[c.upper() for c in raw.columns])
     kinds = {f.name: f.dataType for f in upper.schema}
@@ -114,10 +127,16 @@ def transform(raw: DataFrame, run_ts: datetime, dropped: Observation | None = No
             "TRANSACTION_MONTH": F.month(when),
             "TRANSACTION_WEEK": F.weekofyear(when),
             "ROW_HASH": row_hash([F.col(c) for c in HASHED_COLUMNS]),
-            **{c: title_case(F.col(c)) for c in TEXT_COLUMNS},
         }
     )
-    return conform(derived, STAGED_INVENTORY)
+    return conform(derived if tidy else clean_names(derived), STAGED_INVENTORY)
+
+
+def cleansed(
+    sources: Sources, watermark: datetime, run_ts: datetime, dropped: Observation | None = None
+) -> DataFrame:
+    """Extract and transform in one plan, names cleaned before the joins."""
+    return transform(extract(sources, watermark, tidy=True), run_ts, dropped, tidy=True)
 
 
 def not_yet_loaded(rows: DataFrame, target: DataFrame, watermark: datetime) -> DataFrame:
@@ -161,7 +180,7 @@ def run_pipeline(
     watermark = previous or run.run_ts - timedelta(days=LOOKBACK_DAYS)
     try:
         dropped = Observation()
-        rows = transform(extract(sources, watermark), run.run_ts, dropped)
+        rows = cleansed(sources, watermark, run.run_ts, dropped)
         if skip_loaded and previous is not None:
             rows = not_yet_loaded(rows, spark.read.schema(STAGED_INVENTORY).parquet(target_path), watermark)
         loaded = append_table(

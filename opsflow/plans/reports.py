@@ -35,19 +35,30 @@ class Report:
         return "_".join(self.name.lower().split())
 
 
-INVENTORY_SUMMARY_SQL = """
-    SELECT
-        warehouse_name,
-        category,
-        count(DISTINCT sku_id) AS total_skus,
-        cast(sum(quantity_on_hand) AS double) AS total_qty_on_hand,
-        cast(sum(quantity_on_hand * unit_cost) AS double) AS inventory_value_usd,
-        count_if(quantity_on_hand < reorder_point) AS skus_below_reorder
-    FROM {inventory_snapshot}
-    WHERE snapshot_date = cast(:snapshot_date AS date)
-    GROUP BY warehouse_name, category
-    ORDER BY inventory_value_usd DESC NULLS FIRST, warehouse_name, category
-"""
+def inventory_summary(tables: Mapping[str, DataFrame], params: Mapping[str, str]) -> DataFrame:
+    """SKUs, quantity, value and rows below the reorder point per warehouse and category of one day."""
+    stock, on_hand = tables["inventory_snapshot"], F.col("quantity_on_hand")
+    per_sku = (
+        stock.where(F.col("snapshot_date") == F.lit(params["snapshot_date"]).cast("date"))
+        .groupBy("warehouse_name", "category", "sku_id")
+        .agg(
+            F.sum(on_hand).alias("qty"),
+            F.sum(on_hand * F.col("unit_cost")).alias("value"),
+            F.count_if(on_hand < F.col("reorder_point")).alias("below"),
+        )
+    )
+    # One row per SKU by now, so counting rows counts SKUs.
+    return (
+        per_sku.groupBy("warehouse_name", "category")
+        .agg(
+            F.count("sku_id").alias("total_skus"),
+            F.sum("qty").cast("double").alias("total_qty_on_hand"),
+            F.sum("value").cast("double").alias("inventory_value_usd"),
+            F.sum("below").alias("skus_below_reorder"),
+        )
+        .orderBy(F.col("inventory_value_usd").desc_nulls_first(), "warehouse_name", "category")
+    )
+
 
 SCORECARD_EXTRACT_SQL = """
     SELECT supplier_name, on_time_delivery_pct, fill_rate_pct, defect_rate_pct, composite_score, supplier_status
@@ -59,7 +70,7 @@ SCORECARD_EXTRACT_SQL = """
 CATALOGUE: tuple[Report, ...] = (
     Report(
         "Daily Inventory Summary",
-        INVENTORY_SUMMARY_SQL,
+        inventory_summary,
         {"snapshot_date": "today"},
         ("procurement@example.com", "operations@example.com"),
         "0 7 * * 1-5",

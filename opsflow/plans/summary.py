@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from opsflow.context import months_back
 from opsflow.functions.dates import day
 from opsflow.functions.numeric import mean
 from opsflow.operators.changes import ACTION
+from opsflow.schemas import SUMMARY_STATE
+from opsflow.session import staged
+from opsflow.sources.commits import apply_once, data_path
+from opsflow.sources.tables import read_or_empty
 
 KEYS = ("snapshot_day", "warehouse_id", "sku_id", "category")
 # An average cannot be merged, so the state keeps its sum and count. The counts
@@ -68,10 +73,13 @@ def state_of_changes(feed: DataFrame) -> DataFrame:
     return summary_state(feed, F.when(F.col(ACTION) == "INSERT", 1).otherwise(-1))
 
 
+def _summed(states: DataFrame) -> DataFrame:
+    return states.groupBy(*KEYS).agg(*[F.sum(p).cast(STATE_TYPES[p]).alias(p) for p in PARTS])
+
+
 def merge_states(states: DataFrame) -> DataFrame:
     """One row per group from any number of partial states; emptied groups disappear."""
-    merged = states.groupBy(*KEYS).agg(*[F.sum(p).cast(STATE_TYPES[p]).alias(p) for p in PARTS])
-    return merged.where(F.col("row_count") > 0)
+    return _summed(states).where(F.col("row_count") > 0)
 
 
 def refresh(state: DataFrame, delta: DataFrame) -> DataFrame:
@@ -79,6 +87,29 @@ def refresh(state: DataFrame, delta: DataFrame) -> DataFrame:
     return merge_states(state.select(*KEYS, *PARTS).unionByName(delta.select(*KEYS, *PARTS)))
 
 
+def refresh_table(path: str, delta: DataFrame, batch_id: int, schema: StructType = SUMMARY_STATE) -> None:
+    """Adds a partial state to the stored summary, reading and rewriting only the days it touches.
+
+    Applied once per ``batch_id``. Groups emptied by deletions stay as rows with a
+    count of zero, so that a day that loses all its groups is overwritten too.
+    """
+    spark = delta.sparkSession
+
+    def rewritten() -> DataFrame:
+        # Read for its days and for its rows, so it is worked out once. The driver gets one value per day.
+        added = staged(delta.select(*KEYS, *PARTS), "summary-delta")
+        days = [r[0] for r in added.select("snapshot_day").distinct().collect()]
+        stored = read_or_empty(spark, data_path(path), schema).where(F.col("snapshot_day").isin(days))
+        return _summed(stored.select(*KEYS, *PARTS).unionByName(added))
+
+    apply_once(spark, path, batch_id, ["snapshot_day"], schema, rewritten)
+
+
+def read_state(spark: SparkSession, path: str, schema: StructType = SUMMARY_STATE) -> DataFrame:
+    """The stored state; a filter on ``snapshot_day`` prunes its partitions."""
+    return read_or_empty(spark, data_path(path), schema).where(F.col("row_count") > 0)
+
+
 def summary_view(state: DataFrame) -> DataFrame:
     """The report columns of a state; a total without any known quantity is NULL."""
     received = F.when(F.col("received_count") > 0, F.col("total_received"))

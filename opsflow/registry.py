@@ -16,8 +16,8 @@ from opsflow.functions.text import starts_with_match
 from opsflow.functions.numeric import lenient_double
 from opsflow.operators import changes as chg, flatten, joins, layout, masking, quality as dq, ranking, rolling, versions
 from opsflow.plans import anomaly, close, etl, reconcile, reports, scorecard, summary
-from opsflow.schemas import DELIVERY_LOG, INVENTORY_FACT, MONTHLY_CLOSE, STAGED_INVENTORY, conform
-from opsflow.session import work_path
+from opsflow.schemas import DELIVERY_LOG, INVENTORY_FACT, MONTHLY_CLOSE, RUN_LOG, STAGED_INVENTORY, conform
+from opsflow.session import staged, work_path
 from opsflow.sources.logs import delivery_manifest
 from opsflow.sources.views import view
 from opsflow.streaming import cdc, load, summary as summary_stream
@@ -164,6 +164,17 @@ def recon_classified(spark, sf):
     )
 
 
+@query
+def result_reuse(spark, sf):
+    """One stored result read by several follow-up questions."""
+    rows = staged(reconcile.classified(*_ledgers(spark, sf), LEDGER_START, LEDGER_END), "classified")
+    vendors = rows.select("vendor_id").distinct().agg(F.count("vendor_id").alias("vendors"))
+    counts = rows.agg(
+        F.count("*").alias("rows_found"), F.count_if(F.col("discrepancy_type") != "MATCHED").alias("exceptions")
+    )
+    return counts.withColumn("vendors", vendors.scalar())
+
+
 @query
 def recon_duplicate_keys(spark, sf):
     ap = view(spark, sf, "fx_ap_invoices")
@@ -180,7 +191,7 @@ def _sources(spark, sf, **replaced):
 
 
 def _transformed(spark, sf, watermark):
-    return etl.transform(etl.extract(_sources(spark, sf), watermark), RUN_TS)
+    return etl.cleansed(_sources(spark, sf), watermark, RUN_TS)
 
 
 def _staging_values(rows):
@@ -200,8 +211,7 @@ def etl_incremental(spark, sf):
     return rows.select("transaction_id", "sku_id", "warehouse_id", "transaction_type", "modified_date")
 
 
-@query
-def etl_pipeline_run(spark, sf):
+def _two_runs(spark, sf):
     """Two logged runs into one table: up to the middle of the month, then what changed since."""
     root = work_path(spark, "etl")
     target, log = posixpath.join(root, "target"), posixpath.join(root, "log")
@@ -213,7 +223,18 @@ def etl_pipeline_run(spark, sf):
     )
     etl.run_pipeline(first_half, target, log, RunContext.at(MID_WATERMARK), full_load=True)
     etl.run_pipeline(sources, target, log, RunContext.at(RUN_TS), skip_loaded=True)
-    loaded = spark.read.schema(STAGED_INVENTORY).parquet(target)
+    return spark.read.schema(STAGED_INVENTORY).parquet(target), spark.read.schema(RUN_LOG).parquet(log)
+
+
+@query
+def etl_run_log(spark, sf):
+    _, log = _two_runs(spark, sf)
+    return log.drop("error_message")
+
+
+@query
+def etl_pipeline_run(spark, sf):
+    loaded, _ = _two_runs(spark, sf)
     return loaded.groupBy("TRANSACTION_YEAR", "TRANSACTION_MONTH", "WAREHOUSE_ID", "LOAD_TIMESTAMP").agg(
         F.count("*").alias("ROWS_LOADED"),
         F.count_distinct("ROW_HASH").alias("DISTINCT_ROWS"),
@@ -255,6 +276,15 @@ def dq_results(spark, sf):
     return _report(spark, sf).results_frame(spark).where(F.col("status") != dq.SKIPPED).drop("description")
 
 
+@query
+def dq_export(spark, sf):
+    """The report written as CSV with a header and read back."""
+    path = work_path(spark, "dq-csv")
+    _report(spark, sf).write_csv(spark, path)
+    back = spark.read.option("header", True).schema(dq.RESULT_SCHEMA).csv(path)
+    return back.where(F.col("status") != dq.SKIPPED).drop("description")
+
+
 @query
 def dq_summary(spark, sf):
     return _report(spark, sf).summary_frame(spark)
@@ -423,6 +453,18 @@ def daily_summary_from_changes(spark, sf):
     return summary.summary_view(summary.refresh(stored, delta))
 
 
+@query
+def daily_summary_table(spark, sf):
+    """A stored summary refreshed twice, one part of the month at a time, and each refresh repeated."""
+    rows = _movements(spark, sf)
+    early = F.col("transaction_date") < F.lit(MID_WATERMARK).cast("timestamp_ntz")
+    path = work_path(spark, "summary-table")
+    for batch_id, part in enumerate((early, ~early)):
+        for _ in range(2):
+            summary.refresh_table(path, summary.summary_state(rows.where(part)), batch_id)
+    return summary.summary_view(summary.read_state(spark, path))
+
+
 def _event_stream(spark, sf, name):
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     load.file_stream(spark, sf, schema, name_glob="events.parquet").createOrReplaceTempView(name)
@@ -431,7 +473,7 @@ def _event_stream(spark, sf, name):
 
 @query
 def daily_summary_stream(spark, sf):
-    rows = etl.transform(etl.extract(_event_stream(spark, sf, "opsflow_event_stream"), WATERMARK), RUN_TS)
+    rows = etl.cleansed(_event_stream(spark, sf, "opsflow_event_stream"), WATERMARK, RUN_TS)
     rows = rows.toDF(*[c.lower() for c in rows.columns])
     root = work_path(spark, "summary")
     path = posixpath.join(root, "partials")
@@ -439,6 +481,19 @@ def daily_summary_stream(spark, sf):
     return summary.summary_view(summary_stream.read_summary_state(spark, path))
 
 
+@query
+def daily_summary_windowed(spark, sf):
+    """Event-time windows: the days the watermark has closed."""
+    rows = etl.cleansed(_event_stream(spark, sf, "opsflow_window_stream"), WATERMARK, RUN_TS)
+    windows = summary_stream.windowed_summary(rows.toDF(*[c.lower() for c in rows.columns]), "1 day")
+    root = work_path(spark, "windowed")
+    writer = windows.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+    path = posixpath.join(root, "out")
+    writer.option("path", path).option("checkpointLocation", posixpath.join(root, "cp")).start().awaitTermination()
+    amounts = ("total_received", "total_shipped", "net_movement", "avg_unit_cost")
+    return spark.read.schema(windows.schema).parquet(path).withColumns({c: F.col(c).cast("double") for c in amounts})
+
+
 @query
 def etl_stream(spark, sf):
     root = work_path(spark, "etl-stream")

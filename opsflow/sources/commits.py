@@ -1,0 +1,59 @@
+"""Partition rewrites that are applied exactly once per batch number.
+
+One batch is applied in two steps, each noted in a commit log: the new partitions
+are staged in full, then copied over the table's partitions. A restart repeats
+the copy from the staged rows if the first step was done, so a half-copied table
+is repaired and no batch is worked into the table twice.
+"""
+
+from __future__ import annotations
+
+import posixpath
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from opsflow.schemas import COMMITS
+from opsflow.sources.tables import read_or_empty, replace_partitions
+
+STAGED, APPLIED = "STAGED", "APPLIED"
+
+
+def data_path(root: str) -> str:
+    return posixpath.join(root, "data")
+
+
+def commit_states(spark: SparkSession, root: str, batch_id: int) -> set[str]:
+    """Steps of this batch that are done; at most two rows reach the driver."""
+    log = read_or_empty(spark, posixpath.join(root, "commits"), COMMITS)
+    return {r["state"] for r in log.where(F.col("batch_id") == batch_id).select("state").distinct().collect()}
+
+
+def _note(spark: SparkSession, root: str, batch_id: int, state: str) -> None:
+    entry = spark.createDataFrame([(batch_id, state)], COMMITS)
+    entry.coalesce(1).write.mode("append").parquet(posixpath.join(root, "commits"))
+
+
+def apply_once(
+    spark: SparkSession,
+    root: str,
+    batch_id: int,
+    partition_by: Sequence[str],
+    schema: StructType,
+    rewritten: Callable[[], DataFrame],
+) -> None:
+    """Replaces the partitions that ``rewritten()`` has rows for, once for this batch number.
+
+    ``rewritten`` may read the table's own data. It must have a row for every
+    partition it means to replace; a mark row does for one that is now empty.
+    """
+    done = commit_states(spark, root, batch_id)
+    if APPLIED in done:
+        return
+    stage = posixpath.join(root, "staging", f"batch-{batch_id}")
+    if STAGED not in done:
+        rewritten().select(*schema.names).write.mode("overwrite").parquet(stage)
+        _note(spark, root, batch_id, STAGED)
+    replace_partitions(spark.read.schema(schema).parquet(stage), data_path(root), partition_by)
+    _note(spark, root, batch_id, APPLIED)

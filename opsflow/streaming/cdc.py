@@ -1,35 +1,26 @@
 """Change micro-batches merged into a fact table.
 
 The fact is stored in ``buckets`` directories by key hash, so a batch reads and
-rewrites only the buckets its keys fall in, and never hot ones: keys are unique.
-A table whose partition columns cannot change for a key (a load month in the key,
-say) may be partitioned by those instead.
-
-One batch is applied in two steps, each recorded in a commit log: the merged
-buckets are staged in full, then copied over the table's buckets. A restart
-repeats the copy from the staged rows if the first step was done, so a half
-copied table is repaired and a batch is never merged twice.
+rewrites only the buckets its keys fall in. Keys are unique, so no bucket is hot.
 """
 
 from __future__ import annotations
 
-import posixpath
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from opsflow.functions.dates import naive
 from opsflow.operators.changes import apply_net, net_changes
-from opsflow.schemas import COMMITS
-from opsflow.sources.tables import read_or_empty, replace_partitions
+from opsflow.sources.commits import apply_once, data_path
+from opsflow.sources.tables import read_or_empty
 
 BUCKET, DELETED = "_bucket", "_deleted"
-STAGED, APPLIED = "STAGED", "APPLIED"
 
 
 @dataclass(frozen=True)
@@ -46,63 +37,41 @@ class FactTable:
 
     @property
     def stored_schema(self) -> StructType:
-        return StructType(
-            [*self.schema, StructField(DELETED, BooleanType()), StructField(BUCKET, IntegerType())]
-        )
+        return StructType([*self.schema, StructField(DELETED, BooleanType()), StructField(BUCKET, IntegerType())])
 
-    @property
-    def data_path(self) -> str:
-        return posixpath.join(self.path, "data")
-
-    @property
-    def commit_path(self) -> str:
-        return posixpath.join(self.path, "commits")
-
-    def stage_path(self, batch_id: int) -> str:
-        return posixpath.join(self.path, "staging", f"batch-{batch_id}")
-
-    def bucket_of(self, key: str):
+    def bucket_of(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
+    def stored(self, spark: SparkSession) -> DataFrame:
+        return read_or_empty(spark, data_path(self.path), self.stored_schema)
+
     def read(self, spark: SparkSession) -> DataFrame:
         """Current rows. Removed rows stay as marks until their bucket is next rewritten."""
-        stored = read_or_empty(spark, self.data_path, self.stored_schema)
-        return stored.where(~F.col(DELETED)).select(*self.schema.names)
-
-
-def commit_state(spark: SparkSession, table: FactTable, batch_id: int) -> set[str]:
-    log = read_or_empty(spark, table.commit_path, COMMITS)
-    return {r["state"] for r in log.where(F.col("batch_id") == batch_id).select("state").distinct().collect()}
-
-
-def _commit(spark: SparkSession, table: FactTable, batch_id: int, state: str) -> None:
-    spark.createDataFrame([(batch_id, state)], COMMITS).coalesce(1).write.mode("append").parquet(table.commit_path)
+        return self.stored(spark).where(~F.col(DELETED)).select(*self.schema.names)
 
 
 def merge_batch(feed: DataFrame, batch_id: int, table: FactTable, run_ts: datetime) -> None:
     """Applies one batch of changes once, whatever was left by an earlier attempt."""
-    spark = feed.sparkSession
-    done = commit_state(spark, table, batch_id)
-    if APPLIED in done:
-        return
-    if STAGED not in done:
-        _merged_buckets(feed, table, run_ts).write.mode("overwrite").parquet(table.stage_path(batch_id))
-        _commit(spark, table, batch_id, STAGED)
-    ready = spark.read.schema(table.stored_schema).parquet(table.stage_path(batch_id))
-    replace_partitions(ready, table.data_path, [BUCKET])
-    _commit(spark, table, batch_id, APPLIED)
+    apply_once(
+        feed.sparkSession,
+        table.path,
+        batch_id,
+        [BUCKET],
+        table.stored_schema,
+        lambda: _merged_buckets(feed, table, run_ts),
+    )
 
 
 def _merged_buckets(feed: DataFrame, table: FactTable, run_ts: datetime) -> DataFrame:
-    spark = feed.sparkSession
     net = net_changes(feed, table.key, table.sequence)
     # At most ``buckets`` small integers come to the driver; they prune the scan below.
     touched = [r[0] for r in feed.select(table.bucket_of(table.key).alias(BUCKET)).distinct().collect()]
-    stored = read_or_empty(spark, table.data_path, table.stored_schema)
-    current = stored.where(F.col(BUCKET).isin(touched) & ~F.col(DELETED)).select(*table.schema.names)
-    merged = apply_net(current, net, table.key, table.update_columns, naive(run_ts), table.stamp_column)
+    live = table.stored(feed.sparkSession).where(F.col(BUCKET).isin(touched) & ~F.col(DELETED))
+    merged = apply_net(
+        live.select(*table.schema.names), net, table.key, table.update_columns, naive(run_ts), table.stamp_column
+    )
     # A removed row is written as a mark, so a bucket that loses its last row is still overwritten.
-    return merged.withColumn(BUCKET, table.bucket_of(table.key)).select(*table.stored_schema.names)
+    return merged.withColumn(BUCKET, table.bucket_of(table.key))
 
 
 def run_cdc_stream(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from opsflow.plans.etl import Sources, extract, transform
+from opsflow.plans.etl import Sources, cleansed
 
 
 def file_stream(
@@ -32,7 +32,7 @@ def run_load_stream(
     every: str | None = None,
 ) -> StreamingQuery:
     """Cleanses a stream of movements into the staging table; the file sink writes each batch exactly once."""
-    rows = transform(extract(sources, earliest), run_ts)
+    rows = cleansed(sources, earliest, run_ts)
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy("TRANSACTION_YEAR", "TRANSACTION_MONTH")

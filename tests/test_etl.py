@@ -96,6 +96,11 @@ def test_missing_optional_columns(spark):
     assert got["REFERENCE_NUMBER"] is None and got["MODIFIED_DATE"] is None
 
 
+def test_names_cleaned_before_the_join_give_the_same_rows(spark):
+    src = sources(spark, [move("a"), move("b", " ship ")])
+    assert rows(etl.cleansed(src, ts("2024-01-01"), RUN)) == rows(etl.transform(etl.extract(src, ts("2024-01-01")), RUN))
+
+
 def test_source_names(spark):
     df = spark.createDataFrame([("S1", "bolt", "tools", "EA")], "SKU_ID string, SKUName string, Category string, UOM string")
     assert etl.renamed(df, etl.SKU_COLUMNS).columns == ["sku_id", "sku_name", "category", "unit_of_measure"]

@@ -5,6 +5,7 @@ from helpers import D, rows, ts
 from opsflow.operators import changes as chg
 from opsflow.plans import etl, summary
 from opsflow.schemas import STAGED_INVENTORY, conform
+from opsflow.sources import commits
 from opsflow.sources.tables import replace_partitions
 from opsflow.sources.views import view
 from opsflow.streaming import cdc, load, summary as stream_summary
@@ -105,11 +106,11 @@ def test_replay_and_half_finished_batches(spark, tmp_path, monkeypatch):
         replace_partitions(df.where(F.col("_bucket") < 2), path, partition_by)
         raise RuntimeError("lost the driver")
 
-    monkeypatch.setattr(cdc, "replace_partitions", half)
+    monkeypatch.setattr(commits, "replace_partitions", half)
     with pytest.raises(RuntimeError):
         cdc.merge_batch(feed, 1, table, RUN)
     monkeypatch.undo()
-    assert cdc.commit_state(spark, table, 1) == {"STAGED"}
+    assert commits.commit_states(spark, table.path, 1) == {"STAGED"}
     cdc.merge_batch(feed, 1, table, RUN)
     wanted = [(i, "x", 70, RUN) for i in range(8)]
     assert rows(table.read(spark)) == wanted

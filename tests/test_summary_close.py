@@ -57,6 +57,21 @@ def test_changes_move_the_summary(spark, old, new):
     assert rows(summary.summary_view(moved)) == rows(summary.daily_summary(after))
 
 
+def test_stored_summary_rewrites_touched_days_only(spark, tmp_path):
+    path = str(tmp_path / "s")
+    content = {i: (1 + i % 3, "A", "RECEIPT", i, 1) for i in range(6)}
+    before = moves(spark, content)
+    summary.refresh_table(path, summary.summary_state(before), 0)
+    untouched = sorted((tmp_path / "s" / "data" / "snapshot_day=2024-01-02").iterdir())
+    # Day 1 loses all its rows, day 3 gains one.
+    after = moves(spark, {**{i: m for i, m in content.items() if m[0] != 1}, 9: (3, "B", "SHIPMENT", 4, 2)})
+    delta = summary.state_of_changes(chg.changes(before, after, "id"))
+    for _ in range(2):
+        summary.refresh_table(path, delta, 1)
+    assert rows(summary.summary_view(summary.read_state(spark, path))) == rows(summary.daily_summary(after))
+    assert sorted((tmp_path / "s" / "data" / "snapshot_day=2024-01-02").iterdir()) == untouched
+
+
 def test_recent_days_newest_first(spark):
     df = moves(spark, {i: (i, "A", "RECEIPT", 1, 1) for i in (1, 2, 3)})
     got = summary.recent_summary(summary.daily_summary(df), date(2024, 4, 2))

@@ -16,33 +16,26 @@ def changes(before: DataFrame, after: DataFrame, key: str, append_only: bool = F
     """Rows that turn ``before`` into ``after``.
 
     An update is a DELETE of the old row and an INSERT of the new one, both
-    marked ``is_update``. ``key`` is unique in both versions. ``append_only``
-    keeps plain inserts alone.
+    marked ``is_update``. ``key`` is unique in both versions, a NULL counting as
+    one key. ``append_only`` keeps plain inserts alone.
     """
-    values = [c for c in after.columns if c != key]
+    columns = after.columns
+    old = before.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"))
+    new = after.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("_new"))
+    same_key = F.col("_old_key").eqNullSafe(F.col("_new_key"))
     if append_only:
-        fresh = after.join(before.select(key), key, "left_anti")
-        return fresh.select(*after.columns, _image("INSERT", False)[0], _image("INSERT", False)[1])
-    old = before.select(F.col(key).alias("_old_key"), F.struct(*values).alias("_old"))
-    new = after.select(F.col(key).alias("_new_key"), F.struct(*values).alias("_new"))
-    paired = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer").where(
-        F.col("_old_key").isNull() | F.col("_new_key").isNull() | ~F.col("_old").eqNullSafe(F.col("_new"))
-    )
-    both = F.col("_old_key").isNotNull() & F.col("_new_key").isNotNull()
-    images = F.array(
-        F.struct(F.col("_old_key").alias("k"), F.col("_old").alias("v"), F.lit("DELETE").alias("a")),
-        F.struct(F.col("_new_key").alias("k"), F.col("_new").alias("v"), F.lit("INSERT").alias("a")),
-    )
-    return (
-        paired.select(both.alias(IS_UPDATE), F.explode(images).alias("_image"))
-        .where(F.col("_image.k").isNotNull())
-        .select(
-            F.col("_image.k").alias(key),
-            *[F.col("_image.v")[c].alias(c) for c in values],
-            F.col("_image.a").alias(ACTION),
-            IS_UPDATE,
+        fresh = new.join(old.select("_old_key"), same_key, "left_anti")
+        return fresh.select("_new.*", F.lit("INSERT").alias(ACTION), F.lit(False).alias(IS_UPDATE))
+    was, is_now = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    changed = old.join(new, same_key, "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    images = F.array_compact(
+        F.array(
+            F.when(was, F.struct(F.col("_old").alias("row"), F.lit("DELETE").alias(ACTION))),
+            F.when(is_now, F.struct(F.col("_new").alias("row"), F.lit("INSERT").alias(ACTION))),
         )
-        .select(*after.columns, ACTION, IS_UPDATE)
+    )
+    return changed.select((was & is_now).alias(IS_UPDATE), F.explode(images).alias("_image")).select(
+        "_image.row.*", f"_image.{ACTION}", IS_UPDATE
     )
 
 
@@ -78,11 +71,13 @@ def apply_net(
 
     Matched: a DELETE removes, an update sets ``update_columns`` and the stamp,
     a re-inserted key takes the whole new row, a plain INSERT changes nothing.
-    Unmatched: an INSERT is added, a DELETE does nothing. Key and target are
-    unique per row, so no key of this join is hot.
+    Unmatched: an INSERT is added, a DELETE does nothing. The key is unique on
+    both sides, so no key of this join is hot; a NULL key matches nothing.
     """
     body = [c for c in target.columns if c not in (key, stamp_column)]
-    t = target.select(F.col(key).alias("_tk"), *[F.col(c).alias(f"_t_{c}") for c in [*body, stamp_column]])
+    t = target.select(
+        F.lit(True).alias("_in_t"), F.col(key).alias("_tk"), *[F.col(c).alias(f"_t_{c}") for c in [*body, stamp_column]]
+    )
     s = net.select(
         F.col(key).alias("_sk"),
         *[F.col(c).alias(f"_s_{c}") for c in body],
@@ -91,7 +86,7 @@ def apply_net(
         F.col("replaced").alias("_replaced"),
     )
     joined = t.join(s, F.col("_tk") == F.col("_sk"), "full_outer")
-    matched = F.col("_tk").isNotNull()
+    matched = F.col("_in_t").isNotNull()
     deletes = F.coalesce(F.col("_action") == "DELETE", F.lit(False))
     takes_row = ~matched | F.coalesce(F.col("_replaced"), F.lit(False))
     takes_values = matched & F.coalesce(F.col("_update") & (F.col("_action") == "INSERT"), F.lit(False))
@@ -134,12 +129,12 @@ def upsert(
 ) -> DataFrame:
     """``target`` with ``source`` rows updated or added; keys are unique on both sides."""
     t = target.select([F.col(c).alias(f"_t_{c}") for c in target.columns])
-    s = source.select([F.col(c).alias(f"_s_{c}") for c in [*keys, *update_columns]])
+    s = source.select(F.lit(True).alias("_in_s"), *[F.col(c).alias(f"_s_{c}") for c in [*keys, *update_columns]])
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(f"_t_{k}") == F.col(f"_s_{k}"))
     joined = t.join(s, on, "full_outer")
-    from_source = F.col(f"_s_{keys[0]}").isNotNull()
+    from_source = F.col("_in_s").isNotNull()
 
     def pick(column: str) -> Column:
         if column in keys:
@@ -152,6 +147,3 @@ def upsert(
 
     return joined.select([pick(c) for c in target.columns])
 
-
-def _image(action: str, is_update: bool) -> tuple[Column, Column]:
-    return F.lit(action).alias(ACTION), F.lit(is_update).alias(IS_UPDATE)

@@ -109,6 +109,18 @@ def test_replay_changes_nothing(spark):
     assert rows(chg.merge_changes(once, feed, "id", ["a", "b"], RUN)) == rows(once)
 
 
+def test_null_keys_are_left_alone(spark):
+    before = spark.createDataFrame([(None, "a", 1), (1, "b", 2)], TABLE)
+    after = spark.createDataFrame([(None, "a", 1), (1, "b", 3)], TABLE)
+    assert {r["id"] for r in chg.changes(before, after, "id").collect()} == {1}
+    target = before.withColumn("last_updated_ts", F.lit(OLD).cast("timestamp_ntz"))
+    got = rows(chg.merge_changes(target, chg.changes(before, after, "id"), "id", ["b"], RUN))
+    assert got == [(1, "b", 3, RUN), (None, "a", 1, OLD)]
+    kept = spark.createDataFrame([(None, "p", 5, OLD)], "k int, p string, v int, updated_at timestamp_ntz")
+    source = spark.createDataFrame([(1, "p", 7)], "k int, p string, v int")
+    assert rows(chg.upsert(kept, source, ["k", "p"], ["v"], RUN)) == [(1, "p", 7, RUN), (None, "p", 5, OLD)]
+
+
 def test_upsert(spark):
     target = spark.createDataFrame([(1, "p", 5, OLD), (2, "p", 6, OLD)], "k int, p string, v int, updated_at timestamp_ntz")
     source = spark.createDataFrame([(2, "p", 7), (2, "q", 8)], "k int, p string, v int")

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from opsflow.operators import joins
 from opsflow.operators.aggregates import with_group_total
+from opsflow.operators.layout import write_rebalanced
+from opsflow.sources.tables import replace_partitions
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -69,6 +71,16 @@ def test_duplicate_rows(spark, hot):
     assert found.count() == hot.where("k = 7 or k is null").count()
 
 
+def test_rewritten_partition_is_cut_over_tasks(spark, hot, tmp_path):
+    few = hot.select(F.when(F.col("k") == 7, 1).otherwise(F.col("v") % 3 + 2).cast("int").alias("p"), "v", "pad")
+    replace_partitions(few, str(tmp_path / "r"), ["p"])
+    write_rebalanced(few, str(tmp_path / "w"), ["p"], ["v"])
+    for name in ("r", "w"):
+        files = [f for f in (tmp_path / name / "p=1").iterdir() if f.suffix == ".parquet"]
+        assert len(files) > 3
+        assert rows(spark.read.parquet(str(tmp_path / name)).select("p", "v")) == rows(few.select("p", "v"))
+
+
 def test_group_total(spark, hot):
     totalled = with_group_total(hot, ["k"], F.lit(1), "n")
     assert "skew=true" in ran(totalled)

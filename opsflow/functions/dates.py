@@ -30,9 +30,8 @@ def parse_timestamp(column: Column, is_text: bool = True) -> Column:
 
 
 def age_hours(latest: Column, run_ts: datetime) -> Column:
-    """Hours from ``latest`` to ``run_ts``, with the fraction."""
-    now = F.lit(run_ts).cast("timestamp")
-    return (F.unix_micros(now) - F.unix_micros(latest.cast("timestamp"))) / F.lit(3_600_000_000)
+    """Hours from ``latest`` (without zone) to ``run_ts``, with the fraction."""
+    return F.timestamp_diff("MICROSECOND", latest, naive(run_ts)) / F.lit(3_600_000_000)
 
 
 def in_month(column: Column, year: int, month: int) -> Column:

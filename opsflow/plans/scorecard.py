@@ -11,6 +11,7 @@ from opsflow.functions.dates import day
 from opsflow.functions.numeric import floor_at_zero, mean, ratio, ratio_of_sums, round_half_up
 from opsflow.operators.aggregates import distinct_count
 from opsflow.operators.ranking import ntile_at_scale, rank_at_scale
+from opsflow.session import staged
 
 # Counted line states, weights, status bounds and quartile labels.
 COUNTED_STATUSES = ("RECEIVED", "INVOICED", "CLOSED")
@@ -162,7 +163,12 @@ def scored_suppliers(
 
 
 def ranked_suppliers(scored: DataFrame) -> DataFrame:
-    """Adds status, rank within tier and quartile; a NULL score sorts first, as the largest value."""
+    """Adds status, rank within tier and quartile; a NULL score sorts first, as the largest value.
+
+    The scores are stored first, so that sampling them for the range bounds does
+    not run the aggregates and joins behind them again.
+    """
+    scored = staged(scored, "scores")
     with_rank = rank_at_scale(scored, ["supplier_tier"], "composite_score", [F.col("supplier_id")], "rank_within_tier")
     tiled = ntile_at_scale(
         with_rank, 4, [F.col("composite_score").desc_nulls_first(), F.col("supplier_id")], "_tile"

@@ -21,6 +21,21 @@ SETTINGS = {
 }
 
 
+def scale_settings(shuffle_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a run whose largest shuffle moves ``shuffle_bytes``.
+
+    The reduce side starts with pieces of about ``task_bytes``, which fit in memory
+    next to their sort buffers, and AQE merges the ones that turn out small. Too
+    few pieces cannot be mended at run time, except in joins and rebalanced writes.
+    """
+    pieces = max(cores, -(-shuffle_bytes // task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(pieces),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * task_bytes),
+    }
+
+
 def build_session(app_name: str = "opsflow", master: str | None = None, **extra: str) -> SparkSession:
     """Session with the settings above; ``extra`` keys use ``__`` for the dots."""
     builder = SparkSession.builder.appName(app_name)

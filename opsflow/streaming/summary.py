@@ -43,7 +43,8 @@ def windowed_summary(movements: DataFrame, lateness: str = "2 days") -> DataFram
     """Event-time form: one-day windows, closed once the watermark has passed them.
 
     State stays bounded by ``lateness``; rows later than that are not counted, so
-    use :func:`run_summary_stream` where they must be.
+    use :func:`run_summary_stream` where they must be. Windows start at midnight
+    UTC, which is the day's start in a session set to UTC.
     """
     kind = F.col("transaction_type")
     stamped = movements.where(kind.isin(*COUNTED_TYPES)).withColumn(

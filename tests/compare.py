@@ -43,8 +43,7 @@ def rows_by_name(columns, rows):
     return sorted((tuple(_plain(r[i]) for i in places) for r in rows), key=repr)
 
 
-def spark_rows(spark, sf_dir, name):
-    df = entry.queries()[name](spark, sf_dir)
+def spark_rows(df):
     return sorted(df.columns), rows_by_name(df.columns, df.collect())
 
 
@@ -62,7 +61,7 @@ def main() -> None:
     for name in only or entry.queries():
         start = time.time()
         try:
-            columns, got = spark_rows(spark, sf_dir, name)
+            columns, got = spark_rows(entry.queries()[name](spark, sf_dir))
         except Exception as error:
             print(f"ERROR {name}: {str(error)[:1500]}")
             continue

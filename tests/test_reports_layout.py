@@ -10,7 +10,7 @@ from opsflow.context import RunContext
 from opsflow.operators import flatten, layout, masking
 from opsflow.plans import reports
 from opsflow.schemas import DELIVERY_LOG
-from opsflow.session import shared_dir
+from opsflow.session import scale_settings, shared_dir
 from opsflow.sources.logs import delivery_manifest
 
 RUN = RunContext.at(datetime(2024, 1, 31, 7))
@@ -170,5 +170,11 @@ def test_shared_dir_must_be_named_on_a_cluster():
         shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context))
 
 
+def test_scale_settings():
+    small = scale_settings(1 << 30, 64)
+    assert small["spark.sql.shuffle.partitions"] == "64"
+    assert scale_settings(10 << 40, 4000)["spark.sql.shuffle.partitions"] == str((10 << 40) // (128 << 20))
+
+
 def test_timestamps_have_no_zone(spark):
     assert ts("2024-01-01") == spark.createDataFrame([(ts("2024-01-01"),)], "t timestamp_ntz").first()[0]

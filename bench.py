@@ -12,7 +12,8 @@ import sys
 import time
 
 from opsflow.registry import QUERIES
-from opsflow.session import build_session
+from opsflow.session import build_session, work_dir
+from opsflow.sources.tables import drop_path
 
 WARM_UP = "supplier_quality"
 
@@ -41,6 +42,7 @@ def main() -> None:
     for name in chosen.split(",") if chosen else QUERIES:
         seconds[name] = round(timed(spark, sf_dir, name), 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr)
+    drop_path(spark, work_dir(spark))
     spark.stop()
     print(
         json.dumps(

@@ -64,44 +64,142 @@ def net_changes(feed: DataFrame, key: str, sequence: str | None = None) -> DataF
     )
 
 
-def apply_net(
-    target: DataFrame, net: DataFrame, key: str, update_columns: Sequence[str], stamp: Column, stamp_column: str
-) -> DataFrame:
-    """Target after the merge, plus ``_deleted`` for rows the merge removed.
+# What one key's changes do to its row. A DELETE leaves nothing; a re-inserted key
+# takes the whole new row; an update sets the update columns and the stamp; a
+# plain INSERT on an existing row changes nothing. Without a row in the target,
+# everything but a DELETE inserts.
+DROP, REPLACE, UPDATE, INSERT = "DROP", "REPLACE", "UPDATE", "INSERT"
+KEEP = "KEEP"
+
+
+def operations(net: DataFrame, key: str, stamp_column: str, stamp: Column) -> DataFrame:
+    """Netted changes as (key, ``op``, ``row``), the row holding all other columns and the stamp."""
+    values = [c for c in net.columns if c not in (key, ACTION, IS_UPDATE, "replaced")]
+    op = (
+        F.when(F.col(ACTION) == "DELETE", DROP)
+        .when(F.col("replaced"), REPLACE)
+        .when(F.col(IS_UPDATE), UPDATE)
+        .otherwise(INSERT)
+    )
+    return net.select(key, op.alias("op"), F.struct(*values, stamp.alias(stamp_column)).alias("row"))
+
+
+def effects(ops: DataFrame, key: str) -> DataFrame:
+    """The outcome of one operation per key, for a key with a row and for one without.
 
-    Matched: a DELETE removes, an update sets ``update_columns`` and the stamp,
-    a re-inserted key takes the whole new row, a plain INSERT changes nothing.
-    Unmatched: an INSERT is added, a DELETE does nothing. The key is unique on
-    both sides, so no key of this join is hot; a NULL key matches nothing.
+    ``if_present`` is KEEP, UPDATE, REPLACE or DROP; ``present_row`` is what a
+    REPLACE takes and ``present_values`` where update columns come from.
+    ``if_absent`` says whether a row appears, from ``absent_row`` and ``absent_values``.
     """
-    body = [c for c in target.columns if c not in (key, stamp_column)]
-    t = target.select(
-        F.lit(True).alias("_in_t"), F.col(key).alias("_tk"), *[F.col(c).alias(f"_t_{c}") for c in [*body, stamp_column]]
+    op, row = F.col("op"), F.col("row")
+    return ops.select(
+        key,
+        F.when(op == INSERT, KEEP).otherwise(op).alias("if_present"),
+        row.alias("present_row"),
+        row.alias("present_values"),
+        (op != DROP).alias("if_absent"),
+        row.alias("absent_row"),
+        row.alias("absent_values"),
     )
-    s = net.select(
-        F.col(key).alias("_sk"),
-        *[F.col(c).alias(f"_s_{c}") for c in body],
-        F.col(ACTION).alias("_action"),
-        F.col(IS_UPDATE).alias("_update"),
-        F.col("replaced").alias("_replaced"),
+
+
+def folded_effects(ops: DataFrame, key: str, order: str) -> DataFrame:
+    """The outcome of several operations per key, one per ``order`` value, applied in that order.
+
+    Each batch is netted before, so a key's list is no longer than the number of
+    batches. Working the list off again on its own outcome changes nothing.
+    """
+    empty = F.lit(None).cast(ops.schema["row"].dataType)
+    start = F.struct(
+        F.lit(KEEP).alias("if_present"),
+        empty.alias("present_row"),
+        empty.alias("present_values"),
+        F.lit(False).alias("if_absent"),
+        empty.alias("absent_row"),
+        empty.alias("absent_values"),
+    )
+
+    def step(now: Column, entry: Column) -> Column:
+        op, row = entry["op"], entry["row"]
+        adds = op != DROP
+        takes = adds & ((op == REPLACE) | (now["if_present"] == DROP))
+        appears = adds & ((op == REPLACE) | ~now["if_absent"])
+        present = (
+            F.when(op == DROP, DROP)
+            .when(takes, REPLACE)
+            .when((op == UPDATE) & (now["if_present"] == KEEP), UPDATE)
+            .otherwise(now["if_present"])
+        )
+        return F.struct(
+            present.alias("if_present"),
+            F.when(takes, row).otherwise(now["present_row"]).alias("present_row"),
+            F.when(takes | (op == UPDATE), row).otherwise(now["present_values"]).alias("present_values"),
+            adds.alias("if_absent"),
+            F.when(appears, row).otherwise(now["absent_row"]).alias("absent_row"),
+            F.when(appears | (op == UPDATE), row).otherwise(now["absent_values"]).alias("absent_values"),
+        )
+
+    listed = F.array_sort(F.collect_list(F.struct(order, "op", "row")))
+    return ops.groupBy(key).agg(listed.alias("_ops")).select(key, F.aggregate("_ops", start, step).alias("_e")).select(
+        key, "_e.*"
     )
-    joined = t.join(s, F.col("_tk") == F.col("_sk"), "full_outer")
-    matched = F.col("_in_t").isNotNull()
-    deletes = F.coalesce(F.col("_action") == "DELETE", F.lit(False))
-    takes_row = ~matched | F.coalesce(F.col("_replaced"), F.lit(False))
-    takes_values = matched & F.coalesce(F.col("_update") & (F.col("_action") == "INSERT"), F.lit(False))
-
-    def merged(column: str) -> Column:
-        fresh = takes_row | takes_values if column in update_columns else takes_row
-        return F.when(fresh, F.col(f"_s_{column}")).otherwise(F.col(f"_t_{column}")).alias(column)
-
-    new_stamp = F.when(takes_row | takes_values, stamp).otherwise(F.col(f"_t_{stamp_column}"))
-    return joined.where(matched | ~deletes).select(
-        F.coalesce("_tk", "_sk").alias(key),
-        *[merged(c) for c in body],
-        new_stamp.alias(stamp_column),
-        deletes.alias("_deleted"),
+
+
+def apply_effects(
+    target: DataFrame, outcome: DataFrame, key: str, update_columns: Sequence[str], stamp_column: str
+) -> DataFrame:
+    """Target after the changes, plus ``_deleted`` for the rows they removed.
+
+    The key is unique on both sides, so no key of this join is hot; a NULL key
+    matches nothing.
+    """
+    t = target.select(F.lit(True).alias("_in"), *[F.col(c).alias(f"_t_{c}") for c in target.columns])
+    joined = t.join(outcome, F.col(f"_t_{key}") == F.col(key), "full_outer")
+    present = F.col("_in").isNotNull()
+    rest = [c for c in target.columns if c != key]
+    return joined.where(present | F.col("if_absent")).select(
+        F.when(present, F.col(f"_t_{key}")).otherwise(F.col(key)).alias(key),
+        *[
+            F.when(present, _kept(c, update_columns, stamp_column)).otherwise(_born(c, update_columns, stamp_column)).alias(c)
+            for c in rest
+        ],
+        F.coalesce(present & (F.col("if_present") == DROP), F.lit(False)).alias("_deleted"),
+    ).select(*target.columns, "_deleted")
+
+
+def overlay_effects(
+    target: DataFrame, outcome: DataFrame, key: str, update_columns: Sequence[str], stamp_column: str
+) -> DataFrame:
+    """The live rows after the changes, for few changes over a large target.
+
+    A left join and a semi join in place of the full outer one: Spark broadcasts
+    ``outcome`` if its measured size allows, and the target is then not shuffled.
+    """
+    rest = [c for c in target.columns if c != key]
+    t = target.select([F.col(c).alias(f"_t_{c}") for c in target.columns])
+    same_key = F.col(f"_t_{key}") == F.col(key)
+    touched = t.join(outcome, same_key, "left").where(F.coalesce(F.col("if_present") != DROP, F.lit(True)))
+    kept = touched.select(
+        F.col(f"_t_{key}").alias(key), *[_kept(c, update_columns, stamp_column).alias(c) for c in rest]
     )
+    known = t.select(f"_t_{key}").join(outcome.select(key), same_key, "left_semi")
+    born = outcome.where("if_absent").join(known, same_key, "left_anti")
+    return kept.unionByName(born.select(key, *[_born(c, update_columns, stamp_column).alias(c) for c in rest]))
+
+
+def _kept(column: str, update_columns: Sequence[str], stamp_column: str) -> Column:
+    """Value of a column for a key that had a row."""
+    if column in update_columns or column == stamp_column:
+        changed, fresh = F.col("if_present").isin(UPDATE, REPLACE), F.col("present_values")[column]
+    else:
+        changed, fresh = F.col("if_present") == REPLACE, F.col("present_row")[column]
+    return F.when(changed, fresh).otherwise(F.col(f"_t_{column}"))
+
+
+def _born(column: str, update_columns: Sequence[str], stamp_column: str) -> Column:
+    """Value of a column for a key that had none."""
+    source = "absent_values" if column in update_columns or column == stamp_column else "absent_row"
+    return F.col(source)[column]
 
 
 def merge_changes(
@@ -114,9 +212,9 @@ def merge_changes(
     sequence: str | None = None,
 ) -> DataFrame:
     """New version of ``target`` with delete, update and insert clauses applied."""
-    net = net_changes(feed, key, sequence)
-    merged = apply_net(target, net, key, update_columns, naive(run_ts), stamp_column)
-    return merged.where(~F.col("_deleted")).select(*target.columns)
+    ops = operations(net_changes(feed, key, sequence), key, stamp_column, naive(run_ts))
+    merged = apply_effects(target, effects(ops, key), key, update_columns, stamp_column)
+    return merged.where(~F.col("_deleted")).drop("_deleted")
 
 
 def upsert(

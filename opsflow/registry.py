@@ -368,14 +368,16 @@ def cdc_stream(spark, sf):
     """The same merge, fed by a file stream in several micro-batches."""
     before, after = _versions(spark, sf)
     root = work_path(spark, "cdc")
-    table = cdc.FactTable(posixpath.join(root, "fact"), INVENTORY_FACT, FACT_KEY, FACT_UPDATES, buckets=8)
+    table = cdc.FactTable(
+        posixpath.join(root, "fact"), INVENTORY_FACT, FACT_KEY, FACT_UPDATES, buckets=8, compact_after=2
+    )
     load_feed = before.withColumns({chg.ACTION: F.lit("INSERT"), chg.IS_UPDATE: F.lit(False)})
     cdc.merge_batch(load_feed, -1, table, EARLIER_TS)
     feed = chg.changes(before, after, FACT_KEY)
     folder = posixpath.join(root, "feed")
     # Both images of an update must reach the same micro-batch, hence the same file.
     feed.repartition(4, FACT_KEY).write.parquet(folder)
-    source = load.file_stream(spark, folder, feed.schema, files_per_batch=2)
+    source = load.file_stream(spark, folder, feed.schema, files_per_batch=1)
     cdc.run_cdc_stream(source, table, posixpath.join(root, "checkpoint"), RUN_TS).awaitTermination()
     return _fact_values(table.read(spark))
 

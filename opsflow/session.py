@@ -62,9 +62,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def work_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one; remove it once its results have been read."""
+    return posixpath.join(shared_dir(spark), "opsflow", spark.sparkContext.applicationId)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return posixpath.join(shared_dir(spark), "opsflow", f"{label}-{uuid.uuid4().hex}")
+    """A fresh path in this application's folder."""
+    return posixpath.join(work_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
 def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -11,11 +11,11 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from opsflow.schemas import COMMITS
-from opsflow.sources.tables import read_or_empty, replace_partitions
+from opsflow.sources.tables import drop_path, read_or_empty, replace_partitions
 
 STAGED, APPLIED = "STAGED", "APPLIED"
 
@@ -24,15 +24,20 @@ def data_path(root: str) -> str:
     return posixpath.join(root, "data")
 
 
+def _log_path(root: str, batch_id: int) -> str:
+    # A folder per batch, so that looking one up does not list the whole history.
+    return posixpath.join(root, "commits", f"batch-{batch_id}")
+
+
 def commit_states(spark: SparkSession, root: str, batch_id: int) -> set[str]:
     """Steps of this batch that are done; at most two rows reach the driver."""
-    log = read_or_empty(spark, posixpath.join(root, "commits"), COMMITS)
-    return {r["state"] for r in log.where(F.col("batch_id") == batch_id).select("state").distinct().collect()}
+    log = read_or_empty(spark, _log_path(root, batch_id), COMMITS)
+    return {r["state"] for r in log.select("state").distinct().collect()}
 
 
 def _note(spark: SparkSession, root: str, batch_id: int, state: str) -> None:
     entry = spark.createDataFrame([(batch_id, state)], COMMITS)
-    entry.coalesce(1).write.mode("append").parquet(posixpath.join(root, "commits"))
+    entry.coalesce(1).write.mode("append").parquet(_log_path(root, batch_id))
 
 
 def apply_once(
@@ -57,3 +62,4 @@ def apply_once(
         _note(spark, root, batch_id, STAGED)
     replace_partitions(spark.read.schema(schema).parquet(stage), data_path(root), partition_by)
     _note(spark, root, batch_id, APPLIED)
+    drop_path(spark, stage)

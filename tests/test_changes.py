@@ -101,6 +101,39 @@ def test_order_within_a_feed(spark):
     assert not [r for r in got if r[0] in (2, 9)]
 
 
+operation = st.tuples(
+    st.integers(1, 4), st.sampled_from(["INSERT", "UPDATE", "DELETE", "REPLACE"]), st.sampled_from("uvw"), st.integers(0, 9)
+)
+
+
+@few
+@given(st.lists(st.lists(operation, max_size=4, unique_by=lambda o: o[0]), min_size=1, max_size=4))
+def test_folded_batches_equal_batch_after_batch(spark, batches):
+    target = spark.createDataFrame([(k, "old", 0, OLD) for k in (1, 2)], FACT)
+    state, ops = {1: ("old", 0, OLD), 2: ("old", 0, OLD)}, []
+    for n, batch in enumerate(batches):
+        stamp = RUN + timedelta(hours=n)
+        for key, kind, a, b in batch:
+            ops.append((key, {"UPDATE": "UPDATE", "INSERT": "INSERT", "DELETE": "DROP", "REPLACE": "REPLACE"}[kind], (a, b, stamp), n))
+            if kind == "DELETE":
+                state.pop(key, None)
+            elif key not in state or kind == "REPLACE":
+                state[key] = (a, b, stamp)
+            elif kind == "UPDATE":
+                state[key] = (state[key][0], b, stamp)
+    listed = spark.createDataFrame(ops, "id int, op string, row struct<a:string,b:int,last_updated_ts:timestamp_ntz>, n int")
+    folded = chg.folded_effects(listed, "id", "n")
+    wanted = sorted(((k, *v) for k, v in state.items()), key=repr)
+
+    def applied(table):
+        merged = chg.apply_effects(table, folded, "id", ["b"], "last_updated_ts")
+        return merged.where("not _deleted").drop("_deleted")
+
+    assert rows(applied(target)) == wanted
+    assert rows(applied(applied(target))) == wanted
+    assert rows(chg.overlay_effects(target, folded, "id", ["b"], "last_updated_ts")) == wanted
+
+
 def test_replay_changes_nothing(spark):
     before, after = table(spark, {1: ("a", 1), 2: ("b", 2)}), table(spark, {2: ("b", 3), 3: ("c", 3)})
     feed = chg.changes(before, after, "id")

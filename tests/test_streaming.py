@@ -65,9 +65,9 @@ def test_windowed_summary_emits_closed_days(spark, movements, tmp_path):
 FACT = cdc.FactTable
 
 
-def fact_table(spark, path, buckets=4):
+def fact_table(spark, path, buckets=4, compact_after=1):
     rows_schema = spark.createDataFrame([], "id int, a string, b int, last_updated_ts timestamp_ntz").schema
-    return FACT(str(path), rows_schema, "id", ["b"], buckets=buckets)
+    return FACT(str(path), rows_schema, "id", ["b"], buckets=buckets, compact_after=compact_after)
 
 
 FEED = "id int, a string, b int, dml_action string, is_update boolean"
@@ -88,6 +88,32 @@ def test_batches_merge_like_the_operator(spark, tmp_path):
     assert rows(table.read(spark)) == rows(chg.merge_changes(target, second, "id", ["b"], RUN))
 
 
+def test_waiting_batches_are_read_and_compacted(spark, tmp_path):
+    table = fact_table(spark, tmp_path / "fact", compact_after=3)
+    target = spark.createDataFrame([], "id int, a string, b int, last_updated_ts timestamp_ntz")
+    batches = [
+        [(i, "x", i, "INSERT", False) for i in range(6)],
+        [(0, "y", 50, "INSERT", True), (1, "y", 1, "DELETE", False), (9, "n", 9, "INSERT", False)],
+        [(1, "z", 51, "INSERT", False), (9, "n", 9, "DELETE", False), (2, "w", 52, "INSERT", True)],
+        [(0, "q", 60, "INSERT", True), (2, "w", 52, "DELETE", False), (7, "v", 7, "INSERT", True)],
+        [(7, "v", 8, "INSERT", True)],
+    ]
+    pending = tmp_path / "fact" / "pending"
+    waiting = []
+    for n, batch in enumerate(batches):
+        feed, stamp = spark.createDataFrame(batch, FEED), ts(f"2024-02-0{n + 1}")
+        for _ in range(2):  # every batch is delivered twice
+            cdc.merge_batch(feed, n, table, stamp)
+        target = spark.createDataFrame(rows(chg.merge_changes(target, feed, "id", ["b"], stamp)), target.schema)
+        assert rows(table.read(spark)) == rows(target)
+        waiting.append(len(list(pending.glob("batch_id=*"))) if pending.exists() else 0)
+    # The first batch and every third after it are worked in; the others wait.
+    assert waiting == [0, 1, 2, 0, 1]
+    cdc.compact(spark, table, 4)
+    assert rows(table.read(spark)) == rows(target) and not pending.exists()
+    assert not list((tmp_path / "fact" / "staging").iterdir())
+
+
 def test_a_bucket_that_loses_all_rows_is_emptied(spark, tmp_path):
     table = fact_table(spark, tmp_path / "fact", buckets=1)
     cdc.merge_batch(spark.createDataFrame([(1, "x", 1, "INSERT", False)], FEED), 0, table, OLD)

@@ -352,8 +352,12 @@ def run_suite(
                 rule.rule_id, rule.description, rule.severity, SKIPPED, total, message=f"Error during check: {error}"
             )
 
-    for i, samples in _samples(df, rules, results, key).items():
-        results[i] = replace(results[i], samples=samples)
+    failed = [i for i, r in results.items() if r.status == FAIL]
+    sampled = failing_samples(df, rules, failed, key)
+    if sampled is not None:
+        picked = sorted(sampled.collect(), key=lambda r: r["place"])
+        for i in failed:
+            results[i] = replace(results[i], samples=tuple(r["value"] for r in picked if r["rule"] == i))
     return QualityReport(dataset, total, run_ts, tuple(results[i] for i in range(len(rules))))
 
 
@@ -416,15 +420,12 @@ def _all_or_nothing(rule: Rule, total: int, failed: bool, message: str) -> Check
     )
 
 
-def _samples(
-    df: DataFrame, rules: Sequence[Rule], results: dict[int, CheckResult], key: str | None
-) -> dict[int, tuple]:
-    """Up to five samples per failed rule, from one pass over the row-level failures.
+def failing_samples(df: DataFrame, rules: Sequence[Rule], failed: Sequence[int], key: str | None) -> DataFrame | None:
+    """Up to five samples (rule, value, place) of each failed rule, from one pass over the row-level failures.
 
     Each input task cuts every rule to five rows before the shuffle, so a rule
     that fails on most of the table costs no more than one that fails rarely.
     """
-    failed = [i for i, r in results.items() if r.status == FAIL]
     frames = []
     plain = [i for i in failed if rules[i].failing is not None and not rules[i].distinct_samples]
     grouped = [i for i in failed if rules[i].failing is not None and rules[i].distinct_samples]
@@ -448,16 +449,10 @@ def _samples(
             )
             frames.append(values.select(F.lit(i).alias("rule"), F.col(column).cast("string").alias("value"), "at"))
     if not frames:
-        return {}
+        return None
     order = Window.partitionBy("rule").orderBy("at", "value")
-    rows = (
-        reduce(DataFrame.unionByName, [f.select("rule", "value", "at") for f in frames])
-        .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= SAMPLE_SIZE)
-        .collect()
-    )
-    rows.sort(key=lambda r: r["_n"])
-    return {i: tuple(r["value"] for r in rows if r["rule"] == i) for i in failed}
+    every = reduce(DataFrame.unionByName, [f.select("rule", "value", "at") for f in frames])
+    return every.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_SIZE).drop("at")
 
 
 def _failing_values(df: DataFrame, rules: Sequence[Rule], which: Sequence[int], key: str | None) -> DataFrame:

@@ -175,6 +175,12 @@ def test_row_rules_share_one_aggregate(spark, demo):
     assert "Python" not in text
 
 
+def test_samples_are_cut_before_the_shuffle(spark, demo):
+    rules = demo_rules()
+    text = plan(dq.failing_samples(demo.repartition(3), rules, [2, 3, 5, 7], "transaction_id"))
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
 def test_csv_export(spark, demo, tmp_path):
     report = dq.run_suite(demo, "demo", demo_rules(), "transaction_id", NOW)
     report.write_csv(spark, str(tmp_path / "out"))

@@ -1,3 +1,4 @@
+import itertools
 from datetime import datetime, timedelta
 
 from hypothesis import HealthCheck, Phase, given, settings, strategies as st
@@ -101,26 +102,27 @@ def test_order_within_a_feed(spark):
     assert not [r for r in got if r[0] in (2, 9)]
 
 
-operation = st.tuples(
-    st.integers(1, 4), st.sampled_from(["INSERT", "UPDATE", "DELETE", "REPLACE"]), st.sampled_from("uvw"), st.integers(0, 9)
-)
+KINDS = ("INSERT", "UPDATE", "DROP", "REPLACE")
 
 
-@few
-@given(st.lists(st.lists(operation, max_size=4, unique_by=lambda o: o[0]), min_size=1, max_size=4))
-def test_folded_batches_equal_batch_after_batch(spark, batches):
-    target = spark.createDataFrame([(k, "old", 0, OLD) for k in (1, 2)], FACT)
-    state, ops = {1: ("old", 0, OLD), 2: ("old", 0, OLD)}, []
-    for n, batch in enumerate(batches):
-        stamp = RUN + timedelta(hours=n)
-        for key, kind, a, b in batch:
-            ops.append((key, {"UPDATE": "UPDATE", "INSERT": "INSERT", "DELETE": "DROP", "REPLACE": "REPLACE"}[kind], (a, b, stamp), n))
-            if kind == "DELETE":
+def test_folded_batches_equal_batch_after_batch(spark):
+    """Every list of up to four operations, on a key with a row and on one without."""
+    lists = [kinds for n in range(1, 5) for kinds in itertools.product(KINDS, repeat=n)]
+    start, state, ops = [], {}, []
+    for key, kinds in enumerate(lists + lists):
+        if key < len(lists):
+            start.append((key, "old", -1, OLD))
+            state[key] = ("old", -1, OLD)
+        for n, kind in enumerate(kinds):
+            row = (f"a{n}", n, RUN + timedelta(hours=n))
+            ops.append((key, kind, row, n))
+            if kind == "DROP":
                 state.pop(key, None)
             elif key not in state or kind == "REPLACE":
-                state[key] = (a, b, stamp)
+                state[key] = row
             elif kind == "UPDATE":
-                state[key] = (state[key][0], b, stamp)
+                state[key] = (state[key][0], *row[1:])
+    target = spark.createDataFrame(start, FACT)
     listed = spark.createDataFrame(ops, "id int, op string, row struct<a:string,b:int,last_updated_ts:timestamp_ntz>, n int")
     folded = chg.folded_effects(listed, "id", "n")
     wanted = sorted(((k, *v) for k, v in state.items()), key=repr)

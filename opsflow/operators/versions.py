@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from opsflow.functions.dates import naive
+from opsflow.operators.changes import ACTION as FEED_ACTION, IS_UPDATE, net_changes
 from opsflow.operators.joins import added_rows
 
 # Log columns besides the table's own: the commit's time, its number (unique per
@@ -51,6 +52,9 @@ def restore(log: DataFrame, keys: Sequence[str], commit_id: int, path: str) -> D
     return log.sparkSession.read.schema(state.schema).parquet(path)
 
 
-def commit_column(action: str) -> Column:
-    """Literal for the log's action column."""
-    return F.lit(action).alias(ACTION)
+
+def log_rows(feed: DataFrame, key: str, commit_ts: datetime, commit_id: int) -> DataFrame:
+    """One commit's change feed as rows to append to the log, one row per key."""
+    net = net_changes(feed, key).withColumnRenamed(FEED_ACTION, ACTION).drop(IS_UPDATE, "replaced")
+    stamps = {COMMIT_TS: naive(commit_ts), COMMIT_ID: F.lit(commit_id).cast("bigint")}
+    return net.withColumns(stamps)

@@ -81,7 +81,8 @@ def extract(sources: Sources, watermark: datetime, tidy: bool = False) -> DataFr
     warehouse, so that :func:`transform` need not clean them once per movement.
     """
     rows = modified_since(sources.movements, watermark).drop("transaction_status")
-    skus, warehouses = sources.skus.select(*SKU_COLUMNS.values()), sources.warehouses.select(*WAREHOUSE_COLUMNS.values())
+    skus = sources.skus.select(*SKU_COLUMNS.values())
+    warehouses = sources.warehouses.select(*WAREHOUSE_COLUMNS.values())
     if tidy:
         skus, warehouses = clean_names(skus), clean_names(warehouses)
     return lookup(lookup(rows, skus, {"sku_id": "sku_id"}), warehouses, {"warehouse_id": "warehouse_id"})

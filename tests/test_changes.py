@@ -180,6 +180,18 @@ def test_as_of_bounds_and_deleted_keys(spark):
     assert rows(versions.added_since(history, ["id"], at), "id") == [(3,)]
 
 
+@few
+@given(versions_of_table, versions_of_table)
+def test_logged_feeds_give_every_version_back(spark, old, new):
+    none, before, after = table(spark, {}), table(spark, old), table(spark, new)
+    history = versions.log_rows(chg.changes(none, before, "id"), "id", OLD, 1).unionByName(
+        versions.log_rows(chg.changes(before, after, "id"), "id", RUN, 2)
+    )
+    assert rows(versions.as_of(history, ["id"], OLD), "id", "a", "b") == rows(before)
+    assert rows(versions.as_of(history, ["id"], RUN), "id", "a", "b") == rows(after)
+    assert rows(versions.before_commit(history, ["id"], 2), "id", "a", "b") == rows(before)
+
+
 def test_restore_writes_a_new_place(spark, tmp_path):
     history = log(spark, [(1, 10, 0, "INSERT"), (1, 10, 1, "DELETE")])
     restored = versions.restore(history, ["id"], 1, str(tmp_path / "r"))

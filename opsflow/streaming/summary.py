@@ -43,12 +43,13 @@ def windowed_summary(movements: DataFrame, lateness: str = "2 days") -> DataFram
     """Event-time form: one-day windows, closed once the watermark has passed them.
 
     State stays bounded by ``lateness``; rows later than that are not counted, so
-    use :func:`run_summary_stream` where they must be. Windows start at midnight
-    UTC, which is the day's start in a session set to UTC.
+    use :func:`run_summary_stream` where they must be. Watermarks need a timestamp
+    with zone and windows start at midnight UTC, so the zoneless date is read as UTC
+    and the window start read back, whatever the session's zone.
     """
-    kind = F.col("transaction_type")
+    kind, zone = F.col("transaction_type"), F.current_timezone()
     stamped = movements.where(kind.isin(*COUNTED_TYPES)).withColumn(
-        "event_ts", F.col("transaction_date").cast("timestamp")
+        "event_ts", F.from_utc_timestamp(F.col("transaction_date").cast("timestamp"), zone)
     )
     return (
         stamped.withWatermark("event_ts", lateness)
@@ -59,7 +60,7 @@ def windowed_summary(movements: DataFrame, lateness: str = "2 days") -> DataFram
             F.avg("unit_cost").alias("avg_unit_cost"),
         )
         .select(
-            F.to_date("window.start").alias("snapshot_day"),
+            F.to_date(F.to_utc_timestamp("window.start", zone)).alias("snapshot_day"),
             "warehouse_id",
             "sku_id",
             "category",

@@ -13,10 +13,10 @@ from opsflow.context import RunContext
 from opsflow.functions.dates import naive, parse_timestamp
 from opsflow.functions.numeric import round_half_even
 from opsflow.functions.text import map_code, row_hash, title_case
-from opsflow.operators.joins import lookup
+from opsflow.operators.joins import broadcast_if_small, lookup
 from opsflow.schemas import STAGED_INVENTORY, conform
 from opsflow.sources.logs import FAILURE, SUCCESS, append_run, last_success
-from opsflow.sources.tables import append_table
+from opsflow.sources.tables import append_table, observed_rows
 
 PIPELINE = "WMS_INVENTORY_ETL"
 LOOKBACK_DAYS = 90
@@ -85,7 +85,8 @@ def extract(sources: Sources, watermark: datetime, tidy: bool = False) -> DataFr
     warehouses = sources.warehouses.select(*WAREHOUSE_COLUMNS.values())
     if tidy:
         skus, warehouses = clean_names(skus), clean_names(warehouses)
-    return lookup(lookup(rows, skus, {"sku_id": "sku_id"}), warehouses, {"warehouse_id": "warehouse_id"})
+    with_sku = lookup(rows, broadcast_if_small(skus), {"sku_id": "sku_id"})
+    return lookup(with_sku, broadcast_if_small(warehouses), {"warehouse_id": "warehouse_id"})
 
 
 def signed_quantity(kind: Column, quantity: Column) -> Column:
@@ -171,7 +172,7 @@ def run_pipeline(
 
     The loaded count comes from the writing tasks. The dropped count is taken
     before the shuffle and is for information: tasks repeated after a lost
-    executor count again. A run without new rows logs
+    executor count again, and a branch skipped as empty is not counted. A run without new rows logs
     SUCCESS with 0; a failed run logs FAILURE and raises. The run's own time is
     the next watermark, so rows changed while it runs are read again, not missed;
     ``skip_loaded`` leaves out the rows that such a second reading finds loaded.
@@ -195,4 +196,4 @@ def run_pipeline(
         append_run(spark, log_path, pipeline, run.run_ts, 0, FAILURE, str(error)[:1000])
         raise
     append_run(spark, log_path, pipeline, run.run_ts, loaded, SUCCESS)
-    return RunResult(watermark, loaded, dropped.get["rows"])
+    return RunResult(watermark, loaded, observed_rows(dropped))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from opsflow.context import RunContext, resolve_date_token
 from opsflow.sources.logs import FAILURE, NO_DATA, SUCCESS, append_delivery
+from opsflow.sources.tables import observed_rows
 
 log = logging.getLogger(__name__)
 
@@ -115,7 +116,7 @@ def run_report(
         counted = Observation()
         rows = execute(spark, report, tables, run).observe(counted, F.count(F.lit(1)).alias("rows"))
         rows.write.mode("overwrite").parquet(output_path(root, report, run))
-        count = counted.get["rows"]
+        count = observed_rows(counted)
     except Exception as error:
         append_delivery(spark, log_path, report.name, run.run_ts, FAILURE, 0, report.recipients, str(error)[:1000])
         raise

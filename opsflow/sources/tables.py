@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -78,6 +79,18 @@ def create_if_missing(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout} LOCATION '{path}'")
 
 
+def observed_rows(observation: Observation) -> int:
+    """The ``rows`` metric of a finished write.
+
+    If Spark finds at run time that a branch is empty it drops the branch with its
+    metric, and reading the metric then fails; that branch had no rows to count.
+    """
+    try:
+        return observation.get["rows"]
+    except Py4JJavaError:
+        return 0
+
+
 def append_table(
     df: DataFrame,
     path: str,
@@ -89,7 +102,7 @@ def append_table(
     loaded = Observation()
     count = F.count(F.lit(1)).alias("rows")
     write_rebalanced(conform(df, schema), path, partition_by, cluster_by, lambda rows: rows.observe(loaded, count))
-    return loaded.get["rows"]
+    return observed_rows(loaded)
 
 
 def insert_select(df: DataFrame, table: str) -> None:

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan, rows
 from opsflow.operators import joins
 from opsflow.operators.aggregates import distinct_count, with_group_total
 
@@ -21,6 +21,19 @@ def test_lookup_keeps_or_drops_unknown_keys(spark):
     assert len(rows(joins.lookup(fact, dim, {"k": "id"}, "left"))) == 3
 
 
+def test_broadcast_depends_on_the_counted_size(spark):
+    fact = spark.range(100).select(F.col("id").alias("k"))
+    dim = spark.range(10).select(F.col("id").alias("d")).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = joins.lookup(fact, joins.broadcast_if_small(dim, 10), {"k": "d"})
+        large = joins.lookup(fact, joins.broadcast_if_small(dim, 9), {"k": "d"})
+        assert "BroadcastHashJoin" in plan(small) and "BroadcastHashJoin" not in plan(large)
+        assert rows(small) == rows(large) and small.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_added_rows(spark):
     now = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, x string")
     then = spark.createDataFrame([(1, "z"), (None, "y")], "k int, x string")

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsflow.llm import line_dedup, mixing
+from opsflow.llm import line_dedup, mixing, packing, token_files
 from opsflow.llm.base import table, word_count
-from opsflow.session import staged
+from opsflow.session import staged, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +20,23 @@ def query(function: Query) -> Query:
     return function
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public vocabulary file; the machine's own copy, never one of the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_token_files(spark, sf_dir):
+    """Documents written as grammar-compressed id files in id order, and read back."""
+    path = work_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write_documents(docs, path, tokenizer_file("word_bpe_49k.json"), end_id=2)
+    back = token_files.read_documents(spark, path)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op6_line_dedup(spark, sf_dir):
     """Lines found in at least 10 documents go from every document."""
@@ -43,3 +60,13 @@ def op7_source_mix(spark, sf_dir):
     return mixed.select(
         "doc_id", "size", "mix.source_size", "mix.target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query
+def op10_packing(spark, sf_dir):
+    """Documents as pieces of sequences of 2048 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), capacity=2048, end_id=1)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )

@@ -38,3 +38,16 @@ c AS (
 SELECT doc_id, size, source_size, target,
   (size * (whole + CASE WHEN whole < 3 AND 2 * (upto - tied) + tied <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
 """
+
+ORACLE_SQL["op3_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_id AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN least_id ON a = vec_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsflow.llm import line_dedup, mixing, packing, token_files
+from opsflow.llm import line_dedup, mixing, packing, simhash, token_files, vectors
 from opsflow.llm.base import table, word_count
 from opsflow.session import staged, work_path
 
@@ -20,6 +20,23 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op3_embedding_dedup(spark, sf_dir):
+    """Vectors linked at cosine 0.95 and above."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.95)
+
+
+@query
+def op4_simhash(spark, sf_dir):
+    """Classes of documents whose 4-word fingerprints are linked at 4 differing bits or fewer."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.classes(docs, words=4, radius=4)
+    return found.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("first.id").alias("component_id"),
+    )
+
+
 def tokenizer_file(name: str) -> str:
     """Place of a public vocabulary file; the machine's own copy, never one of the repository."""
     import public_tokenizers

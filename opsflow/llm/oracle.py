@@ -51,3 +51,14 @@ least_id AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
 SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
 FROM embeddings JOIN least_id ON a = vec_id
 """
+
+ORACLE_SQL["op9_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+"""

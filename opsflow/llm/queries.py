@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsflow.llm import line_dedup, mixing, packing, simhash, token_files, vectors
+from opsflow.llm import line_dedup, mixing, packing, simhash, token_files, topk, vectors
 from opsflow.llm.base import table, word_count
 from opsflow.session import staged, work_path
 
@@ -79,6 +79,13 @@ def op7_source_mix(spark, sf_dir):
     )
 
 
+@query
+def op9_exact_topk(spark, sf_dir):
+    """The 5 best rows by integer inner product for every vector whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding"), 256).alias("vector"))
+    return topk.search(rows, F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op10_packing(spark, sf_dir):
     """Documents as pieces of sequences of 2048 ids."""

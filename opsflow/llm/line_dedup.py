@@ -171,3 +171,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
     """``docs`` with the result of dropping every line whose key stands in at least ``min_docs`` documents."""
     found = frequent_lines(docs, id_col, text, min_docs, min_chars, batches, fanout)
     return drop_lines(docs, found, text, min_chars)
+
+
+def without_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", chars: str | None = "n_chars",
+                  min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+    """``docs`` with the lines dropped from its text and, if it has the column ``chars``, the new length; null texts stay null."""
+    found = dedup_lines(docs, id_col, text, min_docs, min_chars)
+    result = F.col(found.columns[-1])
+    kept = F.when(F.col(text).isNotNull(), result["kept"])
+    new = {text: kept}
+    if chars in docs.columns:
+        new[chars] = F.coalesce(F.length(kept).cast(docs.schema[chars].dataType), F.col(chars))
+    return found.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])

@@ -6,6 +6,10 @@ threshold, so that a larger budget always takes a superset. The threshold is fou
 without sorting: words are summed by source and by the leading bits of the rank, the
 bucket in which the budget ends is looked up, and only that bucket is cut finer by the
 next bits, until it holds a single rank.
+
+Defined cases: a null or empty text has size 0; a null source is a source of its own, last
+in order; a null id ranks as an empty text; rows of equal id in one source are taken or
+left together; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsflow.llm.base import word_count
 from opsflow.session import staged
 
 RANK_BITS = 60
@@ -137,3 +142,18 @@ def with_copies(rows: DataFrame, plan: DataFrame, source: str, ranked: Column, n
     return rows.join(plan, rows[source].eqNullSafe(F.col("mix.mix_source")), "left").withColumn(
         name, F.col("mix.mix_copies") + once.cast("long")
     )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text",
+          weights: tuple[int, ...] = (1, 2, 3), max_copies: int = 3) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with its own columns."""
+    sized = staged(
+        docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"), rank(F.col(id_col)).alias("rank")),
+        "mix-sizes",
+    )
+    plan = thresholds(sized, weights, max_copies)
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source).alias("of"), rank(F.col(id_col)).alias("rank")
+    )
+    taken = with_copies(packed, plan, "of", F.col("rank"))
+    return taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")

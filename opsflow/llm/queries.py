@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsflow.llm import line_dedup, mixing, packing, simhash, token_files, topk, vectors
-from opsflow.llm.base import table, word_count
+from opsflow.llm import html_text, line_dedup, mixing, packing, quality, simhash, token_files, topk, toxicity, vectors
+from opsflow.llm.base import crc_of_id, table, word_count
 from opsflow.session import staged, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,25 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_html_text(spark, sf_dir):
+    """Visible text of every page."""
+    return table(spark, sf_dir, "pages").select("page_id", "url", html_text.extract(F.col("html")).alias("text"))
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    """Toxicity of every text, learned from labelled rows outside the fold crc32(doc_id) mod 4 = 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
+    return _scored(docs, toxicity.score(F.col("text"), model), crc_of_id(F.col("doc_id")) % 4 == 2)
+
+
+def _scored(docs, score, held_out):
+    scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op3_embedding_dedup(spark, sf_dir):
     """Vectors linked at cosine 0.95 and above."""
@@ -79,6 +98,14 @@ def op7_source_mix(spark, sf_dir):
     )
 
 
+@query
+def op8_quality(spark, sf_dir):
+    """Quality of every text, learned from labelled rows outside the fold crc32(doc_id) mod 5 = 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = quality.fit(docs, table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return _scored(docs, quality.score(F.col("text"), forest), crc_of_id(F.col("doc_id")) % 5 == 0)
+
+
 @query
 def op9_exact_topk(spark, sf_dir):
     """The 5 best rows by integer inner product for every vector whose id is divisible by 50."""

@@ -9,19 +9,20 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from opsflow.registry import QUERIES
-from opsflow.session import build_session, work_dir
-from opsflow.sources.tables import drop_path
+from opsflow.session import build_session, job_scope
 
 WARM_UP = "supplier_quality"
 
 
 def timed(spark, sf_dir: str, name: str) -> float:
-    start = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with job_scope(spark):
+        start = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:
@@ -35,6 +36,7 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="opsflow-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     timed(spark, sf_dir, WARM_UP)
@@ -42,7 +44,6 @@ def main() -> None:
     for name in chosen.split(",") if chosen else QUERIES:
         seconds[name] = round(timed(spark, sf_dir, name), 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr)
-    drop_path(spark, work_dir(spark))
     spark.stop()
     print(
         json.dumps(

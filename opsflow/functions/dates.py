@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, functions as F
@@ -20,12 +21,12 @@ TEXT_FORMATS = (
 )
 
 
-def parse_timestamp(column: Column, is_text: bool = True) -> Column:
-    """Timestamp without zone; text in no known format gives NULL, never an error."""
+def parse_timestamp(column: Column, is_text: bool = True, formats: Sequence[str] = TEXT_FORMATS) -> Column:
+    """Timestamp without zone; text in none of ``formats`` gives NULL, never an error."""
     if not is_text:
         return column.cast("timestamp_ntz")
     general = column.try_cast("timestamp_ntz")
-    listed = [F.try_to_timestamp(column, F.lit(f)).cast("timestamp_ntz") for f in TEXT_FORMATS]
+    listed = [F.try_to_timestamp(column, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(general, *listed)
 
 

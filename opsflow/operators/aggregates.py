@@ -1,4 +1,4 @@
-"""Group totals kept out of windows, and distinct counts kept out of wide aggregates."""
+"""Group totals kept out of windows."""
 
 from __future__ import annotations
 
@@ -7,20 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def distinct_count(df: DataFrame, group: Sequence[str], counted: Sequence[str], name: str) -> DataFrame:
-    """``COUNT(DISTINCT counted)`` per group as its own narrow aggregate.
-
-    Mixed into an aggregate with many measures, a distinct count makes Spark
-    shuffle every measure's buffer once per (group, value); alone, only the two
-    columns travel, and a hot group is spread over its values.
-    """
-    pairs = df.select(*group, *counted).distinct()
-    present = F.lit(True)
-    for c in counted:
-        present = present & F.col(c).isNotNull()
-    return pairs.groupBy(*group).agg(F.count_if(present).alias(name))
-
-
 def with_group_total(
     df: DataFrame, group: Sequence[str], value: Column, name: str, rows: DataFrame | None = None
 ) -> DataFrame:

@@ -17,7 +17,7 @@ def changes(before: DataFrame, after: DataFrame, key: str, append_only: bool = F
 
     An update is a DELETE of the old row and an INSERT of the new one, both
     marked ``is_update``. ``key`` is unique in both versions, a NULL counting as
-    one key. ``append_only`` keeps plain inserts alone.
+    one key; :func:`require_unique` checks that. ``append_only`` keeps plain inserts alone.
     """
     columns = after.columns
     old = before.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"))
@@ -39,22 +39,34 @@ def changes(before: DataFrame, after: DataFrame, key: str, append_only: bool = F
     )
 
 
+def require_unique(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key, with all columns; two rows of one key fail the query."""
+    packed = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"), F.max(F.struct(*rows.columns)).alias("_row"))
+    only = F.when(F.col("_rows") == 1, F.col("_row")).otherwise(F.raise_error(F.lit(f"{key} is not unique")))
+    return packed.select(only.alias("_row")).select("_row.*")
+
+
 def net_changes(feed: DataFrame, key: str, sequence: str | None = None) -> DataFrame:
     """One row per key: the last image, an INSERT outranking the DELETE of its own pair.
 
-    ``replaced`` marks a key that was really deleted and then inserted again.
-    The ``max`` combines inside the input tasks, so a key with many changes is
-    cheap to shuffle.
+    ``sequence`` names the column that orders a key's changes. Without it the feed must
+    be a single difference of two versions, that is, at most one image of each kind per
+    key; more than that has no order, and the query fails. ``replaced`` marks a key that
+    was really deleted and then inserted again. The ``max`` combines inside the input
+    tasks, so a key with many changes is cheap to shuffle.
     """
     values = [c for c in feed.columns if c not in (key, ACTION, IS_UPDATE, sequence)]
     is_insert = F.col(ACTION) == "INSERT"
     place = [F.col(sequence).alias("_seq")] if sequence else []
     last = F.max(F.struct(*place, is_insert.alias("_ins"), F.col(IS_UPDATE).alias("_upd"), *values))
     dropped = F.bool_or((F.col(ACTION) == "DELETE") & ~F.col(IS_UPDATE))
+    most = F.greatest(F.count_if(is_insert), F.count_if(~is_insert))
+    netted = feed.groupBy(key).agg(last.alias("_last"), dropped.alias("_dropped"), most.alias("_most"))
+    if not sequence:
+        netted = netted.withColumn("_last", F.when(F.col("_most") <= 1, F.col("_last")).otherwise(
+            F.raise_error(F.lit("several changes of one key need an order column"))))
     return (
-        feed.groupBy(key)
-        .agg(last.alias("_last"), dropped.alias("_dropped"))
-        .select(
+        netted.select(
             key,
             *[F.col("_last")[c].alias(c) for c in values],
             F.when(F.col("_last._ins"), "INSERT").otherwise("DELETE").alias(ACTION),
@@ -103,48 +115,6 @@ def effects(ops: DataFrame, key: str) -> DataFrame:
     )
 
 
-def folded_effects(ops: DataFrame, key: str, order: str) -> DataFrame:
-    """The outcome of several operations per key, one per ``order`` value, applied in that order.
-
-    Each batch is netted before, so a key's list is no longer than the number of
-    batches. Working the list off again on its own outcome changes nothing.
-    """
-    empty = F.lit(None).cast(ops.schema["row"].dataType)
-    start = F.struct(
-        F.lit(KEEP).alias("if_present"),
-        empty.alias("present_row"),
-        empty.alias("present_values"),
-        F.lit(False).alias("if_absent"),
-        empty.alias("absent_row"),
-        empty.alias("absent_values"),
-    )
-
-    def step(now: Column, entry: Column) -> Column:
-        op, row = entry["op"], entry["row"]
-        adds = op != DROP
-        takes = adds & ((op == REPLACE) | (now["if_present"] == DROP))
-        appears = adds & ((op == REPLACE) | ~now["if_absent"])
-        present = (
-            F.when(op == DROP, DROP)
-            .when(takes, REPLACE)
-            .when((op == UPDATE) & (now["if_present"] == KEEP), UPDATE)
-            .otherwise(now["if_present"])
-        )
-        return F.struct(
-            present.alias("if_present"),
-            F.when(takes, row).otherwise(now["present_row"]).alias("present_row"),
-            F.when(takes | (op == UPDATE), row).otherwise(now["present_values"]).alias("present_values"),
-            adds.alias("if_absent"),
-            F.when(appears, row).otherwise(now["absent_row"]).alias("absent_row"),
-            F.when(appears | (op == UPDATE), row).otherwise(now["absent_values"]).alias("absent_values"),
-        )
-
-    listed = F.array_sort(F.collect_list(F.struct(order, "op", "row")))
-    return ops.groupBy(key).agg(listed.alias("_ops")).select(key, F.aggregate("_ops", start, step).alias("_e")).select(
-        key, "_e.*"
-    )
-
-
 def apply_effects(
     target: DataFrame, outcome: DataFrame, key: str, update_columns: Sequence[str], stamp_column: str
 ) -> DataFrame:
@@ -167,26 +137,6 @@ def apply_effects(
     ).select(*target.columns, "_deleted")
 
 
-def overlay_effects(
-    target: DataFrame, outcome: DataFrame, key: str, update_columns: Sequence[str], stamp_column: str
-) -> DataFrame:
-    """The live rows after the changes, for few changes over a large target.
-
-    A left join and a semi join in place of the full outer one: Spark broadcasts
-    ``outcome`` if its measured size allows, and the target is then not shuffled.
-    """
-    rest = [c for c in target.columns if c != key]
-    t = target.select([F.col(c).alias(f"_t_{c}") for c in target.columns])
-    same_key = F.col(f"_t_{key}") == F.col(key)
-    touched = t.join(outcome, same_key, "left").where(F.coalesce(F.col("if_present") != DROP, F.lit(True)))
-    kept = touched.select(
-        F.col(f"_t_{key}").alias(key), *[_kept(c, update_columns, stamp_column).alias(c) for c in rest]
-    )
-    known = t.select(f"_t_{key}").join(outcome.select(key), same_key, "left_semi")
-    born = outcome.where("if_absent").join(known, same_key, "left_anti")
-    return kept.unionByName(born.select(key, *[_born(c, update_columns, stamp_column).alias(c) for c in rest]))
-
-
 def _kept(column: str, update_columns: Sequence[str], stamp_column: str) -> Column:
     """Value of a column for a key that had a row."""
     if column in update_columns or column == stamp_column:

@@ -4,22 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-LINE_ITEMS = "array<struct<sku_id:string,quantity:decimal(38,0),unit_price:double>>"
-
 
 def flatten_lines(orders: DataFrame, key: str = "order_id", json_column: str = "line_items_json") -> DataFrame:
-    """One row per array element; an empty, NULL or unreadable array gives none.
+    """One row per element of an array, or per value of an object; empty, NULL and unreadable text gives none.
 
     Quantities round half-up to whole numbers and a missing field is NULL.
     """
-    items = F.from_json(F.col(json_column), LINE_ITEMS)
-    return orders.select(key, F.explode(items).alias("_item")).select(
-        key, F.col("_item.sku_id"), F.col("_item.quantity"), F.col("_item.unit_price")
-    )
-
-
-def flatten_variant(orders: DataFrame, key: str = "order_id", json_column: str = "line_items_json") -> DataFrame:
-    """The same for text that may hold an object of line objects instead of an array."""
     parsed = orders.select(key, F.try_parse_json(json_column).alias("_doc"))
     items = parsed.lateralJoin(
         parsed.sparkSession.tvf.variant_explode(F.col("_doc").outer()).select(F.col("value").alias("_item"))

@@ -30,25 +30,11 @@ def added_rows(current: DataFrame, past: DataFrame, keys: Sequence[str]) -> Data
     return current.join(past.select(*keys), list(keys), "left_anti")
 
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``dimension`` marked for broadcast if it holds at most ``max_rows`` rows, else unchanged.
-
-    Spark knows the size of a stored table but not that of a derived one, and
-    would shuffle the whole fact table by a key of a few values to join it. The
-    count stops one row beyond the limit.
-    """
-    return F.broadcast(dimension) if dimension.limit(max_rows + 1).count() <= max_rows else dimension
-
-
 def lookup(fact: DataFrame, dimension: DataFrame, on: Mapping[str, str], how: str = "inner") -> DataFrame:
     """Fact rows with dimension columns; ``on`` maps fact column to dimension column.
 
-    No unchecked broadcast: Spark broadcasts the dimension when its measured size
-    is below the threshold (or see :func:`broadcast_if_small`) and otherwise splits
-    hot fact keys in the sort-merge join.
+    No hint: Spark broadcasts the dimension when the bytes it measures are below
+    the threshold, and otherwise splits hot fact keys in the sort-merge join.
     """
     d = dimension.select(
         [F.col(c).alias(f"_dim_{c}" if c in on.values() else c) for c in dimension.columns]

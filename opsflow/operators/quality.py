@@ -1,25 +1,26 @@
 """Data-quality rules run as one fused aggregate, the report and the gate.
 
 Rules over single rows, the row count and the newest date are all measured by
-one ``df.agg``; each uniqueness rule adds one ``groupBy``. Samples are fetched in
-one further pass, only if something failed.
+one ``df.agg``; each uniqueness or reference rule adds one ``groupBy``, which is kept until
+its samples are taken. Samples of the row rules take one further pass for those that
+list rows and one for those that list values, only if such a rule failed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from opsflow.functions.dates import age_hours, parse_timestamp
 from opsflow.functions.numeric import lenient_double
 from opsflow.functions.text import starts_with_match
-from opsflow.operators.joins import duplicate_keys, outside_reference
 
-# Closed sets of the report.
+# The closed sets of the report; so are the rule ids, descriptions and message texts below.
 CRITICAL, HIGH, MEDIUM, LOW = SEVERITIES = ("CRITICAL", "HIGH", "MEDIUM", "LOW")
 PASS, FAIL, WARNING, SKIPPED = "PASS", "FAIL", "WARNING", "SKIPPED"
 SAMPLE_SIZE = 5
@@ -332,6 +333,7 @@ def run_suite(
     found = fused_measures(df, measures).first()
     total = found["_total"]
     results: dict[int, CheckResult] = {}
+    grouped: dict[int, DataFrame] = {}
     for i, rule in enumerate(rules):
         if i in skipped:
             results[i] = CheckResult(rule.rule_id, rule.description, rule.severity, SKIPPED, total, message=skipped[i])
@@ -341,10 +343,9 @@ def run_suite(
                 results[i] = _counted(rule, total, found[f"m{i}"])
             elif rule.measure is not None:
                 results[i] = rule.judge(rule, total, found[f"m{i}"])
-            elif rule.unique is not None:
-                results[i] = _counted(rule, total, _sum_rows(duplicate_keys(df, [rule.unique])))
-            elif rule.outside is not None:
-                results[i] = _counted(rule, total, _sum_rows(outside_reference(df, *rule.outside)))
+            elif rule.unique is not None or rule.outside is not None:
+                grouped[i] = failing_groups(df, rule, key).persist(StorageLevel.MEMORY_AND_DISK)
+                results[i] = _counted(rule, total, _sum_rows(grouped[i]))
             else:
                 results[i] = rule.check(df)
         except Exception as error:
@@ -353,11 +354,13 @@ def run_suite(
             )
 
     failed = [i for i, r in results.items() if r.status == FAIL]
-    sampled = failing_samples(df, rules, failed, key)
+    sampled = failing_samples(df, rules, failed, key, grouped)
     if sampled is not None:
         picked = sorted(sampled.collect(), key=lambda r: r["place"])
         for i in failed:
             results[i] = replace(results[i], samples=tuple(r["value"] for r in picked if r["rule"] == i))
+    for frame in grouped.values():
+        frame.unpersist()
     return QualityReport(dataset, total, run_ts, tuple(results[i] for i in range(len(rules))))
 
 
@@ -420,8 +423,23 @@ def _all_or_nothing(rule: Rule, total: int, failed: bool, message: str) -> Check
     )
 
 
-def failing_samples(df: DataFrame, rules: Sequence[Rule], failed: Sequence[int], key: str | None) -> DataFrame | None:
-    """Up to five samples (rule, value, place) of each failed rule, from one pass over the row-level failures.
+def failing_groups(df: DataFrame, rule: Rule, key: str | None) -> DataFrame:
+    """The values that break a uniqueness or reference rule: value, row_count, and ``at``, the first position."""
+    column = rule.unique if rule.unique is not None else rule.outside[0]
+    values = df.groupBy(column).agg(F.count("*").alias("row_count"), F.min(_position(key, column)).alias("at"))
+    if rule.unique is not None:
+        broken = values.where("row_count > 1")
+    else:
+        _, allowed, allowed_column = rule.outside
+        reference = allowed.select(F.col(allowed_column).alias("_allowed"))
+        broken = values.where(F.col(column).isNotNull()).join(reference, F.col(column) == F.col("_allowed"), "left_anti")
+    return broken.select(F.col(column).cast("string").alias("value"), "row_count", "at")
+
+
+def failing_samples(
+    df: DataFrame, rules: Sequence[Rule], failed: Sequence[int], key: str | None, groups: Mapping[int, DataFrame] | None = None
+) -> DataFrame | None:
+    """Up to five samples (rule, value, place) of each failed rule; ``groups`` holds ``failing_groups`` already made.
 
     Each input task cuts every rule to five rows before the shuffle, so a rule
     that fails on most of the table costs no more than one that fails rarely.
@@ -434,20 +452,10 @@ def failing_samples(df: DataFrame, rules: Sequence[Rule], failed: Sequence[int],
     if grouped:
         frames.append(_failing_values(df, rules, grouped, key).groupBy("rule", "value").agg(F.min("at").alias("at")))
     for i in failed:
-        rule = rules[i]
-        if rule.unique is not None:
-            first = F.min(_position(key, rule.unique)).alias("at")
-            repeats = df.groupBy(rule.unique).agg(F.count("*").alias("row_count"), first).where("row_count > 1")
-            frames.append(repeats.select(F.lit(i).alias("rule"), F.col(rule.unique).cast("string").alias("value"), "at"))
-        elif rule.outside is not None:
-            column, allowed, allowed_column = rule.outside
-            values = (
-                df.where(F.col(column).isNotNull())
-                .groupBy(column)
-                .agg(F.min(_position(key, column)).alias("at"))
-                .join(allowed.select(F.col(allowed_column).alias("_allowed")), F.col(column) == F.col("_allowed"), "left_anti")
-            )
-            frames.append(values.select(F.lit(i).alias("rule"), F.col(column).cast("string").alias("value"), "at"))
+        if rules[i].unique is not None or rules[i].outside is not None:
+            broken = (groups or {}).get(i)
+            broken = failing_groups(df, rules[i], key) if broken is None else broken
+            frames.append(broken.select(F.lit(i).alias("rule"), "value", "at"))
     if not frames:
         return None
     order = Window.partitionBy("rule").orderBy("at", "value")

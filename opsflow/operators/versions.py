@@ -52,6 +52,17 @@ def restore(log: DataFrame, keys: Sequence[str], commit_id: int, path: str) -> D
     return log.sparkSession.read.schema(state.schema).parquet(path)
 
 
+def restore_table(log: DataFrame, keys: Sequence[str], commit_id: int, table: str, path: str) -> DataFrame:
+    """Restores a catalog table in place: the state goes to the new ``path`` and the table's name is swapped over to it.
+
+    Readers of the name see the old rows until the swap and the restored ones after it;
+    the old files stay where they are.
+    """
+    spark = log.sparkSession
+    restore(log, keys, commit_id, path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 def log_rows(feed: DataFrame, key: str, commit_ts: datetime, commit_id: int) -> DataFrame:
     """One commit's change feed as rows to append to the log, one row per key."""

@@ -10,7 +10,7 @@ from opsflow.context import period_label
 from opsflow.functions.dates import in_month
 from opsflow.operators.changes import upsert
 from opsflow.schemas import MONTHLY_CLOSE, conform
-from opsflow.session import staged
+from opsflow.session import job_scope, staged
 from opsflow.sources.tables import read_or_empty, replace_partitions
 
 KEYS = ("sku_id", "warehouse_id", "close_period")
@@ -57,6 +57,8 @@ def monthly_close(
     this_period = F.col("close_period") == period
     source = spark.read.schema(MONTHLY_CLOSE).parquet(staging_path).where(this_period)
     current = read_or_empty(spark, close_path, MONTHLY_CLOSE).where(this_period)
-    closed = staged(upsert_close(current, source, run_ts), "monthly-close")
-    replace_partitions(closed, close_path, ["close_period"])
+    with job_scope(spark):
+        # Stored first, because the partition that it replaces is also read for it.
+        closed = staged(upsert_close(current, source, run_ts), "monthly-close")
+        replace_partitions(closed, close_path, ["close_period"])
     return f"Monthly close for {period} completed successfully."

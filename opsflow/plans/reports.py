@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from opsflow.context import RunContext, resolve_date_token
 from opsflow.sources.logs import FAILURE, NO_DATA, SUCCESS, append_delivery
-from opsflow.sources.tables import observed_rows
+from opsflow.sources.tables import drop_path, observed_rows
 
 log = logging.getLogger(__name__)
 
@@ -61,13 +61,16 @@ def inventory_summary(tables: Mapping[str, DataFrame], params: Mapping[str, str]
     )
 
 
-SCORECARD_EXTRACT_SQL = """
-    SELECT supplier_name, on_time_delivery_pct, fill_rate_pct, defect_rate_pct, composite_score, supplier_status
-    FROM {supplier_scorecard_weekly}
-    WHERE week_ending = cast(:week_ending AS date)
-    ORDER BY composite_score DESC NULLS FIRST, supplier_name
-"""
+def scorecard_extract(tables: Mapping[str, DataFrame], params: Mapping[str, str]) -> DataFrame:
+    """The weekly card's rows of one closing day, best score first."""
+    card = tables["supplier_scorecard_weekly"].where(F.col("week_ending") == F.lit(params["week_ending"]).cast("date"))
+    shown = card.select(
+        "supplier_name", "on_time_delivery_pct", "fill_rate_pct", "defect_rate_pct", "composite_score", "supplier_status"
+    )
+    return shown.orderBy(F.col("composite_score").desc_nulls_first(), "supplier_name")
+
 
+# Names, parameters and schedules of the catalogue.
 CATALOGUE: tuple[Report, ...] = (
     Report(
         "Daily Inventory Summary",
@@ -78,7 +81,7 @@ CATALOGUE: tuple[Report, ...] = (
     ),
     Report(
         "Weekly Supplier Scorecard",
-        SCORECARD_EXTRACT_SQL,
+        scorecard_extract,
         {"week_ending": "last_sunday"},
         ("supply-chain@example.com",),
         "0 8 * * 1",
@@ -111,14 +114,20 @@ def run_report(
     root: str,
     log_path: str,
 ) -> str:
-    """Runs one report, stores its rows and logs the delivery; a failure is logged and raised."""
+    """Runs one report, stores its rows and logs the delivery; a failure is logged and raised.
+
+    A report without rows is logged as such and stores nothing.
+    """
+    path = output_path(root, report, run)
     try:
         counted = Observation()
         rows = execute(spark, report, tables, run).observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").parquet(output_path(root, report, run))
+        rows.write.mode("overwrite").parquet(path)
         count = observed_rows(counted)
+        if not count:
+            drop_path(spark, path)
     except Exception as error:
-        append_delivery(spark, log_path, report.name, run.run_ts, FAILURE, 0, report.recipients, str(error)[:1000])
+        append_delivery(spark, log_path, report.name, run.run_ts, FAILURE, 0, report.recipients, str(error))
         raise
     status = SUCCESS if count else NO_DATA
     append_delivery(spark, log_path, report.name, run.run_ts, status, count, report.recipients)
@@ -142,9 +151,3 @@ def run_catalogue(
             log.exception("report %s failed", report.name)
             outcome[report.name] = FAILURE
     return outcome
-
-
-def weekly_scorecard(scorecard: DataFrame, run: RunContext) -> DataFrame:
-    """Scorecard rows stamped with the week they close, as the extract reads them."""
-    week = resolve_date_token("last_sunday", run.as_of)
-    return scorecard.withColumn("week_ending", F.lit(week).cast("date"))

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opsflow.context import months_back, quarter_start
 from opsflow.functions.dates import day
 from opsflow.functions.numeric import floor_at_zero, mean, ratio, ratio_of_sums, round_half_up
-from opsflow.operators.aggregates import distinct_count
 from opsflow.operators.ranking import ntile_at_scale, rank_at_scale
 from opsflow.session import staged
 
@@ -40,10 +39,10 @@ def recent_lines(orders: DataFrame, as_of: date, months: int = 12) -> DataFrame:
 
 
 def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6) -> DataFrame:
-    """Delivery, price and quarter measures per supplier from one aggregate.
+    """Delivery, price and quarter measures per supplier from one scan of the lines.
 
-    The four views of the lines share their key, so one pass with conditional
-    aggregates serves all; only the distinct order count runs on its own.
+    The lines are summed by supplier and order first, so that orders are counted by
+    rows of the second step and a supplier with very many lines is spread over its orders.
     """
     ordered, invoiced = F.col("unit_price_ordered"), F.col("unit_price_invoiced")
     gap = invoiced - ordered
@@ -57,7 +56,7 @@ def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6) -> D
     def on_time_pct(hits: str, rows: str) -> Column:
         return round_half_up(mean(F.col(hits), F.col(rows)) * 100, 2)
 
-    sums = lines.groupBy("supplier_id").agg(
+    by_order = lines.groupBy("supplier_id", "po_id").agg(
         F.count("*").alias("total_line_items"),
         F.count_if(F.abs(ratio(gap, ordered)) <= 0.01).alias("accurate_invoice_lines"),
         F.sum(gap_ratio).alias("gap_ratio_sum"),
@@ -74,8 +73,11 @@ def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6) -> D
         F.sum(F.when(prior, F.col("on_time"))).alias("prior_hits"),
         F.count_if(prior).alias("prior_lines"),
     )
-    orders = distinct_count(lines, ["supplier_id"], ["po_id"], "total_pos")
-    return sums.join(orders, "supplier_id").select(
+    parts = [c for c in by_order.columns if c not in ("supplier_id", "po_id", "max_delay_days")]
+    sums = by_order.groupBy("supplier_id").agg(
+        F.count("po_id").alias("total_pos"), F.max("max_delay_days").alias("max_delay_days"), *[F.sum(c).alias(c) for c in parts]
+    )
+    return sums.select(
         "supplier_id",
         "total_line_items",
         "accurate_invoice_lines",
@@ -96,22 +98,26 @@ def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6) -> D
 def receipt_quality(receipts: DataFrame, as_of: date, months: int = 12) -> DataFrame:
     """Receipts, rejects, defect rate and distinct receipts with rejects, per supplier."""
     recent = receipts.where(F.col("receipt_date") >= day(months_back(as_of, months)))
-    sums = recent.groupBy("supplier_id").agg(
+    by_note = recent.groupBy("supplier_id", "grn_id").agg(
         F.count("*").alias("total_receipts"),
         F.sum("rejected_qty").alias("total_rejected_qty"),
         F.sum("accepted_qty").alias("total_accepted_qty"),
         F.sum("received_qty").alias("total_received_qty"),
+        F.coalesce(F.bool_or(F.col("rejected_qty") > 0), F.lit(False)).alias("with_reject"),
     )
-    defective = distinct_count(
-        recent.where(F.col("rejected_qty") > 0), ["supplier_id"], ["grn_id"], "shipments_with_defects"
+    # One row per note here, so notes with a reject are counted by rows; a note without number is none.
+    rejected = F.count_if(F.col("with_reject") & F.col("grn_id").isNotNull())
+    sums = by_note.groupBy("supplier_id").agg(
+        *[F.sum(c).alias(c) for c in ("total_receipts", "total_rejected_qty", "total_accepted_qty", "total_received_qty")],
+        rejected.alias("shipments_with_defects"),
     )
-    return sums.join(defective, "supplier_id", "left").select(
+    return sums.select(
         "supplier_id",
         "total_receipts",
         F.col("total_rejected_qty").cast("double"),
         F.col("total_accepted_qty").cast("double"),
         ratio_of_sums(F.col("total_rejected_qty"), F.col("total_received_qty")).alias("defect_rate_pct"),
-        F.coalesce("shipments_with_defects", F.lit(0)).cast("bigint").alias("shipments_with_defects"),
+        "shipments_with_defects",
     )
 
 
@@ -166,13 +172,16 @@ def ranked_suppliers(scored: DataFrame) -> DataFrame:
     """Adds status, rank within tier and quartile; a NULL score sorts first, as the largest value.
 
     The scores are stored first, so that sampling them for the range bounds does
-    not run the aggregates and joins behind them again.
+    not run the aggregates and joins behind them again. Only supplier, tier and score
+    are ranked; the other columns are joined back.
     """
     scored = staged(scored, "scores")
-    with_rank = rank_at_scale(scored, ["supplier_tier"], "composite_score", [F.col("supplier_id")], "rank_within_tier")
+    narrow = scored.select("supplier_id", "supplier_tier", "composite_score")
+    with_rank = rank_at_scale(narrow, ["supplier_tier"], "composite_score", [F.col("supplier_id")], "rank_within_tier")
     tiled = ntile_at_scale(
         with_rank, 4, [F.col("composite_score").desc_nulls_first(), F.col("supplier_id")], "_tile"
     )
+    tiled = scored.join(tiled.select("supplier_id", "rank_within_tier", "_tile"), "supplier_id")
     labels = F.array(*[F.lit(label) for label in QUARTILE_LABELS])
     return tiled.withColumns(
         {
@@ -202,7 +211,7 @@ def supplier_scorecard(
         "avg_delay_days_when_late",
         "defect_rate_pct",
         "avg_price_variance_pct",
-        F.round("total_invoice_variance_usd", 2).cast("double").alias("invoice_variance_usd"),
+        F.round("total_invoice_variance_usd", 2).cast("decimal(38,2)").alias("invoice_variance_usd"),
         "otd_pct_current_qtr",
         "otd_pct_prior_qtr",
         "otd_qtr_delta",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,8 +13,6 @@ from opsflow.functions.dates import day
 from opsflow.functions.numeric import mean
 from opsflow.operators.changes import ACTION
 from opsflow.schemas import SUMMARY_STATE
-from opsflow.session import staged
-from opsflow.sources.commits import apply_once, data_path
 from opsflow.sources.tables import read_or_empty
 
 KEYS = ("snapshot_day", "warehouse_id", "sku_id", "category")
@@ -73,13 +72,10 @@ def state_of_changes(feed: DataFrame) -> DataFrame:
     return summary_state(feed, F.when(F.col(ACTION) == "INSERT", 1).otherwise(-1))
 
 
-def _summed(states: DataFrame) -> DataFrame:
-    return states.groupBy(*KEYS).agg(*[F.sum(p).cast(STATE_TYPES[p]).alias(p) for p in PARTS])
-
-
 def merge_states(states: DataFrame) -> DataFrame:
     """One row per group from any number of partial states; emptied groups disappear."""
-    return _summed(states).where(F.col("row_count") > 0)
+    summed = states.groupBy(*KEYS).agg(*[F.sum(p).cast(STATE_TYPES[p]).alias(p) for p in PARTS])
+    return summed.where(F.col("row_count") > 0)
 
 
 def refresh(state: DataFrame, delta: DataFrame) -> DataFrame:
@@ -87,27 +83,19 @@ def refresh(state: DataFrame, delta: DataFrame) -> DataFrame:
     return merge_states(state.select(*KEYS, *PARTS).unionByName(delta.select(*KEYS, *PARTS)))
 
 
-def refresh_table(path: str, delta: DataFrame, batch_id: int, schema: StructType = SUMMARY_STATE) -> None:
-    """Adds a partial state to the stored summary, reading and rewriting only the days it touches.
+def refresh_table(path: str, delta: DataFrame, batch_id: int) -> None:
+    """Adds a partial state to the stored summary, as the folder of its batch.
 
-    Applied once per ``batch_id``. Groups emptied by deletions stay as rows with a
-    count of zero, so that a day that loses all its groups is overwritten too.
+    Sums merge when they are read, so nothing stored is read or rewritten. A repeated
+    batch overwrites its own folder. ``streaming.summary.compact_summary`` merges many
+    folders into one.
     """
-    spark = delta.sparkSession
-
-    def rewritten() -> DataFrame:
-        # Read for its days and for its rows, so it is worked out once. The driver gets one value per day.
-        added = staged(delta.select(*KEYS, *PARTS), "summary-delta")
-        days = [r[0] for r in added.select("snapshot_day").distinct().collect()]
-        stored = read_or_empty(spark, data_path(path), schema).where(F.col("snapshot_day").isin(days))
-        return _summed(stored.select(*KEYS, *PARTS).unionByName(added))
-
-    apply_once(spark, path, batch_id, ["snapshot_day"], schema, rewritten)
+    delta.select(*KEYS, *PARTS).write.mode("overwrite").parquet(posixpath.join(path, f"batch_id={batch_id}"))
 
 
 def read_state(spark: SparkSession, path: str, schema: StructType = SUMMARY_STATE) -> DataFrame:
-    """The stored state; a filter on ``snapshot_day`` prunes its partitions."""
-    return read_or_empty(spark, data_path(path), schema).where(F.col("row_count") > 0)
+    """The merged state of all batches."""
+    return merge_states(read_or_empty(spark, path, schema))
 
 
 def summary_view(state: DataFrame) -> DataFrame:
@@ -116,9 +104,9 @@ def summary_view(state: DataFrame) -> DataFrame:
     shipped = F.when(F.col("shipped_count") > 0, F.col("total_shipped"))
     return state.select(
         *KEYS,
-        received.cast("double").alias("total_received"),
-        shipped.cast("double").alias("total_shipped"),
-        (received - shipped).cast("double").alias("net_movement"),
+        received.alias("total_received"),
+        shipped.alias("total_shipped"),
+        (received - shipped).cast("decimal(38,4)").alias("net_movement"),
         mean(F.col("cost_sum"), F.col("cost_count")).alias("avg_unit_cost"),
     )
 

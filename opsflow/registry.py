@@ -6,10 +6,12 @@ All dates are fixed, so a query gives the same rows on every run.
 from __future__ import annotations
 
 import posixpath
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DecimalType
 
 from opsflow.context import RunContext
 from opsflow.functions.text import starts_with_match
@@ -19,6 +21,7 @@ from opsflow.plans import anomaly, close, etl, reconcile, reports, scorecard, su
 from opsflow.schemas import DELIVERY_LOG, INVENTORY_FACT, MONTHLY_CLOSE, RUN_LOG, STAGED_INVENTORY, conform
 from opsflow.session import staged, work_path
 from opsflow.sources.logs import delivery_manifest
+from opsflow.sources.tables import create_if_missing, insert_select, path_exists
 from opsflow.sources.views import view
 from opsflow.streaming import cdc, load, summary as summary_stream
 
@@ -38,6 +41,18 @@ def query(function: Query) -> Query:
     return function
 
 
+def _as_doubles(rows: DataFrame) -> DataFrame:
+    """Decimals as doubles, for comparing values across engines; the jobs keep them exact."""
+    money = [f.name for f in rows.schema if isinstance(f.dataType, DecimalType)]
+    return rows.withColumns({c: F.col(c).cast("double") for c in money})
+
+
+def _positioned(rows: DataFrame, *columns: str) -> DataFrame:
+    """Columns of a sorted report with the place of each row, as an engine-neutral form of its order."""
+    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
+    return ranking.row_number_at_scale(numbered, [], [F.col("_at")], "place").select("place", *columns)
+
+
 # --- inventory anomalies ---------------------------------------------------
 
 
@@ -78,6 +93,20 @@ def inventory_z_excluding_current(spark, sf):
     return rows.select(*anomaly.SERIES, "transaction_date", "z_score")
 
 
+@query
+def inventory_severity_excluding_current(spark, sf):
+    """Severities against the seven rows before the current one, where a z-score can exceed 3."""
+    rows = anomaly.anomalies_all_days(
+        view(spark, sf, "fx_inventory"), view(spark, sf, "fx_sku_master"), REPORT_DAY, exclude_current=True
+    )
+    return rows.select("transaction_date", "sku_id", "warehouse_id", "anomaly_severity", "anomaly_reason", "z_score")
+
+
+@query
+def inventory_anomaly_order(spark, sf):
+    return _positioned(inventory_anomaly(spark, sf), "anomaly_severity", "sku_id", "warehouse_id")
+
+
 @query
 def inventory_dense_days(spark, sf):
     daily = anomaly.daily_inventory(view(spark, sf, "fx_inventory"))
@@ -94,9 +123,30 @@ def _order_lines(spark, sf):
 
 @query
 def supplier_scorecard(spark, sf):
-    return scorecard.supplier_scorecard(
+    return _as_doubles(scorecard.supplier_scorecard(
         view(spark, sf, "fx_purchase_orders"), view(spark, sf, "fx_receipts"), view(spark, sf, "fx_suppliers"), SCORE_DAY
+    ))
+
+
+@query
+def supplier_scorecard_order(spark, sf):
+    return _positioned(supplier_scorecard(spark, sf), "supplier_id", "composite_score")
+
+
+@query
+def supplier_scorecard_planted(spark, sf):
+    """Scores of every status: late suppliers, suppliers with many rejects, and ones without a price to compare."""
+    group = F.col("supplier_id") % 5
+    orders = view(spark, sf, "fx_purchase_orders").withColumns({
+        "actual_delivery_date": F.when(group != 1, F.col("actual_delivery_date")),
+        "received_qty": F.when(group == 2, F.col("received_qty") / 2).otherwise(F.col("received_qty")).cast("decimal(18,4)"),
+        "unit_price_ordered": F.when(group == 3, 0).otherwise(F.col("unit_price_ordered")).cast("decimal(18,4)"),
+    })
+    receipts = view(spark, sf, "fx_receipts").withColumn(
+        "rejected_qty", F.when(group == 1, F.col("received_qty")).otherwise(F.col("rejected_qty")).cast("decimal(18,4)")
     )
+    card = scorecard.supplier_scorecard(orders, receipts, view(spark, sf, "fx_suppliers"), SCORE_DAY)
+    return card.select("supplier_id", "composite_score", "supplier_status", "rank_within_tier", "performance_quartile")
 
 
 @query
@@ -145,12 +195,17 @@ def _ledgers(spark, sf):
 
 @query
 def recon_exceptions(spark, sf):
-    return reconcile.reconciliation_exceptions(*_ledgers(spark, sf), LEDGER_START, LEDGER_END)
+    return _as_doubles(reconcile.reconciliation_exceptions(*_ledgers(spark, sf), LEDGER_START, LEDGER_END))
+
+
+@query
+def recon_exceptions_order(spark, sf):
+    return _positioned(recon_exceptions(spark, sf), "variance_severity", "invoice_number", "vendor_id")
 
 
 @query
 def recon_vendor_summary(spark, sf):
-    return reconcile.reconciliation_vendor_summary(*_ledgers(spark, sf), LEDGER_START, LEDGER_END)
+    return _as_doubles(reconcile.reconciliation_vendor_summary(*_ledgers(spark, sf), LEDGER_START, LEDGER_END))
 
 
 @query
@@ -194,15 +249,9 @@ def _transformed(spark, sf, watermark):
     return etl.cleansed(_sources(spark, sf), watermark, RUN_TS)
 
 
-def _staging_values(rows):
-    """Decimals as doubles, for comparing values across engines."""
-    amounts = ("QUANTITY", "SIGNED_QUANTITY", "UNIT_COST", "EXTENDED_COST")
-    return rows.withColumns({c: F.col(c).cast("double") for c in amounts})
-
-
 @query
 def etl_transformed(spark, sf):
-    return _staging_values(_transformed(spark, sf, WATERMARK))
+    return _as_doubles(_transformed(spark, sf, WATERMARK))
 
 
 @query
@@ -211,6 +260,32 @@ def etl_incremental(spark, sf):
     return rows.select("transaction_id", "sku_id", "warehouse_id", "transaction_type", "modified_date")
 
 
+def _text_dated(spark, sf):
+    """Extracted movements whose dates are text in several forms, one of them unreadable."""
+    rows = etl.extract(_sources(spark, sf), None)
+    when, form = F.col("transaction_date"), F.col("transaction_id") % 5
+    text = (
+        F.when(form == 0, F.date_format(when, "yyyy-MM-dd HH:mm:ss")).when(form == 1, F.date_format(when, "MM/dd/yyyy"))
+        .when(form == 2, F.date_format(when, "yyyyMMdd")).when(form == 3, F.date_format(when, "dd.MM.yyyy")).otherwise("soon")
+    )
+    return rows.withColumn("transaction_date", text)
+
+
+TEXT_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "yyyyMMdd", "dd.MM.yyyy")
+
+
+@query
+def etl_text_dates(spark, sf):
+    rows = etl.transform(_text_dated(spark, sf), RUN_TS, formats=TEXT_FORMATS)
+    return rows.select("TRANSACTION_ID", "TRANSACTION_DATE", "TRANSACTION_WEEK")
+
+
+@query
+def etl_quarantined(spark, sf):
+    """The rows that the cleansing leaves out, with what could not be read."""
+    return etl.quarantined(_text_dated(spark, sf), TEXT_FORMATS).select("transaction_id", "transaction_date", "unreadable")
+
+
 def _two_runs(spark, sf):
     """Two logged runs into one table: up to the middle of the month, then what changed since."""
     root = work_path(spark, "etl")
@@ -221,7 +296,7 @@ def _two_runs(spark, sf):
         sources.skus,
         sources.warehouses,
     )
-    etl.run_pipeline(first_half, target, log, RunContext.at(MID_WATERMARK), full_load=True)
+    etl.run_pipeline(first_half, target, log, RunContext.at(MID_WATERMARK), full_load=True, lookback_days=None)
     etl.run_pipeline(sources, target, log, RunContext.at(RUN_TS), skip_loaded=True)
     return spark.read.schema(STAGED_INVENTORY).parquet(target), spark.read.schema(RUN_LOG).parquet(log)
 
@@ -266,14 +341,60 @@ def _rules(skus):
     ]
 
 
+def _checked(spark, sf):
+    """Movements of which some name a SKU that does not exist."""
+    lost = F.when(F.col("transaction_id") % 37 == 0, -F.col("sku_id")).otherwise(F.col("sku_id"))
+    return view(spark, sf, "fx_movements").withColumn("sku_id", lost)
+
+
 def _report(spark, sf):
-    small_parts = view(spark, sf, "fx_sku_master").where(F.col("unit_of_measure") == "EACH")
-    return dq.run_suite(view(spark, sf, "fx_movements"), "movements", _rules(small_parts), "transaction_id", RUN_TS)
+    return dq.run_suite(
+        _checked(spark, sf), "movements", _rules(view(spark, sf, "fx_sku_master")), "transaction_id", RUN_TS
+    )
 
 
 @query
 def dq_results(spark, sf):
-    return _report(spark, sf).results_frame(spark).where(F.col("status") != dq.SKIPPED).drop("description")
+    return _report(spark, sf).results_frame(spark)
+
+
+@query
+def dq_failed_order(spark, sf):
+    """Failed rules in the order of their severity's name."""
+    failed = [(place, r.rule_id, r.severity) for place, r in enumerate(_report(spark, sf).failed, 1)]
+    return spark.createDataFrame(failed, "place int, rule_id string, severity string")
+
+
+@query
+def dq_gate(spark, sf):
+    """The gate's answer for two suites over the movements: one passes, one blocks."""
+    rows = _checked(spark, sf)
+    suites = {
+        "open": [dq.not_null("transaction_id"), dq.not_null("quantity", dq.HIGH)],
+        "shut": [dq.not_null("quantity"), dq.not_null("warehouse_id"), dq.is_unique("sku_id")],
+    }
+    answers = []
+    for name, rules in suites.items():
+        try:
+            dq.run_suite(rows, name, rules, "transaction_id", RUN_TS).raise_on_critical()
+            answers.append((name, False, None))
+        except ValueError as blocked:
+            answers.append((name, True, str(blocked)))
+    return spark.createDataFrame(answers, "suite string, blocked boolean, message string")
+
+
+@query
+def dq_custom_rules(spark, sf):
+    """A caller's own row predicate and own function of the table."""
+
+    def few_warehouses(df):
+        found = df.select("warehouse_id").distinct().count()
+        status = dq.PASS if found <= 3 else dq.FAIL
+        return dq.CheckResult("few_warehouses", "at most three warehouses", dq.LOW, status, df.count(), found)
+
+    dear = dq.predicate_rule("dear", "unit cost below 14", dq.LOW, F.col("unit_cost") >= 14, F.col("transaction_id"))
+    rules = [dear, dq.table_rule("few_warehouses", "at most three warehouses", dq.LOW, few_warehouses)]
+    return dq.run_suite(_checked(spark, sf), "own", rules, "transaction_id", RUN_TS).results_frame(spark)
 
 
 @query
@@ -282,7 +403,7 @@ def dq_export(spark, sf):
     path = work_path(spark, "dq-csv")
     _report(spark, sf).write_csv(spark, path)
     back = spark.read.option("header", True).schema(dq.RESULT_SCHEMA).csv(path)
-    return back.where(F.col("status") != dq.SKIPPED).drop("description")
+    return back
 
 
 @query
@@ -299,8 +420,10 @@ def dq_duplicates(spark, sf):
 
 @query
 def dq_orphans(spark, sf):
-    suppliers = view(spark, sf, "fx_suppliers").where(F.col("supplier_tier") == "TIER-1")
-    return joins.outside_reference(view(spark, sf, "fx_receipts"), "supplier_id", suppliers, "supplier_id")
+    """Receipts of which some name a supplier that does not exist."""
+    lost = F.when(F.col("grn_id") % 11 == 0, -F.col("supplier_id")).otherwise(F.col("supplier_id"))
+    receipts = view(spark, sf, "fx_receipts").withColumn("supplier_id", lost)
+    return joins.outside_reference(receipts, "supplier_id", view(spark, sf, "fx_suppliers"), "supplier_id")
 
 
 @query
@@ -368,9 +491,7 @@ def cdc_stream(spark, sf):
     """The same merge, fed by a file stream in several micro-batches."""
     before, after = _versions(spark, sf)
     root = work_path(spark, "cdc")
-    table = cdc.FactTable(
-        posixpath.join(root, "fact"), INVENTORY_FACT, FACT_KEY, FACT_UPDATES, buckets=8, compact_after=2
-    )
+    table = cdc.FactTable(posixpath.join(root, "fact"), INVENTORY_FACT, FACT_KEY, FACT_UPDATES, buckets=8)
     load_feed = before.withColumns({chg.ACTION: F.lit("INSERT"), chg.IS_UPDATE: F.lit(False)})
     cdc.merge_batch(load_feed, -1, table, EARLIER_TS)
     feed = chg.changes(before, after, FACT_KEY)
@@ -382,6 +503,21 @@ def cdc_stream(spark, sf):
     return _fact_values(table.read(spark))
 
 
+@query
+def merge_ordered_changes(spark, sf):
+    """One batch with many changes of a key: updates, deletes, re-inserts and plain inserts, in the order of their commits."""
+    log = view(spark, sf, "fx_commit_log")
+    target = versions.as_of(log, ["sku_id"], MID_WATERMARK).drop("commit_ts", "commit_id")
+    target = target.withColumn("last_updated_ts", F.lit(EARLIER_TS).cast("timestamp_ntz"))
+    is_delete = F.col("action") == "DELETE"
+    feed = log.where(F.col("commit_ts") > F.lit(MID_WATERMARK).cast("timestamp_ntz")).select(
+        "sku_id", "channel", "quantity", "commit_id",
+        F.when(is_delete, "DELETE").otherwise("INSERT").alias(chg.ACTION),
+        (~is_delete & (F.col("commit_id") % 3 > 0)).alias(chg.IS_UPDATE),
+    )
+    return _quantities(chg.merge_changes(target, feed, "sku_id", ["quantity"], RUN_TS, sequence="commit_id"))
+
+
 LOG_KEY = ["sku_id", "channel"]
 
 
@@ -417,6 +553,24 @@ def restore_state(spark, sf):
     return _quantities(versions.restore(log, LOG_KEY, _bad_commit(log), work_path(spark, "restored")))
 
 
+def _table_name(label):
+    return f"opsflow_{label}_{uuid.uuid4().hex}"
+
+
+@query
+def restore_table_state(spark, sf):
+    """A catalog table of the newest state, restored in place to the state before a commit."""
+    log, name = view(spark, sf, "fx_commit_log"), _table_name("restored")
+    newest = versions.latest_state(log, LOG_KEY)
+    path = work_path(spark, "newest")
+    newest.write.parquet(path)
+    create_if_missing(spark, name, newest.schema, path)
+    table = versions.restore_table(log, LOG_KEY, _bad_commit(log), name, work_path(spark, "restored"))
+    rows = _quantities(table)
+    spark.sql(f"DROP TABLE {name}")  # the entry, not the files
+    return rows
+
+
 # --- daily summary ---------------------------------------------------------
 
 
@@ -425,14 +579,18 @@ def _movements(spark, sf, watermark=WATERMARK):
     return rows.toDF(*[c.lower() for c in rows.columns])
 
 
+def _summary_view(state):
+    return _as_doubles(summary.summary_view(state))
+
+
 @query
 def daily_summary(spark, sf):
-    return summary.daily_summary(_movements(spark, sf))
+    return _as_doubles(summary.daily_summary(_movements(spark, sf)))
 
 
 @query
 def daily_summary_recent(spark, sf):
-    return summary.recent_summary(summary.daily_summary(_movements(spark, sf)), date(2024, 4, 15))
+    return _as_doubles(summary.recent_summary(summary.daily_summary(_movements(spark, sf)), date(2024, 4, 15)))
 
 
 @query
@@ -440,19 +598,22 @@ def daily_summary_incremental(spark, sf):
     rows = _movements(spark, sf)
     early = F.col("transaction_date") < F.lit(MID_WATERMARK).cast("timestamp_ntz")
     stored = summary.summary_state(rows.where(early))
-    return summary.summary_view(summary.refresh(stored, summary.summary_state(rows.where(~early))))
+    return _summary_view(summary.refresh(stored, summary.summary_state(rows.where(~early))))
 
 
 @query
 def daily_summary_from_changes(spark, sf):
     """Summary of one table version, moved to the next version by its change feed alone."""
     typed = [
-        v.withColumns({"transaction_type": F.lit("RECEIPT"), "category": F.col("warehouse_id")})
+        v.withColumns({
+            "transaction_type": F.when(F.col("transaction_id") % 3 == 0, "SHIPMENT").otherwise("RECEIPT"),
+            "category": F.col("warehouse_id"),
+        })
         for v in _versions(spark, sf)
     ]
     stored = summary.summary_state(typed[0])
     delta = summary.state_of_changes(chg.changes(*typed, FACT_KEY))
-    return summary.summary_view(summary.refresh(stored, delta))
+    return _summary_view(summary.refresh(stored, delta))
 
 
 @query
@@ -464,7 +625,7 @@ def daily_summary_table(spark, sf):
     for batch_id, part in enumerate((early, ~early)):
         for _ in range(2):
             summary.refresh_table(path, summary.summary_state(rows.where(part)), batch_id)
-    return summary.summary_view(summary.read_state(spark, path))
+    return _summary_view(summary.read_state(spark, path))
 
 
 def _event_stream(spark, sf, name):
@@ -480,20 +641,18 @@ def daily_summary_stream(spark, sf):
     root = work_path(spark, "summary")
     path = posixpath.join(root, "partials")
     summary_stream.run_summary_stream(rows, path, posixpath.join(root, "checkpoint")).awaitTermination()
-    return summary.summary_view(summary_stream.read_summary_state(spark, path))
+    return _summary_view(summary.read_state(spark, path))
 
 
 @query
 def daily_summary_windowed(spark, sf):
-    """Event-time windows: the days the watermark has closed."""
+    """Event-time windows, the days still open at the end of the input included."""
     rows = etl.cleansed(_event_stream(spark, sf, "opsflow_window_stream"), WATERMARK, RUN_TS)
     windows = summary_stream.windowed_summary(rows.toDF(*[c.lower() for c in rows.columns]), "1 day")
     root = work_path(spark, "windowed")
-    writer = windows.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     path = posixpath.join(root, "out")
-    writer.option("path", path).option("checkpointLocation", posixpath.join(root, "cp")).start().awaitTermination()
-    amounts = ("total_received", "total_shipped", "net_movement", "avg_unit_cost")
-    return spark.read.schema(windows.schema).parquet(path).withColumns({c: F.col(c).cast("double") for c in amounts})
+    summary_stream.run_windowed_stream(windows, path, posixpath.join(root, "checkpoint")).awaitTermination()
+    return _as_doubles(summary_stream.read_windowed(spark, path, windows.schema))
 
 
 @query
@@ -501,7 +660,7 @@ def etl_stream(spark, sf):
     root = work_path(spark, "etl-stream")
     sources, target = _event_stream(spark, sf, "opsflow_load_stream"), posixpath.join(root, "target")
     load.run_load_stream(sources, target, posixpath.join(root, "checkpoint"), RUN_TS, WATERMARK).awaitTermination()
-    return _staging_values(spark.read.schema(STAGED_INVENTORY).parquet(target).select(*STAGED_INVENTORY.names))
+    return _as_doubles(spark.read.schema(STAGED_INVENTORY).parquet(target).select(*STAGED_INVENTORY.names))
 
 
 # --- monthly close, top row, JSON lines, masking ----------------------------
@@ -529,6 +688,19 @@ def monthly_close_upsert(spark, sf):
     return _close_values(rows)
 
 
+@query
+def close_insert_select(spark, sf):
+    """A close table created in the catalog if it is missing, and filled by INSERT … SELECT, one warehouse pair at a time."""
+    name, path = _table_name("close"), work_path(spark, "close-table")
+    rows = close.close_rows(view(spark, sf, "fx_movements"), 2024, 1).withColumn("updated_at", F.lit(RUN_TS).cast("timestamp_ntz"))
+    early = F.col("warehouse_id").isin("WH-01", "WH-02")
+    for part in (rows.where(early), rows.where(~early)):
+        create_if_missing(spark, name, MONTHLY_CLOSE, path)
+        insert_select(conform(part, MONTHLY_CLOSE), name)
+    spark.sql(f"DROP TABLE {name}")  # the entry, not the files
+    return _close_values(spark.read.schema(MONTHLY_CLOSE).parquet(path))
+
+
 @query
 def top_invoice_per_supplier(spark, sf):
     order = [F.col("gross_amount").desc_nulls_first(), F.col("invoice_number"), F.col("net_amount")]
@@ -552,7 +724,8 @@ def order_line_flatten(spark, sf):
 
 @query
 def order_line_flatten_variant(spark, sf):
-    return _lines(flatten.flatten_variant(view(spark, sf, "fx_order_lines")))
+    """Documents that are arrays, objects of line objects, empty, missing or broken."""
+    return _lines(flatten.flatten_lines(view(spark, sf, "fx_order_documents")))
 
 
 @query
@@ -569,6 +742,11 @@ SNAPSHOT_RUN = RunContext.at(datetime(2024, 1, 30, 7))
 SCORE_RUN = RunContext.at(datetime(2001, 8, 1, 8))
 
 
+def _weekly(card, sunday):
+    """Scorecard rows of one week; the Sunday is written out, so that the extract's own date can be wrong."""
+    return card.withColumn("week_ending", F.lit(sunday).cast("date"))
+
+
 @query
 def report_inventory_summary(spark, sf):
     tables = {"inventory_snapshot": view(spark, sf, "fx_snapshot")}
@@ -577,7 +755,7 @@ def report_inventory_summary(spark, sf):
 
 @query
 def report_scorecard(spark, sf):
-    tables = {"supplier_scorecard_weekly": reports.weekly_scorecard(supplier_scorecard(spark, sf), SCORE_RUN)}
+    tables = {"supplier_scorecard_weekly": _weekly(supplier_scorecard(spark, sf), "2001-07-29")}
     return reports.execute(spark, reports.CATALOGUE[1], tables, SCORE_RUN)
 
 
@@ -586,17 +764,51 @@ def report_manifest(spark, sf):
     """Runs the whole catalogue on one day and lists its deliveries."""
     root = work_path(spark, "reports")
     log = posixpath.join(root, "log")
-    weekly = reports.weekly_scorecard(supplier_scorecard(spark, sf), SNAPSHOT_RUN)
+    weekly = _weekly(supplier_scorecard(spark, sf), "2024-01-28")
     tables = {"inventory_snapshot": view(spark, sf, "fx_snapshot"), "supplier_scorecard_weekly": weekly}
     reports.run_catalogue(spark, tables, SNAPSHOT_RUN, posixpath.join(root, "out"), log)
     return delivery_manifest(spark.read.schema(DELIVERY_LOG).parquet(log))
 
 
+@query
+def report_stored_output(spark, sf):
+    """The rows a report run has stored, read back."""
+    root = work_path(spark, "report-output")
+    tables = {"inventory_snapshot": view(spark, sf, "fx_snapshot")}
+    reports.run_report(spark, reports.CATALOGUE[0], tables, SNAPSHOT_RUN, root, posixpath.join(root, "log"))
+    return spark.read.parquet(reports.output_path(root, reports.CATALOGUE[0], SNAPSHOT_RUN))
+
+
+@query
+def report_no_data(spark, sf):
+    """A report of a day with rows and of one without: what is logged, and whether anything is stored."""
+    root, outcome = work_path(spark, "report-empty"), []
+    tables = {"inventory_snapshot": view(spark, sf, "fx_snapshot")}
+    for run in (SNAPSHOT_RUN, RunContext.at(datetime(2030, 1, 1))):
+        status = reports.run_report(spark, reports.CATALOGUE[0], tables, run, root, posixpath.join(root, "log"))
+        stored = path_exists(spark, reports.output_path(root, reports.CATALOGUE[0], run))
+        outcome.append((run.as_of, status, stored))
+    return spark.createDataFrame(outcome, "run_date date, status string, stored boolean")
+
+
 @query
 def layout_depth(spark, sf):
-    """Overlap of the files of a table clustered by day and warehouse."""
+    """How many customers' spans of orders cover the start of each customer's span."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    day = F.col("o_orderdate").cast("date")
+    spans = orders.groupBy(F.col("o_custkey").cast("string").alias("file")).agg(
+        F.count("*").alias("row_count"), F.min(day).alias("low"), F.max(day).alias("high")
+    )
+    return layout.overlap_depth(spans).select(F.col("file").alias("customer"), "row_count", F.col("depth").cast("bigint"))
+
+
+@query
+def layout_clustered_rows(spark, sf):
+    """A table written in clusters keeps every row; each file's key range is in order."""
     path = work_path(spark, "clustered")
     rows = view(spark, sf, "fx_inventory")
     layout.write_clustered(rows, path, ["transaction_date", "warehouse_id"], spread_by=["sku_id"])
     written = spark.read.schema(rows.schema).parquet(path)
-    return layout.layout_report(written, ["transaction_date", "warehouse_id"])
+    return written.groupBy("transaction_date", "warehouse_id").agg(
+        F.count("*").alias("row_count"), F.sum("quantity_on_hand").cast("double").alias("quantity_on_hand")
+    )

@@ -83,7 +83,6 @@ SUMMARY_STATE = table(
     row_count=LONG,
 )
 
-COMMITS = table(batch_id=LONG, state=TEXT)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

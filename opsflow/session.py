@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import posixpath
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,24 +48,35 @@ def build_session(app_name: str = "opsflow", master: str | None = None, **extra:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting (a test) gets a temporary folder,
-    which the context then remembers as its checkpoint folder.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir`` or set on the context."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="opsflow-"))
-        folder = context.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return folder
 
 
+_SCOPE: ContextVar[str] = ContextVar("opsflow_scope", default="")
+
+
 def work_dir(spark: SparkSession) -> str:
-    """This application's folder below the shared one; remove it once its results have been read."""
-    return posixpath.join(shared_dir(spark), "opsflow", spark.sparkContext.applicationId)
+    """This application's folder below the shared one, or the folder of the job scope that is open."""
+    return posixpath.join(shared_dir(spark), "opsflow", spark.sparkContext.applicationId, _SCOPE.get()).rstrip("/")
+
+
+@contextmanager
+def job_scope(spark: SparkSession) -> Iterator[str]:
+    """Everything stored inside the scope goes to a folder of its own, which is removed at the end.
+
+    A job reads its result, or writes it to its place, before the scope ends.
+    """
+    token = _SCOPE.set(posixpath.join(_SCOPE.get(), f"job-{uuid.uuid4().hex}"))
+    folder = work_dir(spark)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def work_path(spark: SparkSession, label: str) -> str:

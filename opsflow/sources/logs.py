@@ -28,13 +28,10 @@ def append_run(
 
 
 def last_success(spark: SparkSession, path: str, pipeline: str) -> datetime | None:
-    """Newest successful run of the pipeline; None on the first run or if the log cannot be read."""
-    try:
-        log = read_or_empty(spark, path, RUN_LOG)
-        done = log.where((F.col("pipeline_name") == pipeline) & (F.col("status") == SUCCESS))
-        return done.agg(F.max("load_timestamp")).first()[0]
-    except Exception:  # an unreadable log means a run from the default lookback, not a failed run
-        return None
+    """Newest successful run of the pipeline; None without a log or such a run. A log that cannot be read fails."""
+    log = read_or_empty(spark, path, RUN_LOG)
+    done = log.where((F.col("pipeline_name") == pipeline) & (F.col("status") == SUCCESS))
+    return done.agg(F.max("load_timestamp")).first()[0]
 
 
 def append_delivery(

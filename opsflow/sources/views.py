@@ -2,7 +2,8 @@
 
 Each text is plain SQL that Spark and DuckDB read alike; ``$name`` stands for a
 test table. Faults are planted through column values (states, amounts, missing
-vendors) and every view keeps all rows of its tables.
+vendors) and every view keeps all rows of its tables, but for ``fx_txn_before`` and
+``fx_txn_after``: the rows they leave out are what changed between the two versions.
 """
 
 from __future__ import annotations
@@ -153,6 +154,18 @@ VIEWS: dict[str, str] = {
                       CAST(l_suppkey AS STRING), '","quantity":', CAST(l_linenumber AS STRING), '}]') AS line_items_json
         FROM $lineitem
     """,
+    "fx_order_documents": """
+        SELECT order_id, l_linenumber,
+               CASE l_linenumber WHEN 1 THEN concat('{"first":', one, ',"second":', two, '}') WHEN 2 THEN concat('[', one)
+                    WHEN 3 THEN '[]' WHEN 4 THEN NULL ELSE concat('[', one, ',', two, ']') END AS line_items_json
+        FROM (
+            SELECT l_orderkey AS order_id, l_linenumber,
+                   concat('{"sku_id":"', CAST(l_partkey AS STRING), '","quantity":',
+                          CAST(CAST(l_quantity AS INT) AS STRING), '}') AS one,
+                   concat('{"sku_id":', CAST(l_suppkey AS STRING), ',"unit_price":2.5}') AS two
+            FROM $lineitem
+        ) AS parts
+    """,
     "fx_txn_before": """
         SELECT event_id AS transaction_id, user_id AS sku_id,
                concat('WH-0', CAST(user_id % 4 + 1 AS STRING)) AS warehouse_id,

@@ -1,19 +1,19 @@
 """Change micro-batches merged into a fact table.
 
-A batch is netted and written next to the table, which costs no more than the
-batch itself. Every ``compact_after`` batches the waiting changes are worked into
-the table in one rewrite. Readers see the table with the waiting changes laid
-over it. Working a list of changes in twice gives the same rows, so a restart at
-any point is harmless.
-
-The table lies in ``buckets`` directories by key hash and a rewrite touches only
-the buckets that changed. Keys are unique, so no bucket is hot; choose ``buckets``
-so that one of them holds about a gigabyte.
+The table is Parquet partitioned by key hash (``bucket``) and by the batch that wrote the
+rows (``version``). A batch reads the newest version of the buckets its changes fall in,
+merges, and writes those buckets once under its own version; readers take the newest
+version of each bucket. So nothing is overwritten that is still being read, no row is
+written twice, and a batch that is repeated after a failure starts from the versions
+before its own and overwrites what it left. :func:`drop_old_versions` frees the space.
+
+Keys are unique, so no bucket is hot; choose ``buckets`` so that one of them holds about
+a gigabyte. Which buckets a batch touches never comes to the driver: it is a semi join on
+the partition columns, which Spark turns into partition pruning.
 """
 
 from __future__ import annotations
 
-import posixpath
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -21,20 +21,18 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from opsflow.functions.dates import naive
 from opsflow.operators import changes as chg
-from opsflow.schemas import COMMITS
-from opsflow.sources.commits import APPLIED, apply_once, data_path
-from opsflow.sources.tables import drop_path, path_exists, read_or_empty
+from opsflow.sources.tables import drop_path, read_or_empty, replace_partitions
 
-BUCKET, DELETED = "_bucket", "_deleted"
+BUCKET, VERSION, DELETED = "bucket", "version", "_deleted"
 
 
 @dataclass(frozen=True)
 class FactTable:
-    """Where the fact lives and how it is merged."""
+    """Where the fact lives and how it is merged; ``sequence`` orders several changes of one key in a batch."""
 
     path: str
     schema: StructType
@@ -42,96 +40,54 @@ class FactTable:
     update_columns: Sequence[str]
     stamp_column: str = "last_updated_ts"
     buckets: int = 256
-    compact_after: int = 1
     sequence: str | None = None
 
     @property
     def stored_schema(self) -> StructType:
-        return StructType([*self.schema, StructField(DELETED, BooleanType()), StructField(BUCKET, IntegerType())])
-
-    @property
-    def pending_schema(self) -> StructType:
-        row = StructType([f for f in self.schema if f.name != self.key])
-        return StructType(
-            [
-                self.schema[self.key],
-                StructField("op", StringType()),
-                StructField("row", row),
-                StructField("batch_id", LongType()),
-            ]
-        )
-
-    @property
-    def pending_path(self) -> str:
-        return posixpath.join(self.path, "pending")
-
-    @property
-    def compacted_path(self) -> str:
-        return posixpath.join(self.path, "compacted")
+        places = [StructField(DELETED, BooleanType()), StructField(BUCKET, IntegerType()), StructField(VERSION, LongType())]
+        return StructType([*self.schema, *places])
 
     def bucket_of(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def compacted_through(self, spark: SparkSession) -> int | None:
-        """Newest batch that is part of the stored table."""
-        return read_or_empty(spark, self.compacted_path, COMMITS).agg(F.max("batch_id")).first()[0]
-
-    def stored(self, spark: SparkSession) -> DataFrame:
-        """Rows of the last compaction, removed ones with their mark."""
-        return read_or_empty(spark, data_path(self.path), self.stored_schema)
-
-    def waiting(self, spark: SparkSession) -> DataFrame:
-        """Outcome per key of the batches that came after it."""
-        ops = spark.read.schema(self.pending_schema).parquet(self.pending_path)
-        through = self.compacted_through(spark)
-        if through is not None:
-            ops = ops.where(F.col("batch_id") > F.lit(through))
-        return chg.folded_effects(ops, self.key, "batch_id")
+    def newest(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """Rows of the newest version of each bucket (before batch ``before``), removed ones with their mark."""
+        rows = read_or_empty(spark, self.path, self.stored_schema)
+        if before is not None:
+            rows = rows.where(F.col(VERSION) < before)
+        newest = rows.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION))  # reads partition values only
+        return rows.join(newest, [BUCKET, VERSION], "left_semi")
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Current rows."""
-        live = self.stored(spark).where(~F.col(DELETED)).select(*self.schema.names)
-        if not path_exists(spark, self.pending_path):
-            return live
-        merged = chg.overlay_effects(live, self.waiting(spark), self.key, self.update_columns, self.stamp_column)
-        return merged.select(*self.schema.names)
+        return self.newest(spark).where(~F.col(DELETED)).select(*self.schema.names)
 
 
 def merge_batch(feed: DataFrame, batch_id: int, table: FactTable, run_ts: datetime) -> None:
-    """Takes one batch of changes in, once, whatever was left by an earlier attempt."""
+    """Merges one batch of changes; batch numbers ascend, and repeating the last one gives the same table."""
     spark = feed.sparkSession
-    through = table.compacted_through(spark)
-    if through is not None and batch_id <= through:
-        return
     columns = [f for f in table.schema if f.name != table.stamp_column]
     extra = [chg.ACTION, chg.IS_UPDATE, *([table.sequence] if table.sequence else [])]
     typed = feed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns], *extra)
     net = chg.net_changes(typed, table.key, table.sequence)
     ops = chg.operations(net, table.key, table.stamp_column, naive(run_ts))
-    row = table.pending_schema["row"].dataType
-    ordered = ops.withColumn("row", F.struct(*[F.col("row")[name].alias(name) for name in row.names]))
-    ordered.write.mode("overwrite").parquet(posixpath.join(table.pending_path, f"batch_id={batch_id}"))
-    if through is None or batch_id - through >= table.compact_after:
-        compact(spark, table, batch_id)
+    touched = typed.select(table.bucket_of(table.key).alias(BUCKET)).distinct()
+    live = table.newest(spark, batch_id).where(~F.col(DELETED)).join(touched, BUCKET, "left_semi").select(*table.schema.names)
+    merged = chg.apply_effects(live, chg.effects(ops, table.key), table.key, table.update_columns, table.stamp_column)
+    # A removed row is written as a mark, so a bucket that loses its last row gets a new version too.
+    placed = merged.withColumns({BUCKET: table.bucket_of(table.key), VERSION: F.lit(batch_id).cast("long")})
+    replace_partitions(placed.select(*table.stored_schema.names), table.path, [BUCKET, VERSION])
 
 
-def compact(spark: SparkSession, table: FactTable, batch_id: int) -> None:
-    """Works all waiting batches up to ``batch_id`` into the stored table."""
-    apply_once(spark, table.path, batch_id, [BUCKET], table.stored_schema, lambda: _rewritten(spark, table))
-    note = spark.createDataFrame([(batch_id, APPLIED)], COMMITS)
-    note.coalesce(1).write.mode("append").parquet(table.compacted_path)
-    drop_path(spark, table.pending_path)
+def drop_old_versions(spark: SparkSession, table: FactTable) -> None:
+    """Removes the versions that a newer one of the same bucket has replaced; no reader may still be on them.
 
-
-def _rewritten(spark: SparkSession, table: FactTable) -> DataFrame:
-    waiting = table.waiting(spark)
-    pending = spark.read.schema(table.pending_schema).parquet(table.pending_path)
-    # At most ``buckets`` small integers come to the driver; they prune the scan below.
-    touched = [r[0] for r in pending.select(table.bucket_of(table.key).alias(BUCKET)).distinct().collect()]
-    live = table.stored(spark).where(F.col(BUCKET).isin(touched) & ~F.col(DELETED)).select(*table.schema.names)
-    merged = chg.apply_effects(live, waiting, table.key, table.update_columns, table.stamp_column)
-    # A removed row is written as a mark, so a bucket that loses its last row is still overwritten.
-    return merged.withColumn(BUCKET, table.bucket_of(table.key))
+    The driver walks one row per replaced folder, not per row of the table.
+    """
+    rows = read_or_empty(spark, table.path, table.stored_schema)
+    kept = rows.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION))
+    for r in rows.select(BUCKET, VERSION).distinct().join(kept, [BUCKET, VERSION], "left_anti").toLocalIterator():
+        drop_path(spark, f"{table.path}/{BUCKET}={r[BUCKET]}/{VERSION}={r[VERSION]}")
 
 
 def run_cdc_stream(
@@ -147,7 +103,7 @@ def run_cdc_stream(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Tested for rows and then netted; keep it instead of reading the source twice.
+        # Tested for rows, then netted and searched for buckets; keep it instead of reading the source again.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from opsflow.plans.summary import COUNTED_TYPES, merge_states, summary_state
+from opsflow.plans.summary import COUNTED_TYPES, KEYS, read_state, refresh_table, summary_state
 from opsflow.schemas import SUMMARY_STATE
 from opsflow.sources.tables import read_or_empty
 
+
 def run_summary_stream(movements: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Writes each micro-batch's sums and counts to its own folder.
 
@@ -20,53 +21,60 @@ def run_summary_stream(movements: DataFrame, path: str, checkpoint: str, every:
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        summary_state(batch).write.mode("overwrite").parquet(posixpath.join(path, f"batch_id={batch_id}"))
+        refresh_table(path, summary_state(batch), batch_id)
 
     writer = movements.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def read_summary_state(spark: SparkSession, path: str, schema: StructType = SUMMARY_STATE) -> DataFrame:
-    """The merged state of all batches."""
-    return merge_states(read_or_empty(spark, path, schema))
-
-
 def compact_summary(spark: SparkSession, path: str, target: str, schema: StructType = SUMMARY_STATE) -> DataFrame:
     """Writes the merged state as the first folder of a new path, from which the next stream goes on."""
-    state = read_summary_state(spark, path, schema)
+    state = read_state(spark, path, schema)
     state.write.mode("error").parquet(posixpath.join(target, "batch_id=-1"))
     return read_or_empty(spark, target, schema)
 
 
 def windowed_summary(movements: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Event-time form: one-day windows, closed once the watermark has passed them.
+    """Event-time form: one-day windows with state bounded by ``lateness``.
 
-    State stays bounded by ``lateness``; rows later than that are not counted, so
-    use :func:`run_summary_stream` where they must be. Watermarks need a timestamp
-    with zone and windows start at midnight UTC, so the zoneless date is read as UTC
-    and the window start read back, whatever the session's zone.
+    Rows later than that are not counted, so use :func:`run_summary_stream` where they
+    must be. Watermarks need a timestamp with zone and windows start at midnight UTC, so
+    the zoneless date is read as UTC and the window start read back, whatever the
+    session's zone.
     """
     kind, zone = F.col("transaction_type"), F.current_timezone()
     stamped = movements.where(kind.isin(*COUNTED_TYPES)).withColumn(
         "event_ts", F.from_utc_timestamp(F.col("transaction_date").cast("timestamp"), zone)
     )
-    return (
-        stamped.withWatermark("event_ts", lateness)
-        .groupBy(F.window("event_ts", "1 day"), "warehouse_id", "sku_id", "category")
-        .agg(
-            F.sum(F.when(kind == "RECEIPT", F.col("quantity")).otherwise(F.lit(0))).alias("total_received"),
-            F.sum(F.when(kind == "SHIPMENT", F.col("quantity")).otherwise(F.lit(0))).alias("total_shipped"),
-            F.avg("unit_cost").alias("avg_unit_cost"),
-        )
-        .select(
-            F.to_date(F.to_utc_timestamp("window.start", zone)).alias("snapshot_day"),
-            "warehouse_id",
-            "sku_id",
-            "category",
-            "total_received",
-            "total_shipped",
-            (F.col("total_received") - F.col("total_shipped")).alias("net_movement"),
-            "avg_unit_cost",
-        )
+    received = F.sum(F.when(kind == "RECEIPT", F.col("quantity")).otherwise(F.lit(0)))
+    shipped = F.sum(F.when(kind == "SHIPMENT", F.col("quantity")).otherwise(F.lit(0)))
+    sums = stamped.withWatermark("event_ts", lateness).groupBy(
+        F.window("event_ts", "1 day"), "warehouse_id", "sku_id", "category"
+    ).agg(received.alias("total_received"), shipped.alias("total_shipped"), F.avg("unit_cost").alias("avg_unit_cost"))
+    return sums.select(
+        F.to_date(F.to_utc_timestamp("window.start", zone)).alias("snapshot_day"),
+        *KEYS[1:],
+        "total_received",
+        "total_shipped",
+        (F.col("total_received") - F.col("total_shipped")).alias("net_movement"),
+        "avg_unit_cost",
     )
+
+
+def run_windowed_stream(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Writes each micro-batch's changed windows to its own folder, the days still open included."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(posixpath.join(path, f"batch_id={batch_id}"))
+
+    writer = windows.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def read_windowed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest state of every window."""
+    rows = spark.read.schema(schema.add("batch_id", "long")).parquet(path)
+    values = [c for c in schema.names if c not in (*KEYS, "batch_id")]
+    newest = rows.groupBy(*KEYS).agg(F.max(F.struct("batch_id", *values)).alias("newest"))
+    return newest.select(*KEYS, *[F.col(f"newest.{c}").alias(c) for c in values])

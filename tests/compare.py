@@ -55,13 +55,15 @@ def oracle_rows(con, name):
 
 def main() -> None:
     from conftest import test_session
+    from opsflow.session import job_scope
 
     sf_dir, only = sys.argv[1], sys.argv[2:]
     spark, con = test_session(), connection(sf_dir)
     for name in only or entry.queries():
         start = time.time()
         try:
-            columns, got = spark_rows(entry.queries()[name](spark, sf_dir))
+            with job_scope(spark):
+                columns, got = spark_rows(entry.queries()[name](spark, sf_dir))
         except Exception as error:
             print(f"ERROR {name}: {str(error)[:1500]}")
             continue

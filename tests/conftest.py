@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,8 @@ def test_session():
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
         spark__sql__maxMetadataStringLength="5000",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="opsflow-tests-"),
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="opsflow-warehouse-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -1,11 +1,12 @@
-import itertools
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from helpers import rows, ts
 from opsflow.operators import changes as chg, versions
+from opsflow.sources.tables import create_if_missing
 
 RUN, OLD = ts("2024-01-02"), ts("2024-01-01")
 TABLE = "id int, a string, b int"
@@ -102,38 +103,40 @@ def test_order_within_a_feed(spark):
     assert not [r for r in got if r[0] in (2, 9)]
 
 
-KINDS = ("INSERT", "UPDATE", "DROP", "REPLACE")
-
-
-def test_folded_batches_equal_batch_after_batch(spark):
-    """Every list of up to four operations, on a key with a row and on one without."""
-    lists = [kinds for n in range(1, 5) for kinds in itertools.product(KINDS, repeat=n)]
-    start, state, ops = [], {}, []
-    for key, kinds in enumerate(lists + lists):
-        if key < len(lists):
-            start.append((key, "old", -1, OLD))
-            state[key] = ("old", -1, OLD)
-        for n, kind in enumerate(kinds):
-            row = (f"a{n}", n, RUN + timedelta(hours=n))
-            ops.append((key, kind, row, n))
-            if kind == "DROP":
-                state.pop(key, None)
-            elif key not in state or kind == "REPLACE":
-                state[key] = row
-            elif kind == "UPDATE":
-                state[key] = (state[key][0], *row[1:])
-    target = spark.createDataFrame(start, FACT)
-    listed = spark.createDataFrame(ops, "id int, op string, row struct<a:string,b:int,last_updated_ts:timestamp_ntz>, n int")
-    folded = chg.folded_effects(listed, "id", "n")
-    wanted = sorted(((k, *v) for k, v in state.items()), key=repr)
-
-    def applied(table):
-        merged = chg.apply_effects(table, folded, "id", ["b"], "last_updated_ts")
-        return merged.where("not _deleted").drop("_deleted")
-
-    assert rows(applied(target)) == wanted
-    assert rows(applied(applied(target))) == wanted
-    assert rows(chg.overlay_effects(target, folded, "id", ["b"], "last_updated_ts")) == wanted
+def test_unordered_changes_of_one_key_are_refused(spark):
+    twice = [(1, "x", 90, "INSERT", True), (1, "x", 50, "INSERT", True)]
+    with pytest.raises(Exception, match="order column"):
+        merged(spark, twice)
+    # In the order of their numbers the later one holds, whatever its value.
+    assert (1, "old", 50, RUN) in merged(spark, [(*twice[0], 1), (*twice[1], 2)], "seq")
+
+
+operation = st.sampled_from(["update", "delete", "insert"])
+
+
+@few
+@given(st.lists(st.tuples(st.integers(1, 9), operation, st.integers(0, 99)), max_size=20))
+def test_ordered_batch_equals_its_last_changes(spark, steps):
+    kinds = {"update": ("INSERT", True), "delete": ("DELETE", False), "insert": ("INSERT", False)}
+    feed = [(k, "new", v, *kinds[kind], n) for n, (k, kind, v) in enumerate(steps)]
+    wanted = {k: ("old", 0, OLD) for k in (1, 2, 3, 4, 7)}
+    for key in {k for k, _, _ in steps}:
+        own = [(kind, v) for k, kind, v in steps if k == key]
+        kind, v = own[-1]
+        if kind == "delete":
+            wanted.pop(key, None)
+        elif key not in wanted or any(o == "delete" for o, _ in own):
+            wanted[key] = ("new", v, RUN)
+        elif kind == "update":
+            wanted[key] = ("old", v, RUN)
+    assert merged(spark, feed, "seq") == sorted(((k, *v) for k, v in wanted.items()), key=repr)
+
+
+def test_repeated_keys_of_a_version_are_refused(spark):
+    once = table(spark, {1: ("a", 1), 2: ("b", 2)})
+    assert rows(chg.require_unique(once, "id")) == rows(once)
+    with pytest.raises(Exception, match="not unique"):
+        chg.require_unique(once.union(once), "id").collect()
 
 
 def test_replay_changes_nothing(spark):
@@ -198,6 +201,19 @@ def test_restore_writes_a_new_place(spark, tmp_path):
     assert rows(restored, "id", "v") == [(1, 10)]
 
 
+def test_restore_swaps_a_table_over(spark, tmp_path):
+    history = log(spark, [(1, 10, 0, "INSERT"), (2, 20, 1, "INSERT"), (1, 10, 2, "DELETE")])
+    newest = versions.latest_state(history, ["id"])
+    newest.write.parquet(str(tmp_path / "now"))
+    create_if_missing(spark, "opsflow_swapped", newest.schema, str(tmp_path / "now"))
+    try:
+        assert rows(spark.table("opsflow_swapped"), "id") == [(2,)]
+        versions.restore_table(history, ["id"], 2, "opsflow_swapped", str(tmp_path / "then"))
+        assert rows(spark.table("opsflow_swapped"), "id") == [(1,), (2,)]
+    finally:
+        spark.sql("DROP TABLE opsflow_swapped")
+
+
 @few
 @given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 9), st.integers(0, 5), st.sampled_from(["INSERT", "UPDATE", "DELETE"])), min_size=1, max_size=15))
 def test_state_now_is_the_replayed_log(spark, entries):

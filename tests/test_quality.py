@@ -5,67 +5,76 @@ from helpers import D, plan, rows, ts
 from opsflow.operators import quality as dq
 
 NOW = ts("2024-06-01 12:00:00")
-DEMO = (
-    "transaction_id string, sku_id string, warehouse_id string, quantity int, transaction_type string,"
-    " transaction_date timestamp_ntz, unit_cost decimal(10,2)"
-)
+PARCELS = "code string, bin string, grams int, zone string, scanned timestamp_ntz, fee decimal(10,2)"
 
 
 @pytest.fixture(scope="module")
-def demo(spark):
+def parcels(spark):
+    """Parcels of a small depot: one code used three times, two without a bin, weights and zones out of bounds."""
     data = [
-        ("T001", "SKU-A", "WH-01", 100, "RECEIPT", ts("2024-06-01 10:00:00"), D("25.00")),
-        ("T002", "SKU-B", "WH-02", 50, "SHIPMENT", ts("2024-06-01 07:00:00"), D("18.50")),
-        ("T003", None, "WH-01", 200, "RECEIPT", ts("2024-06-01 11:00:00"), D("42.00")),
-        ("T004", "SKU-D", "WH-99", -5, "UNKNOWN", ts("2024-06-01 09:00:00"), D("10.00")),
-        ("T004", "SKU-D", "WH-01", 80, "RECEIPT", ts("2024-06-01 08:00:00"), D("30.00")),
+        ("P-7", "B1", 12, "north", ts("2024-06-01 11:30:00"), D("4.20")),
+        ("P-8", None, 900, "south", ts("2024-06-01 01:00:00"), D("7.75")),
+        ("P-9", "B2", 30, "moon", ts("2024-05-31 23:00:00"), D("0.00")),
+        ("P-9", None, 31, "north", ts("2024-05-30 12:00:00"), D("1.10")),
+        ("P-9", "B3", 0, "east", ts("2024-05-29 12:00:00"), D("2.35")),
+        ("Q-1", "B1", 45, "south", ts("2024-05-28 12:00:00"), D("3.00")),
+        ("Q-2", "B2", 44, "east", ts("2024-05-27 12:00:00"), D("9.99")),
+        ("Q-3", "B2", 43, "north", ts("2024-05-26 12:00:00"), D("6.40")),
     ]
-    return spark.createDataFrame(data, DEMO)
+    return spark.createDataFrame(data, PARCELS)
 
 
-def demo_rules():
+def parcel_rules():
     return [
-        dq.row_count_threshold(1),
-        dq.not_null("transaction_id"),
-        dq.is_unique("transaction_id"),
-        dq.not_null("sku_id"),
-        dq.not_null("warehouse_id", dq.HIGH),
-        dq.in_range("quantity", 0, 100000),
-        dq.in_range("unit_cost", 0.01, 10000, dq.MEDIUM),
-        dq.referential_integrity("warehouse_id", {"WH-01", "WH-02", "WH-03"}),
-        dq.referential_integrity("transaction_type", {"RECEIPT", "SHIPMENT", "TRANSFER"}),
-        dq.freshness("transaction_date", NOW, 12),
+        dq.row_count_threshold(2, 8),
+        dq.is_unique("code"),
+        dq.not_null("bin"),
+        dq.not_null("zone", dq.MEDIUM),
+        dq.in_range("grams", 1, 500),
+        dq.in_range("fee", 0, 9.99, dq.LOW),
+        dq.referential_integrity("zone", {"north", "south", "east"}, dq.MEDIUM),
+        dq.matches_regex("code", "P"),
+        dq.freshness("scanned", NOW, 1),
     ]
 
 
-def test_demo_table(spark, demo):
-    report = dq.run_suite(demo, "demo", demo_rules(), "transaction_id", NOW)
+def test_suite(spark, parcels):
+    report = dq.run_suite(parcels, "parcels", parcel_rules(), "scanned", NOW)
     got = [
-        (r["rule_id"], r["severity"], r["status"], r["rows_checked"], r["rows_failed"], r["failure_pct"], r["sample_failures"], r["message"])
+        (r["rule_id"], r["severity"], r["status"], r["rows_failed"], r["failure_pct"], r["sample_failures"], r["message"])
         for r in report.results_frame(spark).collect()
     ]
     assert got == [
-        ("row_count", "CRITICAL", "PASS", 5, 0, 0.0, "[]", "Got 5 rows (expected >= 1)"),
-        ("not_null_transaction_id", "CRITICAL", "PASS", 5, 0, 0.0, "[]", "All values present"),
-        ("unique_transaction_id", "CRITICAL", "FAIL", 5, 2, 40.0, "['T004']", "2 duplicate row(s) on 'transaction_id'"),
-        ("not_null_sku_id", "CRITICAL", "FAIL", 5, 1, 20.0, "['T003']", "1 NULL(s) found"),
-        ("not_null_warehouse_id", "HIGH", "PASS", 5, 0, 0.0, "[]", "All values present"),
-        ("range_quantity", "HIGH", "FAIL", 5, 1, 20.0, "['-5']", "1 value(s) outside [0, 100000]"),
-        ("range_unit_cost", "MEDIUM", "PASS", 5, 0, 0.0, "[]", "All in range"),
-        ("ref_int_warehouse_id", "HIGH", "FAIL", 5, 1, 20.0, "['WH-99']", "1 unexpected value(s)"),
-        ("ref_int_transaction_type", "HIGH", "FAIL", 5, 1, 20.0, "['UNKNOWN']", "1 unexpected value(s)"),
-        ("freshness_transaction_date", "HIGH", "PASS", 5, 0, 0.0, "[]", "Latest record: 2024-06-01 11:00 (1.0h ago)"),
+        ("row_count", "CRITICAL", "PASS", 0, 0.0, "[]", "Got 8 rows (expected 2–8)"),
+        ("unique_code", "CRITICAL", "FAIL", 3, 37.5, "['P-9']", "3 duplicate row(s) on 'code'"),
+        ("not_null_bin", "CRITICAL", "FAIL", 2, 25.0, "['2024-05-30 12:00:00', '2024-06-01 01:00:00']", "2 NULL(s) found"),
+        ("not_null_zone", "MEDIUM", "PASS", 0, 0.0, "[]", "All values present"),
+        ("range_grams", "HIGH", "FAIL", 2, 25.0, "['0', '900']", "2 value(s) outside [1, 500]"),
+        ("range_fee", "LOW", "PASS", 0, 0.0, "[]", "All in range"),
+        ("ref_int_zone", "MEDIUM", "FAIL", 1, 12.5, "['moon']", "1 unexpected value(s)"),
+        ("regex_code", "MEDIUM", "FAIL", 3, 37.5, "['Q-3', 'Q-2', 'Q-1']", "3 value(s) fail pattern match"),
+        ("freshness_scanned", "HIGH", "PASS", 0, 0.0, "[]", "Latest record: 2024-06-01 11:30 (0.5h ago)"),
     ]
-    assert report.score == 50.0 and not report.overall_pass
-    assert [r.rule_id for r in report.critical_failures] == ["unique_transaction_id", "not_null_sku_id"]
-    assert [r.severity for r in report.failed] == ["CRITICAL", "CRITICAL", "HIGH", "HIGH", "HIGH"]
-    with pytest.raises(ValueError, match=r"\['unique_transaction_id', 'not_null_sku_id'\]"):
+    assert report.score == 44.4 and not report.overall_pass
+    assert [r.rule_id for r in report.critical_failures] == ["unique_code", "not_null_bin"]
+    assert [r.severity for r in report.failed] == ["CRITICAL", "CRITICAL", "HIGH", "MEDIUM", "MEDIUM"]
+    with pytest.raises(ValueError, match=r"\['unique_code', 'not_null_bin'\]"):
         report.raise_on_critical()
-    assert rows(report.summary_frame(spark)) == [(10, 5, 5, 2, 50.0, "FAIL", 5)]
+    assert rows(report.summary_frame(spark)) == [(9, 4, 5, 2, 44.4, "FAIL", 8)]
 
 
-def test_empty_table(spark, demo):
-    report = dq.run_suite(demo.where("false"), "empty", demo_rules(), "transaction_id", NOW)
+def test_each_grouping_rule_scans_once(spark, parcels, tmp_path):
+    parcels.write.parquet(str(tmp_path / "p"))
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    kept = dq.failing_groups(stored, dq.is_unique("code"), "scanned").persist()
+    assert kept.agg(F.sum("row_count")).first()[0] == 3
+    sampled = dq.failing_samples(stored, [dq.is_unique("code")], [0], "scanned", {0: kept})
+    assert "InMemoryTableScan" in plan(sampled) and [r["value"] for r in sampled.collect()] == ["P-9"]
+    kept.unpersist()
+
+
+def test_empty_table(spark, parcels):
+    report = dq.run_suite(parcels.where("false"), "empty", parcel_rules(), "scanned", NOW)
     assert {r.failure_pct for r in report.results if r.rule_id != "row_count"} == {0.0}
     by_id = {r.rule_id: r for r in report.results}
     assert by_id["row_count"].status == dq.FAIL and by_id["row_count"].failure_pct == 100.0
@@ -77,8 +86,8 @@ def result(df, rule, key=None):
     return dq.run_suite(df, "t", [rule], key, NOW).results[0]
 
 
-def test_missing_column_is_skipped_and_leaves_the_gate_open(spark, demo):
-    report = dq.run_suite(demo, "t", [dq.not_null("nowhere"), dq.not_null("transaction_id")], None, NOW)
+def test_missing_column_is_skipped_and_leaves_the_gate_open(spark, parcels):
+    report = dq.run_suite(parcels, "t", [dq.not_null("nowhere"), dq.not_null("code")], None, NOW)
     assert [r.status for r in report.results] == [dq.SKIPPED, dq.PASS]
     assert "nowhere" in report.results[0].message
     report.raise_on_critical()
@@ -140,7 +149,7 @@ def test_samples_keep_repeats_except_for_set_and_uniqueness_rules(spark):
     assert [r.samples for r in report.results] == [("8", "9", "8", "9", "8"), ("bad",), ("8", "9")]
 
 
-def test_own_rules(spark, demo):
+def test_own_rules(spark, parcels):
     def at_most_ten(df):
         return dq.CheckResult("size", "at most ten rows", dq.LOW, dq.PASS, df.count())
 
@@ -148,41 +157,40 @@ def test_own_rules(spark, demo):
         raise RuntimeError("no luck")
 
     rules = [
-        dq.predicate_rule("cheap", "cost below 40", dq.LOW, F.col("unit_cost") >= 40, F.col("transaction_id")),
+        dq.predicate_rule("cheap", "fee below 9", dq.LOW, F.col("fee") >= 9, F.col("code")),
         dq.table_rule("size", "", dq.LOW, at_most_ten),
         dq.table_rule("broken", "", dq.CRITICAL, breaks),
         dq.predicate_rule("wrong", "", dq.LOW, F.col("no_such_column") > 1),
     ]
-    report = dq.run_suite(demo, "t", rules, "transaction_id", NOW)
+    report = dq.run_suite(parcels, "t", rules, "scanned", NOW)
     assert [r.status for r in report.results] == [dq.FAIL, dq.PASS, dq.SKIPPED, dq.SKIPPED]
-    assert report.results[0].samples == ("T003",)
+    assert report.results[0].samples == ("Q-2",)
     assert "no luck" in report.results[2].message
 
 
-def test_quarantine(spark, demo):
-    good, held = dq.quarantine(demo, demo_rules())
-    assert good.count() == 3 and good.columns == demo.columns
+def test_quarantine(spark, parcels):
+    good, held = dq.quarantine(parcels, parcel_rules())
+    assert good.count() == 1 and good.columns == parcels.columns
     assert {tuple(r["broken_rules"]) for r in held.collect()} == {
-        ("not_null_sku_id",),
-        ("range_quantity", "ref_int_warehouse_id", "ref_int_transaction_type"),
+        ("not_null_bin",), ("not_null_bin", "range_grams"), ("ref_int_zone",), ("range_grams",), ("regex_code",)
     }
 
 
-def test_row_rules_share_one_aggregate(spark, demo):
-    measures = {i: F.count_if(r.failing(demo.schema)) for i, r in enumerate(demo_rules()) if r.failing is not None}
-    text = plan(dq.fused_measures(demo.repartition(3), measures))
+def test_row_rules_share_one_aggregate(spark, parcels):
+    measures = {i: F.count_if(r.failing(parcels.schema)) for i, r in enumerate(parcel_rules()) if r.failing is not None}
+    text = plan(dq.fused_measures(parcels.repartition(3), measures))
     assert text.count("Aggregate(") == 2  # partial and final
     assert "Python" not in text
 
 
-def test_samples_are_cut_before_the_shuffle(spark, demo):
-    rules = demo_rules()
-    text = plan(dq.failing_samples(demo.repartition(3), rules, [2, 3, 5, 7], "transaction_id"))
+def test_samples_are_cut_before_the_shuffle(spark, parcels):
+    rules = parcel_rules()
+    text = plan(dq.failing_samples(parcels.repartition(3), rules, [1, 2, 4, 6], "scanned"))
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
-def test_csv_export(spark, demo, tmp_path):
-    report = dq.run_suite(demo, "demo", demo_rules(), "transaction_id", NOW)
+def test_csv_export(spark, parcels, tmp_path):
+    report = dq.run_suite(parcels, "parcels", parcel_rules(), "scanned", NOW)
     report.write_csv(spark, str(tmp_path / "out"))
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
-    assert back.columns == dq.RESULT_SCHEMA.names and back.count() == 10
+    assert back.columns == dq.RESULT_SCHEMA.names and back.count() == 9

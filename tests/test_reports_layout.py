@@ -10,7 +10,7 @@ from opsflow.context import RunContext
 from opsflow.operators import flatten, layout, masking
 from opsflow.plans import reports
 from opsflow.schemas import DELIVERY_LOG
-from opsflow.session import scale_settings, shared_dir
+from opsflow.session import job_scope, scale_settings, shared_dir, staged
 from opsflow.sources.logs import delivery_manifest
 
 RUN = RunContext.at(datetime(2024, 1, 31, 7))
@@ -65,6 +65,7 @@ def test_catalogue_run(spark, tables, tmp_path):
     outcome = reports.run_catalogue(spark, tables, RUN, root, log, catalogue)
     assert outcome == {"Daily Inventory Summary": "SUCCESS", "Broken One": "FAILURE", "Empty One": "NO_DATA"}
     assert os.path.isdir(f"{root}/report=daily_inventory_summary/run_date=2024-01-31")
+    assert not os.path.isdir(f"{root}/report=empty_one/run_date=2024-01-31")
     manifest = delivery_manifest(spark.read.schema(DELIVERY_LOG).parquet(log))
     assert rows(manifest, "report_name", "status", "row_count", "recipient") == [
         ("Broken One", "FAILURE", 0, "x@example.com"),
@@ -88,12 +89,11 @@ FLAT = [("full", "7", D(3), None), ("full", "A", D(3), 1.5)]
 def test_flatten(spark):
     orders = spark.createDataFrame(LINES, "order_id string, line_items_json string")
     assert rows(flatten.flatten_lines(orders)) == FLAT
-    assert rows(flatten.flatten_variant(orders)) == FLAT
 
 
 def test_flatten_object_of_lines(spark):
     orders = spark.createDataFrame([("o", '{"x":{"sku_id":"A","quantity":1},"y":{"sku_id":"B"}}')], "order_id string, line_items_json string")
-    assert rows(flatten.flatten_variant(orders)) == [("o", "A", D(1), None), ("o", "B", None, None)]
+    assert rows(flatten.flatten_lines(orders)) == [("o", "A", D(1), None), ("o", "B", None, None)]
 
 
 def test_masking_by_role(spark):
@@ -159,17 +159,22 @@ def test_bucketed_tables_join_without_a_shuffle(spark, stock):
             spark.sql(f"DROP TABLE {name}")
 
 
-def test_shared_dir_without_a_setting(spark):
-    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=spark.sparkContext)
-    assert shared_dir(unset) == shared_dir(unset) == spark.sparkContext.getCheckpointDir()
-
-
-def test_shared_dir_must_be_named_on_a_cluster():
-    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+def test_shared_dir_must_be_named(spark):
+    context = SimpleNamespace(master="local[2]", getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError):
         shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context))
 
 
+def test_a_job_scope_drops_what_it_stored(spark):
+    with job_scope(spark) as folder:
+        with job_scope(spark) as inner:
+            assert inner.startswith(folder) and staged(spark.range(5), "five").count() == 5
+            assert os.path.isdir(inner.removeprefix("file:"))
+        assert not os.path.isdir(inner.removeprefix("file:"))
+        assert staged(spark.range(3), "three").count() == 3
+    assert not os.path.isdir(folder.removeprefix("file:"))
+
+
 def test_scale_settings():
     small = scale_settings(1 << 30, 64)
     assert small["spark.sql.shuffle.partitions"] == "64"

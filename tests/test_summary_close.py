@@ -35,7 +35,7 @@ def moves(spark, content):
 def test_summary(spark):
     df = moves(spark, {1: (1, "A", "RECEIPT", 10, 2), 2: (1, "A", "SHIPMENT", 4, 4), 3: (1, "A", "OTHER", 99, 99), 4: (2, "A", "RECEIPT", 1, None)})
     got = by_key(summary.daily_summary(df), "snapshot_day", "total_received", "total_shipped", "net_movement", "avg_unit_cost")
-    assert got == {date(2024, 1, 1): (10.0, 4.0, 6.0, 3.0), date(2024, 1, 2): (1.0, 0.0, 1.0, None)}
+    assert got == {date(2024, 1, 1): (D(10), D(4), D(6), 3.0), date(2024, 1, 2): (D(1), D(0), D(1), None)}
 
 
 @few
@@ -57,19 +57,19 @@ def test_changes_move_the_summary(spark, old, new):
     assert rows(summary.summary_view(moved)) == rows(summary.daily_summary(after))
 
 
-def test_stored_summary_rewrites_touched_days_only(spark, tmp_path):
+def test_stored_summary_takes_each_batch_once(spark, tmp_path):
     path = str(tmp_path / "s")
     content = {i: (1 + i % 3, "A", "RECEIPT", i, 1) for i in range(6)}
     before = moves(spark, content)
     summary.refresh_table(path, summary.summary_state(before), 0)
-    untouched = sorted((tmp_path / "s" / "data" / "snapshot_day=2024-01-02").iterdir())
+    first = sorted((tmp_path / "s" / "batch_id=0").iterdir())
     # Day 1 loses all its rows, day 3 gains one.
     after = moves(spark, {**{i: m for i, m in content.items() if m[0] != 1}, 9: (3, "B", "SHIPMENT", 4, 2)})
     delta = summary.state_of_changes(chg.changes(before, after, "id"))
     for _ in range(2):
         summary.refresh_table(path, delta, 1)
     assert rows(summary.summary_view(summary.read_state(spark, path))) == rows(summary.daily_summary(after))
-    assert sorted((tmp_path / "s" / "data" / "snapshot_day=2024-01-02").iterdir()) == untouched
+    assert sorted((tmp_path / "s" / "batch_id=0").iterdir()) == first
 
 
 def test_recent_days_newest_first(spark):

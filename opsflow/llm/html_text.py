@@ -107,7 +107,7 @@ def _open(stack: list[Node], tag: str, rest: str) -> Node:
     elif stack[-1].tag == "head" and (tag in BLOCKS or tag in ("a", "b", "br", "i", "img", "span")):
         stack.pop()
     attributes = {}
-    if rest and "=" in rest or "hidden" in rest:
+    if "=" in rest or "hidden" in rest.lower() or tag == "dialog":
         for name, value in ATTRIBUTE.findall(rest):
             attributes.setdefault(name.lower(), html.unescape(value[1:-1] if value[:1] in "\"'" and value else value))
     node = Node(tag, _shown(tag, attributes), attributes)

@@ -1,0 +1,139 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from samples import LONG, awkward, clashing
+
+from opsflow.llm import packing, repair, token_files
+from opsflow.llm.tokens import Encoder, encoder
+from opsflow.session import job_scope, work_path
+
+WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+pieces = st.sampled_from(
+    ["word", "Word", "it's", "WE'LL", "'s", "12", "3.5", "!!", "***", "a\nb", "\n", "\n\n", " ", "  ", "\t", "\r\n", "é", "É", "ß", "İ",
+     "日本", "😀", "<|endoftext|>", " ", "\x1c", "é", "½", "ǅ", "\x00", "\x85", "-", "foo_bar", "ﬁ", "Ω", "​", "", ".", "#"]
+)
+texts = st.lists(st.tuples(pieces, st.sampled_from(["", " ", " ", "\n"])), max_size=14).map(lambda p: "".join(a + b for a, b in p))
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(batch=st.lists(texts, max_size=5))
+def test_same_ids_as_the_library(path, batch):
+    ours = [np.frombuffer(b, "<u4").tolist() for b in encoder(path).encode_all(batch)]
+    assert ours == [e.ids for e in encoder(path).tokenizer.encode_batch(batch, add_special_tokens=False)]
+
+
+def test_bounded_caches(monkeypatch):
+    from opsflow.llm import tokens
+
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 50)
+    monkeypatch.setattr(tokens, "PIECES_KEPT", 40)
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 100)
+    own = Encoder(BYTE)
+    batch = [f"number{i} of {i * 7 % 31}, then more." for i in range(300)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.encode_all(batch)] == [
+        e.ids for e in own.tokenizer.encode_batch(batch, add_special_tokens=False)]
+    assert len(own.words) <= 100 and len(own.pieces) <= 80
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=400), st.integers(0, 400), st.integers(0, 400), st.sampled_from([6, 49_408, 65_000, 200_000]))
+def test_grammar_round_trip_and_random_access(run, start, stop, base):
+    ids = np.array(run * 3, np.uint32)
+    grammar = repair.Grammar.from_bytes(repair.compress(ids, base).to_bytes())
+    assert np.array_equal(grammar.decode(), ids)
+    assert np.array_equal(grammar.decode(start, stop), ids[start:stop])
+
+
+def test_grammar_shortens_and_opens_few_symbols():
+    ids = np.tile(np.arange(50, dtype=np.uint32), 400)
+    grammar = repair.compress(ids, 100)
+    assert len(grammar.symbols) < len(ids) / 20 and len(grammar.pairs)
+    assert (grammar.sizes[100:] == [len(grammar.flat[a : a + n]) for a, n in zip(grammar.starts[100:], grammar.sizes[100:])]).all()
+
+
+def _expected(tokenizer, text, end):
+    return np.array(encoder(tokenizer).tokenizer.encode(text or "", add_special_tokens=False).ids + [end], "<u4")
+
+
+def test_token_files(spark):
+    docs = awkward(spark)
+    with job_scope(spark):
+        path = work_path(spark, "files")
+        token_files.write_documents(clashing(docs), path, WORD, end_id=2, shard_tokens=20, part_bytes=100_000)
+        got = token_files.read_documents(spark, path).collect()
+        assert spark.read.parquet(path).count() > 3
+        everything = np.concatenate([np.frombuffer(r.ids, "<u4") for r in sorted(got, key=lambda r: r.start)])
+        assert np.array_equal(token_files.read_tokens(spark, path, 11, 200), everything[11:200])
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == sorted((r.doc_id for r in docs.collect()), key=lambda i: (i is not None, i))
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at and r.n_tokens == len(r.ids) // 4
+        at += r.n_tokens
+    wanted = sorted((str(r.doc_id), _expected(WORD, r.text, 2).tobytes()) for r in docs.collect())
+    assert sorted((str(r.doc_id), bytes(r.ids)) for r in got) == wanted
+
+
+def _check_packing(docs, rows, capacity):
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+        assert r.length * 4 == len(r.ids)
+    for sequence in by_sequence.values():
+        at = 0
+        for offset, length in sorted(sequence):
+            assert offset == at and length > 0
+            at += length
+        assert at <= capacity
+    wanted = defaultdict(list)
+    for r in docs:
+        wanted[r.doc_id].append(_expected(BYTE, r.text, 1).tobytes())
+    for doc_id, own in by_doc.items():
+        assert sum(r.length for r in own) * 4 == sum(map(len, wanted[doc_id]))
+        if len(wanted[doc_id]) == 1:
+            assert b"".join(bytes(r.ids) for r in sorted(own, key=lambda r: r.start)) == wanted[doc_id][0]
+            assert {r.doc_tokens * 4 for r in own} == {len(wanted[doc_id][0])}
+    assert by_doc.keys() == wanted.keys()
+    return sum(n for s in by_sequence.values() for _, n in s) / (capacity * len(by_sequence))
+
+
+def test_packing_awkward_rows(spark):
+    docs = awkward(spark)
+    _check_packing(docs.collect(), packing.pack(clashing(docs), BYTE, capacity=64).collect(), 64)
+    assert packing.pack(docs.where("false"), BYTE).collect() == []
+
+
+def test_packing_test_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = packing.pack(docs, BYTE, group_bytes=100_000).collect()
+    assert _check_packing(docs.collect(), rows, 2048) > 0.95
+    key = lambda r: (r.doc_id, r.start)
+    assert sorted(rows, key=key) == sorted(packing.pack(docs, BYTE, group_bytes=100_000).collect(), key=key)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=60))
+def test_first_fit_decreasing_by_hand(lengths):
+    bins, offsets = packing.first_fit_decreasing(np.array(lengths), 20)
+    free, wanted = [], {}
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        place = next((b for b, room in enumerate(free) if room >= lengths[i]), len(free))
+        if place == len(free):
+            free.append(20)
+        wanted[i] = (place, 20 - free[place])
+        free[place] -= lengths[i]
+    assert [(b, o) for b, o in zip(bins.tolist(), offsets.tolist())] == [wanted[i] for i in range(len(lengths))]
+
+
+def test_crc_of_ids_is_the_contracts(spark):
+    body = _expected(BYTE, "some text", 1).tobytes()
+    assert spark.sql(f"SELECT crc32(X'{body.hex()}')").first()[0] == zlib.crc32(body)
+
+
+def test_a_long_text_is_encoded_whole():
+    assert b"".join(encoder(BYTE).encode_all([LONG])) == _expected(BYTE, LONG, 1).tobytes()[:-4]

@@ -154,7 +154,16 @@ def test_first_run_and_unreadable_log(spark, tmp_path):
     assert logs.last_success(spark, str(tmp_path / "none"), "x") is None
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "part.parquet").write_text("not parquet")
-    assert logs.last_success(spark, str(tmp_path / "bad"), "x") is None
+    with pytest.raises(Exception):  # not a silent load from the default reach
+        logs.last_success(spark, str(tmp_path / "bad"), "x")
+
+
+def test_reach_of_a_full_load(spark, tmp_path):
+    for reach, wanted in ((1, 0), (None, 1)):
+        target, log = str(tmp_path / f"t{reach}"), str(tmp_path / f"l{reach}")
+        run = RunContext.at(ts("2030-01-01"))
+        result = etl.run_pipeline(sources(spark, [move("a")]), target, log, run, full_load=True, lookback_days=reach)
+        assert result.rows_loaded == wanted
 
 
 def test_no_python_in_the_plan(spark):

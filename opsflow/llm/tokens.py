@@ -1,21 +1,21 @@
-"""Token ids of whole texts by the tokenizers library, with the words of a worker encoded once.
+"""Token ids of whole texts by the tokenizers library, with the pieces of a worker encoded once.
 
 Both public vocabularies cut a text into pieces (words, digits, runs of signs) that are
 encoded independently of each other, so a text's ids are its pieces' ids in order. A
-worker therefore keeps the ids of the words it has met, and only new pieces go to the
-library, many at a time. This holds for texts of Latin letters and ASCII signs without
+worker therefore keeps the ids of the pieces it has met, and only new ones go to the
+library's model, in the byte letters that its first step would give them. This holds for texts of Latin letters and ASCII signs without
 unusual white space; every other text, and every text under another kind of tokenizer
-file, is encoded by the library as it stands. Both caches are bounded.
+file, is encoded by the library as it stands. The cache is bounded: when one generation of
+pieces is full the one before it is dropped.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
-import numpy as np
-
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 PLAIN = re.compile(rf"[\n -~{LETTERS}]*")
 # How the two vocabularies cut texts, for the letters above.
@@ -23,10 +23,17 @@ WORD_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[0-9]|[^\s{LETTERS
 BYTE_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-WORDS_KEPT = 300_000
-PIECES_KEPT = 250_000
+PIECES_KEPT = 400_000
 CHARS_AT_ONCE = 1 << 20
-TEXT_START = "\x00"
+
+
+def _byte_letters() -> str:
+    """A visible character for every byte: itself where it is visible, else the next free one from 256 on."""
+    visible = [33 <= b <= 126 or 161 <= b <= 172 or b >= 174 for b in range(256)]
+    return "".join(chr(b) if visible[b] else chr(256 + b - sum(visible[:b])) for b in range(256))
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 class Encoder:
@@ -40,7 +47,7 @@ class Encoder:
             described = json.load(file)
         self.specials = [t["content"] for t in described.get("added_tokens", [])]
         self.kind = _kind(described)
-        self.words: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -55,63 +62,35 @@ class Encoder:
                 held, chars = [], 0
         yield from self._encode(held)
 
-    def _split(self, text: str) -> list[str] | None:
-        """The text's words if they can be encoded apart, else None."""
-        if not (text.isascii() and "\t" not in text and text.isprintable()) and not PLAIN.fullmatch(text):
-            return None
-        if any(s in text for s in self.specials):
+    def _cut(self, text: str) -> list[str] | None:
+        """The text's pieces if they can be encoded apart, else None."""
+        if self.kind is None or not PLAIN.fullmatch(text) or any(s in text for s in self.specials):
             return None
-        if self.kind == "word":
-            return text.lower().split()
-        if self.kind == "byte" and text and not (
-            text[0] == " " or text[-1] == " " or "  " in text or "\n " in text or " \n" in text
-        ):
-            words = text.split(" ")
-            words[0] = TEXT_START + words[0]
-            return words
-        return None if text else []
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._split(t) for t in texts]
-        whole = iter(self._by_library([t for t, words in zip(texts, split) if words is None]))
-        found = [None if words is None else list(map(self.words.get, words)) for words in split]
-        new = self._new_words({w for words, ids in zip(split, found) if ids and None in ids
-                               for w, i in zip(words, ids) if i is None})
-        out = []
-        for words, ids in zip(split, found):
-            if ids is None:
-                out.append(next(whole))
-            elif None in ids:
-                out.append(b"".join([new[w] if i is None else i for w, i in zip(words, ids)]))
-            else:
-                out.append(b"".join(ids))
-        if len(self.words) + len(new) > WORDS_KEPT:
-            self.words = {}
-        self.words.update(new)
-        return out
-
-    def _new_words(self, words: set[str]) -> dict[str, bytes]:
-        if self.kind == "word":
-            cut = {w: WORD_PIECES.findall(w) for w in words}
-        else:
-            cut = {w: BYTE_PIECES.findall(w[1:] if w[:1] == TEXT_START else " " + w) for w in words}
-        ids: dict[str, bytes] = {}
-        for piece in {p for pieces in cut.values() for p in pieces}:
-            if (known := self.pieces.get(piece) or self.older.get(piece)) is not None:
-                ids[piece] = known
-            else:
-                ids[piece] = b""
-        missing = [p for p, known in ids.items() if not known]
-        ids.update(zip(missing, self._by_library(missing)))
-        if len(self.pieces) + len(ids) > PIECES_KEPT:
+        return WORD_PIECES.findall(text.lower()) if self.kind == "word" else BYTE_PIECES.findall(text)
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        cut = [self._cut(t) for t in texts]
+        whole = iter(self._by_library([t for t, pieces in zip(texts, cut) if pieces is None]))
+        if len(self.pieces) > PIECES_KEPT:
             self.pieces, self.older = {}, self.pieces
-        self.pieces.update(ids)
-        return {w: b"".join([ids[p] for p in pieces]) for w, pieces in cut.items()}
+        new = set().union(*filter(None, cut)).difference(self.pieces)
+        again = {p: self.older[p] for p in new if p in self.older}
+        self.pieces.update(again)
+        missing = list(new.difference(again))
+        self.pieces.update(zip(missing, map(self._by_model, missing)))
+        ids_of = self.pieces.__getitem__
+        for pieces in cut:
+            yield next(whole) if pieces is None else b"".join(map(ids_of, pieces))
+
+    def _by_model(self, piece: str) -> bytes:
+        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_LETTERS))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def _by_library(self, texts: list[str]) -> list[bytes]:
         if not texts:
             return []
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
 
 def _kind(described: dict) -> str | None:

@@ -30,14 +30,13 @@ def test_same_ids_as_the_library(path, batch):
 def test_bounded_caches(monkeypatch):
     from opsflow.llm import tokens
 
-    monkeypatch.setattr(tokens, "WORDS_KEPT", 50)
     monkeypatch.setattr(tokens, "PIECES_KEPT", 40)
     monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 100)
     own = Encoder(BYTE)
     batch = [f"number{i} of {i * 7 % 31}, then more." for i in range(300)]
     assert [np.frombuffer(b, "<u4").tolist() for b in own.encode_all(batch)] == [
         e.ids for e in own.tokenizer.encode_batch(batch, add_special_tokens=False)]
-    assert len(own.words) <= 100 and len(own.pieces) <= 80
+    assert len(own.pieces) + len(own.older) <= 200
 
 
 @settings(max_examples=80, deadline=None)

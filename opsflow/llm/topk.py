@@ -3,17 +3,17 @@
 The components of every vector are cut into lists; a row's score is the sum of its partial
 scores over the lists. For a block of queries:
 
-1. Each task gathers, for every query and list, its local list of best partial scores and
-   the lowest one. The best of all tasks are scored exactly; the last of the k + 1 best is
-   a score that the true answer reaches too.
-2. That safe score, shared evenly among the lists above their lowest values, is broadcast
-   as a cutoff per query and list. A row below its cutoff in every list cannot be in the
-   answer. The tasks collect every entry at or above a cutoff.
+1. Each task gathers, for every query and list, its local list of best partial scores. The
+   best ``depth`` * (k + 1) entries of all tasks are scored exactly; the last of the k + 1
+   best is a score that the true answer reaches too.
+2. That safe score, shared evenly among the lists, is broadcast as a cutoff per query. A
+   row below the cutoff in every list has a smaller sum, so it cannot be in the answer.
+   The tasks collect every entry at or above the cutoff.
 3. Rows whose entries are complete are summed; the remaining ones are scored exactly.
 
 Equal vectors are merged to one row with the smallest k + 1 ids. Queries are a stated set
-and are worked in blocks of about ``block`` distinct vectors, which alone, with two numbers
-per query and list, pass the driver. Everything is integer arithmetic.
+and are worked in blocks of about ``block`` distinct vectors, which alone, with one number
+per query, pass the driver. Scores are integers throughout.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows
 without id, take no part; only vectors of the query's own length are its candidates; of
@@ -34,6 +34,7 @@ from opsflow.session import staged, work_path
 
 ROWS_AT_ONCE = 2048
 EXACT = 2.0**53
+ENTRY = "place int, list int, node long, score long"
 
 
 def quantised(vector: Column, scale: int) -> Column:
@@ -51,7 +52,7 @@ def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector: str = "vector",
-           lists: int = 2, block: int = 1024) -> DataFrame:
+           lists: int = 2, block: int = 1024, depth: int = 16) -> DataFrame:
     """The ``k`` best rows for every row with ``is_query``: query_id, rank, id (under its own name), score.
 
     ``vector`` is an array of longs. Ties go to the smaller id.
@@ -85,7 +86,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
             if got:
                 nodes = np.array([r.node for r in got], np.int64)
                 asks = np.array([r.vec for r in got], np.int64).reshape(len(got), length)
-                _answered(own, nodes, asks, k + 1, min(lists, max(1, length))).write.mode("append").parquet(path)
+                _answered(own, nodes, asks, k + 1, min(lists, max(1, length)), depth).write.mode("append").parquet(path)
     schema = "query long, node long, score long"
     found = spark.read.schema(schema).parquet(path) if wanted.limit(1).count() else spark.createDataFrame([], schema)
     best = (
@@ -103,9 +104,9 @@ def search(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     )
 
 
-def _answered(own: DataFrame, nodes: np.ndarray, asks: np.ndarray, k: int, lists: int) -> DataFrame:
+def _answered(own: DataFrame, nodes: np.ndarray, asks: np.ndarray, k: int, lists: int, depth: int) -> DataFrame:
     """The k best classes (query, node, score) for one block of queries."""
-    length = asks.shape[1]
+    length, wide = asks.shape[1], depth * k
     cuts = np.linspace(0, length, lists + 1).astype(int).tolist()
     listed = own.select("node", F.inline(F.array(*[
         F.struct(F.lit(j).alias("list"), F.slice("vec", cuts[j] + 1, cuts[j + 1] - cuts[j]).alias("part")) for j in range(lists)
@@ -114,42 +115,32 @@ def _answered(own: DataFrame, nodes: np.ndarray, asks: np.ndarray, k: int, lists
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tops = {j: (np.zeros((len(asks), 0), np.int64), np.zeros((len(asks), 0), np.int64)) for j in range(lists)}
-        lows: dict[int, np.ndarray] = {}
         for j, ids, scores in _partials(batches, asks, cuts):
             best, who = tops[j]
             best = np.concatenate([best, scores], 1)
             who = np.concatenate([who, np.broadcast_to(ids, scores.shape)], 1)
-            if best.shape[1] > k:
-                pick = np.argpartition(-best, k - 1, 1)[:, :k]
+            if best.shape[1] > wide:
+                pick = np.argpartition(-best, wide - 1, 1)[:, :wide]
                 best, who = np.take_along_axis(best, pick, 1), np.take_along_axis(who, pick, 1)
             tops[j] = best, who
-            low = scores.min(1)
-            lows[j] = np.minimum(lows[j], low) if j in lows else low
-        for j, low in lows.items():
-            best, who = tops[j]
-            place = np.repeat(np.arange(len(asks)), best.shape[1])
-            yield _batch(place, j, who.ravel(), best.ravel(), np.repeat(low, best.shape[1]))
+        for j, (best, who) in tops.items():
+            yield _batch(np.repeat(np.arange(len(asks)), best.shape[1]), j, who.ravel(), best.ravel())
 
-    lists_found = staged(listed.mapInArrow(local, "place int, list int, node long, score long, low long"), "search-local")
-    lows = lists_found.groupBy("place", "list").agg(F.min("low").alias("low"))
-    first = lists_found.withColumn("at", F.row_number().over(at)).where(F.col("at") <= k).select("place", "node").distinct()
+    gathered = listed.mapInArrow(local, ENTRY)
+    first = gathered.withColumn("at", F.row_number().over(at)).where(F.col("at") <= wide).select("place", "node").distinct()
     exact = _scored(first, own, asks)
     order = Window.partitionBy("place").orderBy(F.desc("score"))
     safe = exact.withColumn("at", F.row_number().over(order)).where(F.col("at") == k).select("place", "score")
-    # One row per query and list of the block.
-    low = np.zeros((len(asks), lists))
-    for r in lows.collect():
-        low[r.place, r.list] = r.low
-    cutoff = np.full((len(asks), lists), -np.inf)
-    for r in safe.collect():
-        cutoff[r.place] = low[r.place] + (r.score - low[r.place].sum()) / lists - 0.5  # half a point below, against rounding
+    cutoff = np.full(len(asks), -np.inf)
+    for r in safe.collect():  # one row per query of the block
+        cutoff[r.place] = r.score / lists - 0.5  # half a point below, against rounding
 
     def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for j, ids, scores in _partials(batches, asks, cuts):
-            place, row = np.nonzero(scores >= cutoff[:, j : j + 1])
-            yield _batch(place, j, ids[row], scores[place, row], scores[place, row])
+            place, row = np.nonzero(scores >= cutoff[:, None])
+            yield _batch(place, j, ids[row], scores[place, row])
 
-    entries = listed.mapInArrow(enough, "place int, list int, node long, score long, low long")
+    entries = listed.mapInArrow(enough, ENTRY)
     sums = staged(entries.groupBy("place", "node").agg(F.sum("score").alias("score"), F.count("*").alias("n")), "search-entries")
     rest = _scored(sums.where(F.col("n") < lists).select("place", "node"), own, asks)
     scored = sums.where(F.col("n") == lists).select("place", "node", "score").unionByName(rest)
@@ -162,10 +153,10 @@ def _answered(own: DataFrame, nodes: np.ndarray, asks: np.ndarray, k: int, lists
     return kept.join(named, "place").select("query", "node", "score")
 
 
-def _batch(place, j, node, score, low) -> pa.RecordBatch:
+def _batch(place, j, node, score) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.asarray(place, np.int32)), pa.array(np.full(len(place), j, np.int32)), pa.array(np.asarray(node, np.int64)),
-         pa.array(np.asarray(score, np.int64)), pa.array(np.asarray(low, np.int64))], ["place", "list", "node", "score", "low"])
+         pa.array(np.asarray(score, np.int64))], ["place", "list", "node", "score"])
 
 
 def _partials(batches: Iterator[pa.RecordBatch], asks: np.ndarray, cuts: list[int]):

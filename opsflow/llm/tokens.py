@@ -23,7 +23,7 @@ WORD_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[0-9]|[^\s{LETTERS
 BYTE_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-PIECES_KEPT = 400_000
+PIECES_KEPT = 300_000
 CHARS_AT_ONCE = 1 << 20
 
 

@@ -21,11 +21,13 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A quote opens a quoted value only after "="; anywhere else it is a character of a name or of an unquoted value.
+VALUE = r"\"[^\"]*+\"|'[^']*+'|[^ \t\n\r\f>]++"
 TOKEN = re.compile(
-    r"<!--(?s:.*?)(?:-->|\Z)|<[!?][^>]*+>?|</([a-zA-Z][^\s/>]*+)[^>]*+>?"
-    r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?"
+    r"<!--(?:-?>|(?s:.*?)(?:--!?>|\Z))|<[!?][^>]*+>?|</([a-zA-Z][^\s/>]*+)[^>]*+>?"
+    r"|<([a-zA-Z][^\s/>]*+)((?:[ \t\n\r\f/]++|[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:" + VALUE + r")?+)?+)*+)>?"
 )
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?")
+ATTRIBUTE = re.compile(r"([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(" + VALUE + r"))?+")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 

@@ -239,6 +239,16 @@ def test_small_pages(page, text):
     assert html_text.visible_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<td width=50">Hello</td><td width="50">World', "Hello\nWorld"), ("<p title=it's>Lost text</p> don't stop", "Lost text\n\ndon't stop"),
+    ('<p a"b>x</p><p c"d>y', "x\n\ny"), ('<p "hidden">x', "x"), ("<p =\"a>x", "x"), ("<p title = 'a>b' class=\"c>d\">x", "x"), ("<p title=>x", "x"),
+    ("<p title=a/hidden>x", "x"), ("<p title=a'/>x<p title='b'/>y", "x\n\ny"), ("<p title=a' hidden>gone</p>'x", "'x"), ("<p title='open>x", "x"),
+    ("a<!-->b<!-- gone -->c", "abc"), ("a<!--->b<!-- gone -->c", "abc"), ("a<!---->b", "ab"), ("a<!-- gone --!>b<!-- -->c", "abc"), ("a<!--> b", "a b"),
+])
+def test_stray_quotes_and_short_comments(page, text):
+    assert html_text.visible_text(page) == text
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 50_000 + "x" + "</div>" * 50_000
     assert html_text.visible_text(deep) == "x"

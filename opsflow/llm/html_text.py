@@ -32,8 +32,9 @@ SPACES = re.compile(r"[ \t\n\r\f]+")
 HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
 # Element names by the role that HTML gives them.
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+VOID = set("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
+OF_HEAD = set("base basefont bgsound link meta title style script template noscript noframes".split())
 HIDDEN = set("head script style template noscript title iframe object video audio canvas svg math noembed noframes datalist select textarea".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr fieldset".split())
 BLOCKS = SPACED | set(
@@ -104,10 +105,10 @@ def _add_text(stack: list[Node], text: str) -> None:
 def _open(stack: list[Node], tag: str, rest: str) -> Node:
     if tag in ENDS_P:
         _close_within(stack, {"p"}, SCOPES | {"button"})
+    if stack[-1].tag == "head" and tag not in OF_HEAD:
+        stack.pop()
     if tag in CLOSES:
         _close_within(stack, *CLOSES[tag])
-    elif stack[-1].tag == "head" and (tag in BLOCKS or tag in ("a", "b", "br", "i", "img", "span")):
-        stack.pop()
     attributes = {}
     if "=" in rest or "hidden" in rest.lower() or tag == "dialog":
         for name, value in ATTRIBUTE.findall(rest):

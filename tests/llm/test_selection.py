@@ -249,6 +249,17 @@ def test_stray_quotes_and_short_comments(page, text):
     assert html_text.visible_text(page) == text
 
 
+@pytest.mark.parametrize("tag", "font strong em u code label button time my-tag li dt dd td tr option p div a span section xmp head".split())
+def test_any_other_tag_ends_the_head(tag):
+    assert html_text.visible_text(f"<head><title>T</title><{tag}>whole page").endswith("whole page")
+    assert html_text.visible_text(f"<html><head><bgsound src=b><{tag}>whole page").endswith("whole page")
+
+
+@pytest.mark.parametrize("tag", "title style script template noscript noframes".split())
+def test_elements_of_the_head_stay_in_it(tag):
+    assert html_text.visible_text(f"<head><base><basefont><bgsound><link><meta><{tag}>gone</{tag}> <em>page</em></head>") == "page"
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 50_000 + "x" + "</div>" * 50_000
     assert html_text.visible_text(deep) == "x"

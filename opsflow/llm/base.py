@@ -38,3 +38,8 @@ def word_count(text: Column) -> Column:
 def crc_of_id(doc_id: Column) -> Column:
     """CRC-32 of an id's decimal text, which deals labelled rows out; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+def numbered(rows: DataFrame, name: str, *order: str | Column) -> DataFrame:
+    """``rows`` with a long that is unique and ascends with ``order``, which must tell all rows apart; store it before using it twice."""
+    return rows.orderBy(*order).withColumn(name, F.monotonically_increasing_id())

@@ -17,7 +17,8 @@ per query, pass the driver. Scores are integers throughout.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows
 without id, take no part; only vectors of the query's own length are its candidates; of
-rows that repeat the query's id and vector, one counts as the query's own; a query with
+rows that repeat the query's id and vector, one counts as the query's own; an id that stands
+with several vectors is a row, and a query, with each of them; a query with
 fewer candidates gets them all; an empty table gives an empty result.
 """
 
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsflow.llm.base import numbered
 from opsflow.session import staged, work_path
 
 ROWS_AT_ONCE = 2048
@@ -66,11 +68,9 @@ def search(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     )
     place = F.row_number().over(Window.partitionBy("key_a", "key_b").orderBy("id"))
     members = rows.drop("asks").withColumn("place", place).where(F.col("place") <= k + 1)
-    merged = staged(
-        members.groupBy("key_a", "key_b").agg(
-            F.min("id").alias("node"), F.array_sort(F.collect_list("id")).alias("ids"), F.min("vec").alias("vec")),
-        "search-classes",
-    )
+    classes = members.groupBy("key_a", "key_b").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.min("vec").alias("vec"))
+    # Numbered by their smallest ids, for ties; one id can stand with several vectors.
+    merged = staged(numbered(classes, "node", F.col("ids")[0], "key_a", "key_b"), "search-classes")
     asked = rows.where("asks").select("id", "key_a", "key_b")
     wanted = staged(
         merged.join(asked.select("key_a", "key_b").distinct(), ["key_a", "key_b"], "left_semi")

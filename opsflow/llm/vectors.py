@@ -12,7 +12,7 @@ per vector and a spanning forest of each tile pair, so no list of pairs is ever
 
 Defined cases: a vector that is null, zero, or holds null or non-finite components links
 with nothing, and so does a row without id; vectors of different length are never linked;
-an empty table gives an empty result.
+an id that stands with several vectors has a row for each, linked by its own vector; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opsflow.llm.base import numbered
 from opsflow.llm.components import components
 from opsflow.llm.tiles import compare, deal, forest
 from opsflow.session import staged
@@ -81,11 +82,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     )
     usable = rows.where("codes is not null and id is not null")
     # Equal vectors have equal keys; min(codes) and min(vec) only pick the common value.
-    merged = staged(
-        usable.groupBy("key_a", "key_b").agg(
-            F.min("id").alias("node"), F.count("*").alias("weight"), F.min("vec").alias("vec"), F.min("codes").alias("codes")),
-        "vectors",
-    )
+    classes = usable.groupBy("key_a", "key_b").agg(
+        F.min("id").alias("least_id"), F.count("*").alias("weight"), F.min("vec").alias("vec"), F.min("codes").alias("codes"))
+    # Numbered by their smallest ids, so that the smallest node of a component has its smallest id; one id can stand with several vectors.
+    merged = staged(numbered(classes, "node", "least_id", "key_a", "key_b"), "vectors")
     parts = F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda t: F.struct(
         t.alias("part"), F.conv(F.hex(F.substring("codes", t * 4 + 1, F.lit(4))), 16, 10).cast("long").alias("bucket")))
     dealt = deal(merged.select("node", F.inline(parts)), ["part", "bucket"], "node", TILE)
@@ -129,10 +129,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     found = staged(compare(carried, ["part", "bucket"], work, "a long, b long, links long"), "links")
     linked = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = components(found.where("b is not null").select("a", "b"))
+    labels = merged.select(F.col("node").alias("component"), F.col("least_id").alias("label"))
+    named = joined.join(labels, "component").select("node", "label")
     placed = staged(
-        merged.select("key_a", "key_b", "node", "weight").join(linked, "node", "left").join(joined, "node", "left").select(
+        merged.select("key_a", "key_b", "node", "least_id", "weight").join(linked, "node", "left").join(named, "node", "left").select(
             "key_a", "key_b", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id")),
+            F.coalesce("label", "least_id").alias("component_id")),
         "vectors",
     )
     known = usable.select("id", "key_a", "key_b").join(placed, ["key_a", "key_b"]).select("id", "n_links", "component_id")

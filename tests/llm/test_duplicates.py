@@ -161,3 +161,13 @@ def test_vectors(spark, monkeypatch):
         assert vectors.near_duplicates(empty).collect() == []
         lost = spark.createDataFrame([(None, [1.0, 2.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<float>")
         assert sorted((r.vec_id or 0, r.n_links) for r in vectors.near_duplicates(lost).collect()) == [(0, 0), (1, 0)]
+
+
+def test_vectors_of_one_id_are_linked_each_by_its_own(spark):
+    random = np.random.default_rng(14)
+    a, b, c = (random.standard_normal(16) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a * 2), (3, b * 2), (4, b * 3), (9, b), (5, c), (6, c * 2), (1, c * 3)]
+    with job_scope(spark):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+        got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect())
+    assert got == [(1, 1, 1), (1, 2, 1), (1, 3, 1), (2, 1, 1), (3, 3, 1), (4, 3, 1), (5, 2, 1), (6, 2, 1), (9, 3, 1)]

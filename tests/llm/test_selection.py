@@ -106,6 +106,16 @@ def test_search(spark):
         assert topk.search(lost, F.lit(True), k=4).collect() == []
 
 
+def test_search_of_one_id_with_several_vectors(spark):
+    random = np.random.default_rng(19)
+    rows = [(i // 2, random.standard_normal(6).round(1).tolist()) for i in range(40)]
+    rows += [(3, rows[0][1]), (2, rows[31][1]), (7, [1.0, 2.0]), (7, [3.0, 1.0])]
+    with job_scope(spark):
+        own = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("vector", topk.quantised(F.col("embedding"), 256))
+        got = topk.search(own, F.col("vec_id") % 5 == 0, k=4).collect()
+        assert sorted(map(tuple, got)) == best_by_hand(rows, lambda i: i % 5 == 0, 4)
+
+
 def test_products_of_large_components_are_exact():
     big = np.array([[2**30, 1], [2**30, -1]], np.int64)
     assert topk.products(big, big).tolist() == [[2**60 + 1, 2**60 - 1], [2**60 - 1, 2**60 + 1]]

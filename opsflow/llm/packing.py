@@ -2,7 +2,7 @@
 
 Documents are encoded, closed with an end id and cut into pieces of at most ``capacity``
 ids. The pieces are dealt at random (with a seed) to groups of about ``group_bytes`` of
-text; inside a group the pieces go, longest first, into the first sequence with room,
+text and end ids; inside a group the pieces go, longest first, into the first sequence with room,
 which a tournament tree over the sequences' free room finds in logarithmic time. The
 number of groups grows with the corpus, so no task's work does.
 
@@ -81,7 +81,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
 
     A sequence's pieces lie without gaps from offset 0; its padding follows the last one.
     """
-    volume = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    # Every row has an end id, of four bytes, so rows without text weigh too.
+    volume = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 4)).first()[0] or 0
     groups = max(1, -(-volume // group_bytes))
 
     def place(group: pa.Table) -> pa.Table:

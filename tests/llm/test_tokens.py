@@ -115,6 +115,17 @@ def test_packing_test_table(spark):
     assert sorted(rows, key=key) == sorted(packing.pack(docs, BYTE, group_bytes=100_000).collect(), key=key)
 
 
+def test_packing_deals_rows_without_text_to_groups(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id", "if(id % 2 = 0, '', null) as text")
+    rows = packing.pack(docs, BYTE, group_bytes=1000).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(4000))
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.sequence_id >> 32] += 4 * r.length
+    assert len(sizes) == 16 and max(sizes.values()) < 2000
+    _check_packing(docs.collect(), rows, 2048)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 20), min_size=1, max_size=60))
 def test_first_fit_decreasing_by_hand(lengths):

@@ -4,7 +4,11 @@ A page is cut into tags and text, built into a tree (with the end tags that HTML
 authors leave out), and rendered: hidden parts go, blocks stand on lines of their own,
 paragraphs and headings are set off by blank lines, list items get bullets or numbers and
 are indented by depth, table cells are aligned in columns, preformatted text keeps its
-white space, and all other white space collapses.
+white space, and all other white space collapses. Text areas are blocks that keep their
+white space; of svg the text elements are shown, a line each, and of math all but annotations.
+
+Left out: select elements with their options, and text that svg defines for use elsewhere
+(defs, symbol).
 
 Defined cases: a null page gives null, an empty one an empty text; markup that is cut off
 or badly nested is closed at the end; tags are never emitted; pages of any length and
@@ -35,11 +39,18 @@ HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collap
 VOID = set("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 OF_HEAD = set("base basefont bgsound link meta title style script template noscript noframes".split())
-HIDDEN = set("head script style template noscript title iframe object video audio canvas svg math noembed noframes datalist select textarea".split())
+HIDDEN = set("head script style template noscript title iframe object video audio canvas noembed noframes datalist select".split())
+# Inside svg and math, which follow rules of their own.
+HIDDEN_FOREIGN = set("title desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
+HOLDS_HTML = set("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+FOREIGN_BLOCKS = set("text foreignobject mtr".split())
+ENDS_FOREIGN = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s"
+    " small span strong strike sub sup table tt u ul var".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr fieldset".split())
 BLOCKS = SPACED | set(
     "html body address article aside center dd details dialog dir div dt figcaption footer form header hgroup legend li main menu nav"
-    " option section summary caption tbody thead tfoot tr td th".split())
+    " option section summary textarea caption tbody thead tfoot tr td th".split())
 ENDS_P = SPACED | set(
     "address article aside center details dialog dir div dd dt figcaption footer form header hgroup li main menu nav section summary".split())
 LISTS = {"ul", "ol", "menu", "dir"}
@@ -59,10 +70,12 @@ SCOPES = {"td", "th", "table", "caption", "html"}
 
 
 class Node:
-    __slots__ = ("tag", "shown", "attributes", "children")
+    """``foreign``: "math", "svg" (where text is not drawn), "text" (a text element of svg) or empty."""
+
+    __slots__ = ("tag", "shown", "attributes", "children", "foreign")
 
-    def __init__(self, tag: str, shown: bool, attributes: dict[str, str]):
-        self.tag, self.shown, self.attributes, self.children = tag, shown, attributes, []
+    def __init__(self, tag: str, shown: bool, attributes: dict[str, str], foreign: str = ""):
+        self.tag, self.shown, self.attributes, self.children, self.foreign = tag, shown, attributes, [], foreign
 
 
 def parse(page: str) -> Node:
@@ -83,26 +96,35 @@ def parse(page: str) -> Node:
         elif opening:
             tag = opening.lower()
             node = _open(stack, tag, rest)
-            if tag in VOID:
+            if tag in VOID or node.foreign and node.tag == tag and rest.endswith("/"):
                 stack.pop()
-            elif tag in RAW:
+            elif tag in RAW and not node.foreign:
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>?", re.I).search(page, at)
                 if node.shown:
-                    node.children.append(page[at : stop.start() if stop else end])
+                    body = page[at : stop.start() if stop else end]
+                    node.children.append(html.unescape(body).removeprefix("\n") if tag == "textarea" else body)
                 at = stop.end() if stop else end
                 stack.pop()
+        elif stack[-1].foreign and page.startswith("<![CDATA[", start):
+            stop = page.find("]]>", start)
+            _add_text(stack, html.escape(page[start + 9 : stop if stop >= 0 else end]))
+            at = stop + 3 if stop >= 0 else end
     return root
 
 
 def _add_text(stack: list[Node], text: str) -> None:
     if stack[-1].tag in ("table", "tbody", "thead", "tfoot", "tr") and not text.strip():
         return
+    if stack[-1].foreign == "svg" and stack[-1].tag not in HOLDS_HTML:
+        return
     if stack[-1].tag == "head" and text.strip():
         stack.pop()
     stack[-1].children.append(html.unescape(text) if "&" in text else text)
 
 
 def _open(stack: list[Node], tag: str, rest: str) -> Node:
+    while tag in ENDS_FOREIGN and stack[-1].foreign and stack[-1].tag not in HOLDS_HTML:
+        stack.pop()
     if tag in ENDS_P:
         _close_within(stack, {"p"}, SCOPES | {"button"})
     if stack[-1].tag == "head" and tag not in OF_HEAD:
@@ -113,7 +135,10 @@ def _open(stack: list[Node], tag: str, rest: str) -> Node:
     if "=" in rest or "hidden" in rest.lower() or tag == "dialog":
         for name, value in ATTRIBUTE.findall(rest):
             attributes.setdefault(name.lower(), html.unescape(value[1:-1] if value[:1] in "\"'" and value else value))
-    node = Node(tag, _shown(tag, attributes), attributes)
+    foreign = "" if stack[-1].tag in HOLDS_HTML else stack[-1].foreign
+    if tag in ("svg", "math") or tag == "text" and foreign == "svg":
+        foreign = tag
+    node = Node(tag, _shown(tag, attributes, foreign), attributes, foreign)
     if tag in ("html", "body") and len(stack) > 1 and any(n.tag == tag for n in stack):
         return stack[-1]
     stack[-1].children.append(node)
@@ -121,7 +146,9 @@ def _open(stack: list[Node], tag: str, rest: str) -> Node:
     return node
 
 
-def _shown(tag: str, attributes: dict[str, str]) -> bool:
+def _shown(tag: str, attributes: dict[str, str], foreign: str) -> bool:
+    if foreign and (tag in HIDDEN_FOREIGN or attributes.get("display") == "none" or attributes.get("visibility") in ("hidden", "collapse")):
+        return False
     return not (tag in HIDDEN or "hidden" in attributes or tag == "dialog" and "open" not in attributes
                 or "style" in attributes and HIDING_STYLE.search(attributes["style"]))
 
@@ -262,9 +289,12 @@ def _enter(child: Node, own: _Lines, pre: bool, extra, frames: list) -> None:
     else:
         if tag in SPACED:
             own.gap()
-        elif tag in BLOCKS:
+        elif tag in BLOCKS or child.foreign and (
+                tag in FOREIGN_BLOCKS or tag == "tspan" and ("x" in child.attributes or "y" in child.attributes)):
             own.end()
-        frames.append([child, 0, own, pre or tag == "pre", extra if tag in ("form", "colgroup") else None])
+        elif child.foreign and frames[-1][0].tag in ("mfrac", "mtr"):
+            own.space = True  # above or beside the last one
+        frames.append([child, 0, own, pre or tag in ("pre", "textarea"), extra if tag in ("form", "colgroup") else None])
 
 
 def _leave(node: Node, own: _Lines, frames: list, extra) -> None:
@@ -289,7 +319,7 @@ def _leave(node: Node, own: _Lines, frames: list, extra) -> None:
         outer.end() if isinstance(extra, dict) and extra.get("nested") else outer.gap()
     elif tag in SPACED:
         own.gap()
-    elif tag in BLOCKS and not (isinstance(extra, dict) and "grid" in extra):
+    elif (tag in BLOCKS or node.foreign and tag in FOREIGN_BLOCKS) and not (isinstance(extra, dict) and "grid" in extra):
         own.end()
 
 

@@ -270,6 +270,18 @@ def test_elements_of_the_head_stay_in_it(tag):
     assert html_text.visible_text(f"<head><base><basefont><bgsound><link><meta><{tag}>gone</{tag}> <em>page</em></head>") == "page"
 
 
+@pytest.mark.parametrize("page,text", [
+    ("a<textarea>\n x &amp; <b>\n  y</textarea>b", "a\n x & <b>\n  y\nb"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>gone</annotation></math> holds", "so x= 1 2 holds"),
+    ("<svg><title>gone</title><defs/><path d='M0 0'/><g>gone<text>One</text><text><tspan x=0>Two</tspan><tspan x=0>Three</tspan></text></g></svg>z",
+     "One\nTwo\nThree\nz"),
+    ("<svg><style/><text><![CDATA[a > b]]></text><text display=none>gone</text><foreignObject><p>in</p></foreignObject></svg>", "a > b\n\nin"),
+    ("<svg><g><p>out of it", "out of it"), ("<svg><title>gone</svg>after", "after"), ("<svg/>after", "after"),
+])
+def test_text_areas_formulas_and_drawings(page, text):
+    assert html_text.visible_text(page) == text
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 50_000 + "x" + "</div>" * 50_000
     assert html_text.visible_text(deep) == "x"

@@ -21,7 +21,7 @@ from opsflow.plans import anomaly, close, etl, reconcile, reports, scorecard, su
 from opsflow.schemas import DELIVERY_LOG, INVENTORY_FACT, MONTHLY_CLOSE, RUN_LOG, STAGED_INVENTORY, conform
 from opsflow.session import staged, work_path
 from opsflow.sources.logs import delivery_manifest
-from opsflow.sources.tables import create_if_missing, insert_select, path_exists
+from opsflow.sources.tables import create_if_missing, insert_select, is_folder, path_exists
 from opsflow.sources.views import view
 from opsflow.streaming import cdc, load, summary as summary_stream
 
@@ -629,8 +629,11 @@ def daily_summary_table(spark, sf):
 
 
 def _event_stream(spark, sf, name):
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    load.file_stream(spark, sf, schema, name_glob="events.parquet").createOrReplaceTempView(name)
+    path = posixpath.join(sf, "events.parquet")
+    schema = spark.read.parquet(path).schema
+    # A stream reads a folder; the filter on names would not match the part files of a table that is one itself.
+    stream = load.file_stream(spark, path, schema) if is_folder(spark, path) else load.file_stream(spark, sf, schema, name_glob="events.parquet")
+    stream.createOrReplaceTempView(name)
     return _sources(spark, sf, events=name)
 
 

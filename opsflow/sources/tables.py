@@ -32,6 +32,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).isDirectory()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Removes a folder of this library's own; a missing one is fine."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,10 +1,14 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import D, rows, ts
 from opsflow.operators import changes as chg
 from opsflow.plans import etl, summary
+from opsflow.registry import QUERIES
 from opsflow.schemas import STAGED_INVENTORY, conform
+from opsflow.session import job_scope
 from opsflow.sources.views import view
 from opsflow.streaming import cdc, load, summary as stream_summary
 
@@ -143,3 +147,13 @@ def test_load_stream_equals_batch(spark, tmp_path):
     got = conform(spark.read.schema(STAGED_INVENTORY).parquet(str(tmp_path / "out")), STAGED_INVENTORY)
     assert rows(got) == rows(etl.transform(etl.extract(batch, OLD), RUN))
     assert got.where(F.col("QUANTITY") < D(0)).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["daily_summary_stream", "daily_summary_windowed", "etl_stream"])
+def test_event_stream_reads_a_table_of_part_files(spark, tmp_path, name):
+    for table in ("nation", "supplier", "part", "customer", "orders", "lineitem"):
+        shutil.copy(f"{SF}/{table}.parquet", tmp_path)
+    spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    with job_scope(spark):
+        wanted = rows(QUERIES[name](spark, SF))
+        assert wanted and rows(QUERIES[name](spark, str(tmp_path))) == wanted

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsflow.llm import html_text, line_dedup, mixing, packing, quality, simhash, token_files, topk, toxicity, vectors
+from opsflow.llm import (
+    html_text, katz, line_dedup, mixing, negatives, packing, quality, simhash, token_files, topk, toxicity, vectors, whitening,
+)
 from opsflow.llm.base import crc_of_id, table, word_count
 from opsflow.session import staged, work_path
 
@@ -121,3 +123,26 @@ def op10_packing(spark, sf_dir):
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op11_lm_scoring(spark, sf_dir):
+    """Katz scores of every text, by a bigram model of the documents outside the fold crc32(doc_id) mod 10 = 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.fit_and_score(docs, crc_of_id(F.col("doc_id")) % 10 == 0, order=2)
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    """Every vector along the 16 leading eigenvectors of the covariance of floor(64 * x) + 1000000, over its deviations."""
+    scaled = F.transform(topk.quantised(F.col("embedding"), 64), lambda x: x + 1_000_000)
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", scaled.alias("vector")), components=16)
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    """For every vector whose id is divisible by 50, and each of its 5 positives, the 3 best rows of other labels in the window."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", label.alias("label"), topk.quantised(F.col("embedding"), 256).alias("vector"))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)

@@ -40,9 +40,16 @@ ENTRY = "place int, list int, node long, score long"
 
 
 def quantised(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of every component, in double precision; null for vectors that take no part."""
+    """floor(scale * x) of every component, in double precision; null for vectors that take no part.
+
+    A component that doubles cannot hold to the unit after scaling fails the query.
+    """
     odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.when(~odd, F.transform(vector, lambda x: F.floor(x.cast("double") * scale)))
+    return F.when(~odd, F.transform(vector, lambda x: _floored(x.cast("double") * scale)))
+
+
+def _floored(scaled: Column) -> Column:
+    return F.when(F.abs(scaled) < EXACT, F.floor(scaled)).otherwise(F.raise_error(F.lit("a vector component is too large")))
 
 
 def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -50,6 +57,8 @@ def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     largest = [float(np.abs(x.astype(float)).max()) if x.size else 0.0 for x in (left, right)]
     if largest[0] * largest[1] * max(1, left.shape[1]) < EXACT:
         return (left.astype(float) @ right.T.astype(float)).astype(np.int64)
+    if largest[0] * largest[1] * max(1, left.shape[1]) >= 2.0**63:
+        raise OverflowError("inner products may not fit into 64 bits")
     return left @ right.T
 
 

@@ -19,5 +19,5 @@ def test_matches_sql(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()

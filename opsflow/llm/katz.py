@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from opsflow.session import work_path
 
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 PART_BYTES = 8 << 20
 TURING = 5
 HOT = 4096
@@ -324,7 +324,7 @@ def _answers(model: Model, kind: str):
         answer, by_order = [], defaultdict(list)
         for reply in replies.select(["n", "part", "counts", "first", "sums"]).to_pylist():
             by_order[reply["n"]].append(reply)
-        level = np.zeros(len(tokens), np.int64)  # the longest n-gram that ends here and was seen
+        level = np.zeros(len(tokens), np.int8)  # the longest n-gram that ends here and was seen
         known = np.zeros(len(tokens))
         counts = history = lower = None
         for n in range(1, model.order + 1):
@@ -333,7 +333,7 @@ def _answers(model: Model, kind: str):
             if n == 1:
                 ends = first + lengths - 1
                 starts = int(total[place[ends[0]]])  # a start mark is as frequent as an end
-                known_words, base = (total > 0)[place], model.base(total)[place]
+                known_words, base = (_added(values[place], first) for values in ((total > 0).astype(np.int64), model.base(total)))
                 history, chance = np.full(len(tokens), model.tokens), np.full(len(tokens), model.unknown)
             else:
                 history, chance = np.roll(counts, 1), np.zeros(len(tokens))
@@ -343,15 +343,15 @@ def _answers(model: Model, kind: str):
             chance[seen] = model.discounts[n - 1](counts[seen]) / history[seen]
             if n > 1:
                 answer += _sums(n, shard.number, before[n - 1], sample[speaks], model, counts, history, lower)
-            known = np.where(seen | (n == 1), np.log10(chance, out=np.zeros(len(chance)), where=chance > 0), known)
-            level, lower = np.where(seen, n, level), chance
+            at = seen if n > 1 else slice(None)
+            known[at] = np.log10(chance[at])
+            level[seen], lower = n, chance
             before[n - 1] = (before[n - 1], history)
         for n in range(2, model.order + 1):
             answer += _uses(n, shard.number, *before[n - 1], level, doc, model)
-        size = len(lengths)
         answer.append({
             "kind": "score", "n": 0, "part": _spread(shard.number), "shard": shard.number, "held": packed(held), "one": packed(lengths),
-            "two": packed(np.bincount(doc, known_words, size).astype(np.int64)), "three": packed(_added(base, first)),
+            "two": packed(known_words), "three": packed(base),
             "four": packed(_added(known, first)), "ids": ids.to_pylist()})
         return pa.Table.from_pylist(answer, schema)
 

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from opsflow.session import work_path
 
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
 PART_BYTES = 8 << 20
 TURING = 5
 HOT = 4096

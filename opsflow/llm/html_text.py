@@ -7,18 +7,25 @@ are indented by depth, table cells are aligned in columns, preformatted text kee
 white space, and all other white space collapses. Text areas are blocks that keep their
 white space; of svg the text elements are shown, a line each, and of math all but annotations.
 
-Left out: select elements with their options, and text that svg defines for use elsewhere
-(defs, symbol).
+``display: none`` and ``hidden`` cut off all that is inside; visibility is inherited, so an
+element can show itself inside a hidden one. Only attributes count: style sheets are not
+applied, and a closed ``details`` is shown in full.
+
+Left out: select elements with their options, text that svg defines for use elsewhere
+(defs, symbol), and what is no text of the page: labels of input buttons, ``alt`` texts.
 
 Defined cases: a null page gives null, an empty one an empty text; markup that is cut off
 or badly nested is closed at the end; tags are never emitted; pages of any length and
-depth are walked without recursion.
+depth are walked without recursion, in time and output that grow with the page. For that,
+lists indent their lines by at most ``MAX_INDENT`` blanks, and tables inside more than
+``TABLE_DEPTH`` others are set as blocks, cell by cell. No text is lost by either.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,7 +40,11 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(" + VALUE + r"))?+")
 SPACES = re.compile(r"[ \t\n\r\f]+")
-HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+HIDING_STYLE = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(\w+)", re.I)
+
+MAX_INDENT = 80
+TABLE_DEPTH = 8
 
 # Element names by the role that HTML gives them.
 VOID = set("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
@@ -65,23 +76,70 @@ CLOSES = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "body": ({"head"}, {"html"}),
 }
-#: An end tag does not close elements outside the nearest of these.
+#: An end tag does not close elements outside the nearest of these, unless it is of a table's part or of the page.
 SCOPES = {"td", "th", "table", "caption", "html"}
+TABLE_PARTS = {"table", "tr", "tbody", "thead", "tfoot", "html", "body"}
 
 
 class Node:
-    """``foreign``: "math", "svg" (where text is not drawn), "text" (a text element of svg) or empty."""
+    """``shown``: displayed at all; ``visible``: its own text can be seen.
+
+    ``foreign``: "math", "svg" (where text is not drawn), "text" (a text element of svg) or empty.
+    """
+
+    __slots__ = ("tag", "shown", "visible", "attributes", "children", "foreign")
+
+    def __init__(self, tag: str, shown: bool, visible: bool, attributes: dict[str, str], foreign: str = ""):
+        self.tag, self.shown, self.visible, self.attributes, self.children, self.foreign = tag, shown, visible, attributes, [], foreign
+
+
+class _Open:
+    """The open elements, outermost first, and the places of every tag among them, so that none is searched for."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
 
-    __slots__ = ("tag", "shown", "attributes", "children", "foreign")
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
 
-    def __init__(self, tag: str, shown: bool, attributes: dict[str, str], foreign: str = ""):
-        self.tag, self.shown, self.attributes, self.children, self.foreign = tag, shown, attributes, [], foreign
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def pop(self) -> None:
+        self.places[self.nodes.pop().tag].pop()
+
+    def innermost(self, tags) -> int:
+        """Place of the innermost element with one of ``tags``; 0, the root's, if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close_from(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.pop()
+
+    def close_within(self, names: set[str], limits: set[str]) -> None:
+        """Closes up to the outermost of ``names`` above the nearest of ``limits``."""
+        limit, cut = self.innermost(limits), len(self.nodes)
+        for name in names:
+            places = self.places.get(name, ())
+            first = bisect_right(places, limit)
+            if first < len(places):
+                cut = min(cut, places[first])
+        self.close_from(cut)
+
+    def close(self, tag: str) -> None:
+        """An end tag."""
+        place = self.innermost((tag,))
+        if place and (tag in TABLE_PARTS or place >= self.innermost(SCOPES)):
+            self.close_from(place)
 
 
 def parse(page: str) -> Node:
     """The page as a tree; a child is a node or a piece of text."""
-    root = Node("html", True, {})
-    stack, at, end = [root], 0, len(page)
+    root = Node("html", True, True, {})
+    stack, at, end = _Open(root), 0, len(page)
     while at < end:
         found = TOKEN.search(page, at)
         start = found.start() if found else end
@@ -92,7 +150,7 @@ def parse(page: str) -> Node:
         at = found.end()
         closing, opening, rest = found.group(1), found.group(2), found.group(3)
         if closing:
-            _close(stack, closing.lower())
+            stack.close(closing.lower())
         elif opening:
             tag = opening.lower()
             node = _open(stack, tag, rest)
@@ -100,89 +158,84 @@ def parse(page: str) -> Node:
                 stack.pop()
             elif tag in RAW and not node.foreign:
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>?", re.I).search(page, at)
-                if node.shown:
+                if node.shown and node.visible:
                     body = page[at : stop.start() if stop else end]
                     node.children.append(html.unescape(body).removeprefix("\n") if tag == "textarea" else body)
                 at = stop.end() if stop else end
                 stack.pop()
-        elif stack[-1].foreign and page.startswith("<![CDATA[", start):
+        elif stack.top.foreign and page.startswith("<![CDATA[", start):
             stop = page.find("]]>", start)
             _add_text(stack, html.escape(page[start + 9 : stop if stop >= 0 else end]))
             at = stop + 3 if stop >= 0 else end
     return root
 
 
-def _add_text(stack: list[Node], text: str) -> None:
-    if stack[-1].tag in ("table", "tbody", "thead", "tfoot", "tr") and not text.strip():
+def _add_text(stack: _Open, text: str) -> None:
+    if stack.top.tag in ("table", "tbody", "thead", "tfoot", "tr") and not text.strip():
         return
-    if stack[-1].foreign == "svg" and stack[-1].tag not in HOLDS_HTML:
+    if stack.top.foreign == "svg" and stack.top.tag not in HOLDS_HTML:
         return
-    if stack[-1].tag == "head" and text.strip():
+    if stack.top.tag == "head" and text.strip():
         stack.pop()
-    stack[-1].children.append(html.unescape(text) if "&" in text else text)
+    if stack.top.visible:
+        stack.top.children.append(html.unescape(text) if "&" in text else text)
 
 
-def _open(stack: list[Node], tag: str, rest: str) -> Node:
-    while tag in ENDS_FOREIGN and stack[-1].foreign and stack[-1].tag not in HOLDS_HTML:
+def _open(stack: _Open, tag: str, rest: str) -> Node:
+    while tag in ENDS_FOREIGN and stack.top.foreign and stack.top.tag not in HOLDS_HTML:
         stack.pop()
     if tag in ENDS_P:
-        _close_within(stack, {"p"}, SCOPES | {"button"})
-    if stack[-1].tag == "head" and tag not in OF_HEAD:
+        stack.close_within({"p"}, SCOPES | {"button"})
+    if stack.top.tag == "head" and tag not in OF_HEAD:
         stack.pop()
     if tag in CLOSES:
-        _close_within(stack, *CLOSES[tag])
+        stack.close_within(*CLOSES[tag])
     attributes = {}
     if "=" in rest or "hidden" in rest.lower() or tag == "dialog":
         for name, value in ATTRIBUTE.findall(rest):
             attributes.setdefault(name.lower(), html.unescape(value[1:-1] if value[:1] in "\"'" and value else value))
-    foreign = "" if stack[-1].tag in HOLDS_HTML else stack[-1].foreign
+    foreign = "" if stack.top.tag in HOLDS_HTML else stack.top.foreign
     if tag in ("svg", "math") or tag == "text" and foreign == "svg":
         foreign = tag
-    node = Node(tag, _shown(tag, attributes, foreign), attributes, foreign)
-    if tag in ("html", "body") and len(stack) > 1 and any(n.tag == tag for n in stack):
-        return stack[-1]
-    stack[-1].children.append(node)
-    stack.append(node)
+    if len(stack.nodes) > 1 and (tag == "html" or tag == "body" and stack.places.get("body")):
+        return stack.top
+    node = Node(tag, _shown(tag, attributes, foreign), _visible(stack.top.visible, attributes, foreign), attributes, foreign)
+    stack.top.children.append(node)
+    stack.push(node)
     return node
 
 
 def _shown(tag: str, attributes: dict[str, str], foreign: str) -> bool:
-    if foreign and (tag in HIDDEN_FOREIGN or attributes.get("display") == "none" or attributes.get("visibility") in ("hidden", "collapse")):
+    if foreign and (tag in HIDDEN_FOREIGN or attributes.get("display") == "none"):
         return False
     return not (tag in HIDDEN or "hidden" in attributes or tag == "dialog" and "open" not in attributes
                 or "style" in attributes and HIDING_STYLE.search(attributes["style"]))
 
 
-def _close_within(stack: list[Node], names: set[str], limits: set[str]) -> None:
-    """Closes up to the outermost of ``names`` above the nearest of ``limits``."""
-    cut = None
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in limits:
-            break
-        if stack[i].tag in names:
-            cut = i
-    if cut is not None:
-        del stack[cut:]
-
-
-def _close(stack: list[Node], tag: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in SCOPES and tag not in ("table", "tr", "tbody", "thead", "tfoot", "html", "body"):
-            return
+def _visible(inherited: bool, attributes: dict[str, str], foreign: str) -> bool:
+    """The last declaration counts; what is no value of its own is inherited."""
+    said = VISIBILITY.findall(attributes.get("style", "")) or ([attributes["visibility"]] if foreign and "visibility" in attributes else [])
+    value = said[-1].lower() if said else ""
+    return value in ("visible", "initial") or inherited and value not in ("hidden", "collapse")
 
 
 class _Lines:
-    """Lines of one flow: collapses white space, keeps at most one blank line between blocks."""
+    """Lines of one flow: collapses white space, keeps at most one blank line between blocks.
+
+    A line is (indent, text). Items of lists go on in the flow that they stand in: their
+    marks wait for the item's first line, and later ones are indented by them.
+    """
 
     def __init__(self):
-        self.lines: list[str] = []
+        self.lines: list[tuple[int, str]] = []
         self.now: list[str] = []
         self.space = False
-        self.blank = False
-        self.lead = ""
+        self.blank = False  # a blank line is due before the next one, if the flow or item has begun
+        self.begun = False  # there is a line in the flow, or in the innermost item
+        self.due = False  # a blank line is due before the item
+        self.indent = 0
+        self.marks: list[str] = []  # of items without a line so far, the outermost at indent ``marks_at``
+        self.marks_at = 0
 
     def text(self, piece: str, keep: bool) -> None:
         if keep:
@@ -202,124 +255,161 @@ class _Lines:
 
     def _put(self, body: str) -> None:
         if body:
-            if not self.now and self.lead:
-                self.now.append(self.lead)
-                self.lead = ""
             self.now.append(body)
 
-    def end(self, force: bool = False) -> None:
+    def end(self, force: bool = False, further: int = 0) -> None:
         if self.now or force:
-            if self.blank and self.lines:
-                self.lines.append("")
-            self.blank = False
-            self.lines.append("".join(self.now).rstrip())
+            if self.due or self.blank and self.begun:
+                self.lines.append((0, ""))
+            text = "".join([*self.marks, *self.now]).rstrip()
+            self.lines.append((self.marks_at if self.marks else self.indent + further, text))
+            self.blank = self.due = False
+            self.begun = True
+            self.marks = []
         self.now, self.space = [], False
 
     def gap(self) -> None:
         self.end()
         self.blank = True
 
-    def block(self, lines: list[str]) -> None:
+    def block(self, lines: list[tuple[int, str]]) -> None:
         self.end()
-        for line in lines:
+        for further, line in lines:
             self.now = [line]
+            self.end(True, further)
+
+    def enter_item(self, mark: str) -> tuple[bool, bool, int, int]:
+        self.end()
+        self.due = self.due or self.blank and self.begun
+        before = self.due, self.begun, self.indent, len(self.lines)
+        if not self.marks:
+            self.marks_at = self.indent
+        self.marks.append(mark)
+        self.indent += len(mark)
+        self.blank = self.begun = False
+        return before
+
+    def leave_item(self, before: tuple[bool, bool, int, int], marked: bool) -> None:
+        due, begun, indent, start = before
+        self.end()
+        if self.begun:
+            while len(self.lines) > start and not self.lines[-1][1]:
+                self.lines.pop()
+            if len(self.lines) == start:
+                self.lines += [(0, "")] * (1 + due)
+        elif marked:
             self.end(force=True)
+        else:
+            self.marks.pop()
+            self.begun = begun
+        self.blank, self.indent = False, indent
 
-    def done(self) -> list[str]:
+    def done(self) -> list[tuple[int, str]]:
         self.end()
-        while self.lines and not self.lines[-1]:
+        while self.lines and not self.lines[-1][1]:
             self.lines.pop()
         return self.lines
 
 
+def _strings(lines: list[tuple[int, str]]) -> list[str]:
+    return [" " * min(indent, MAX_INDENT) + text if text else "" for indent, text in lines]
+
+
+class _Frame:
+    """An element that is being rendered; ``extra`` is what its children need to know of it."""
+
+    __slots__ = ("node", "place", "own", "pre", "extra", "listed", "tables")
+
+    def __init__(self, node: Node, own: _Lines, pre: bool, extra: dict | None, listed: bool, tables: int):
+        self.node, self.place, self.own, self.pre, self.extra, self.listed, self.tables = node, 0, own, pre, extra, listed, tables
+
+
 def render(root: Node) -> str:
     """The tree as text."""
-    # Frames of (node, position of the next child, its flow, preformatted); flows of cells and items are joined at their ends.
     flow = _Lines()
-    frames: list[list] = [[root, 0, flow, False, None]]
+    frames = [_Frame(root, flow, False, None, False, 0)]
     while frames:
-        node, place, own, pre, extra = frames[-1]
-        if place == len(node.children):
+        frame = frames[-1]
+        if frame.place == len(frame.node.children):
             frames.pop()
-            _leave(node, own, frames, extra)
+            _leave(frame, frames)
             continue
-        frames[-1][1] += 1
-        child = node.children[place]
+        child = frame.node.children[frame.place]
+        frame.place += 1
         if isinstance(child, str):
-            own.text(child, pre)
+            frame.own.text(child, frame.pre)
         elif child.shown:
-            _enter(child, own, pre, extra, frames)
-    return "\n".join(flow.done())
+            _enter(child, frame, frames)
+    return "\n".join(_strings(flow.done()))
 
 
-def _enter(child: Node, own: _Lines, pre: bool, extra, frames: list) -> None:
-    tag = child.tag
+def _enter(child: Node, frame: _Frame, frames: list[_Frame]) -> None:
+    tag, own, pre = child.tag, frame.own, frame.pre
+    extra = frame.extra or {}
+    listed, tables = frame.listed, frame.tables
     if tag == "br":
-        own.end(force=True)
-    elif tag == "hr":
+        own.end(force=child.visible)
+        return
+    if tag == "hr":
         own.gap()
-    elif tag == "table":
+        return
+    if tag == "table" and tables < TABLE_DEPTH:
         own.gap()
-        frames.append([child, 0, _Lines(), False, {"grid": [], "held": {}}])
-    elif tag == "tr" and isinstance(extra, dict) and "grid" in extra:
+        own, pre, inner, tables = _Lines(), False, {"grid": []}, tables + 1
+    elif tag == "tr" and "grid" in extra:
         extra["grid"].append([])
-        frames.append([child, 0, own, pre, extra])
-    elif tag in ("td", "th") and isinstance(extra, dict) and "grid" in extra:
+        inner = extra
+    elif tag in ("td", "th") and "grid" in extra:
         if not extra["grid"]:
             extra["grid"].append([])
-        frames.append([child, 0, _Lines(), pre, {"cell": extra}])
-    elif tag in ("tbody", "thead", "tfoot") and isinstance(extra, dict) and "grid" in extra:
-        frames.append([child, 0, own, pre, extra])
-    elif tag == "li":
+        own, inner = _Lines(), {"cell": extra}
+    elif tag in ("tbody", "thead", "tfoot") and "grid" in extra:
+        inner = extra
+    elif tag in ("li", "dd"):
         own.end()
-        number = extra.get("next") if isinstance(extra, dict) else None
-        mark = "- " if number is None else f"{number}. "
+        number = extra.get("next") if tag == "li" else None
         if number is not None:
             extra["next"] = number + 1
-        frames.append([child, 0, _Lines(), pre, {"mark": mark}])
+        mark = "  " if tag == "dd" else "- " if number is None else f"{number}. "
+        inner, listed = {"before": own.enter_item(mark if child.visible else " " * len(mark))}, True
     elif tag in LISTS:
-        nested = any("mark" in f[4] for f in frames if isinstance(f[4], dict))
-        own.end() if nested else own.gap()
+        own.end() if listed else own.gap()
         start = child.attributes.get("start", "1")
         first = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1
-        frames.append([child, 0, own, pre, {"next": first if tag == "ol" else None, "nested": nested}])
-    elif tag == "dd":
-        own.end()
-        frames.append([child, 0, _Lines(), pre, {"mark": "  "}])
+        inner = {"next": first if tag == "ol" else None, "nested": listed}
     else:
         if tag in SPACED:
             own.gap()
         elif tag in BLOCKS or child.foreign and (
                 tag in FOREIGN_BLOCKS or tag == "tspan" and ("x" in child.attributes or "y" in child.attributes)):
             own.end()
-        elif child.foreign and frames[-1][0].tag in ("mfrac", "mtr"):
+        elif child.foreign and frame.node.tag in ("mfrac", "mtr"):
             own.space = True  # above or beside the last one
-        frames.append([child, 0, own, pre or tag in ("pre", "textarea"), extra if tag in ("form", "colgroup") else None])
+        pre, inner = pre or tag in ("pre", "textarea"), frame.extra if tag in ("form", "colgroup") else None
+    frames.append(_Frame(child, own, pre, inner, listed, tables))
 
 
-def _leave(node: Node, own: _Lines, frames: list, extra) -> None:
+def _leave(frame: _Frame, frames: list[_Frame]) -> None:
     if not frames:
         return
-    outer: _Lines = frames[-1][2]
-    tag = node.tag
-    if isinstance(extra, dict) and "mark" in extra and tag in ("li", "dd"):
-        lines, mark = own.done(), extra["mark"]
-        pad = " " * len(mark)
-        outer.block([(mark if not i else pad) + line if line or not i else "" for i, line in enumerate(lines or [""])])
-    elif isinstance(extra, dict) and "cell" in extra and tag in ("td", "th"):
+    node, own, extra = frame.node, frame.own, frame.extra or {}
+    outer, tag = frames[-1].own, node.tag
+    if "before" in extra and tag in ("li", "dd"):
+        own.leave_item(extra["before"], node.visible)
+    elif "cell" in extra and tag in ("td", "th"):
         spans = [node.attributes.get(k, "1") for k in ("colspan", "rowspan")]
         width, height = (min(1000, int(s)) if re.fullmatch(r"\d{1,9}", s) and int(s) else 1 for s in spans)
-        extra["cell"]["grid"][-1].append((own.done(), width, height))
-    elif isinstance(extra, dict) and "grid" in extra and tag == "table":
+        extra["cell"]["grid"][-1].append((_strings(own.done()), width, height))
+    elif "grid" in extra and tag == "table":
         # Text of the table outside its cells (captions, misplaced text) comes before it.
         outer.block(own.done())
-        outer.block(aligned(extra["grid"]))
+        outer.block([(0, line) for line in aligned(extra["grid"])])
         outer.gap()
     elif tag in LISTS:
-        outer.end() if isinstance(extra, dict) and extra.get("nested") else outer.gap()
+        outer.end() if extra.get("nested") else outer.gap()
     elif tag in SPACED:
         own.gap()
-    elif (tag in BLOCKS or node.foreign and tag in FOREIGN_BLOCKS) and not (isinstance(extra, dict) and "grid" in extra):
+    elif (tag in BLOCKS or node.foreign and tag in FOREIGN_BLOCKS) and "grid" not in extra:
         own.end()
 
 

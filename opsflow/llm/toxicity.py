@@ -30,18 +30,41 @@ from pyspark.sql import functions as F
 from opsflow.llm.sample import labelled_sample
 from opsflow.session import staged
 
-# Identity terms by group, and the noun that stands for any of them.
-IDENTITY = [
-    ["women", "men", "girls", "boys", "woman", "man", "female", "male", "transgender", "nonbinary"],
-    ["muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "catholic", "muslims", "christians", "jews"],
-    ["black", "white", "asian", "latino", "african", "european", "arab", "indigenous"],
-    ["gay", "lesbian", "straight", "bisexual", "queer", "heterosexual"],
-    ["immigrants", "refugees", "foreigners", "migrants", "natives"],
-    ["disabled", "blind", "deaf", "elderly", "young", "old"],
-    ["frauen", "männer", "femmes", "hommes", "mujeres", "hombres"],
-]
-NEUTRAL = "people"
-GROUP = {term: group for group in IDENTITY for term in group}
+# Identity terms by language and group, after the noun that stands for any of them there.
+IDENTITY = {
+    "people": [
+        ["women", "men", "girls", "boys", "woman", "man", "female", "male", "transgender", "nonbinary"],
+        ["muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "catholic", "muslims", "christians", "jews"],
+        ["black", "white", "asian", "latino", "african", "european", "arab", "indigenous"],
+        ["gay", "lesbian", "straight", "bisexual", "queer", "heterosexual"],
+        ["immigrants", "refugees", "foreigners", "migrants", "natives"],
+        ["disabled", "blind", "deaf", "elderly", "young", "old"],
+    ],
+    "menschen": [
+        ["frauen", "männer", "mädchen", "jungen"],
+        ["muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"],
+        ["schwarze", "weiße", "asiaten", "araber"],
+        ["schwule", "lesben", "homosexuelle", "heterosexuelle"],
+        ["einwanderer", "flüchtlinge", "ausländer", "migranten"],
+    ],
+    "gens": [
+        ["femmes", "hommes", "filles", "garçons"],
+        ["musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"],
+        ["noirs", "blancs", "asiatiques", "arabes"],
+        ["lesbiennes", "homosexuels", "hétérosexuels"],
+        ["immigrés", "réfugiés", "étrangers"],
+    ],
+    "personas": [
+        ["mujeres", "hombres", "niñas", "niños"],
+        ["musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"],
+        ["negros", "blancos", "asiáticos", "árabes"],
+        ["lesbianas", "homosexuales", "heterosexuales"],
+        ["inmigrantes", "refugiados", "extranjeros"],
+    ],
+}
+GROUP = {term: group for groups in IDENTITY.values() for group in groups for term in group}
+NEUTRAL = {term: noun for noun, groups in IDENTITY.items() for group in groups for term in group}
+NOUNS = [*IDENTITY]
 
 WORDS = re.compile(r"[^\W\d_]+")
 SENTENCE_ENDS = re.compile(r"[.!?\n]+")
@@ -71,7 +94,7 @@ def swapped(sentence: set[str]) -> list[set[str]]:
     if not terms:
         return []
     rest = sentence - terms
-    return [rest | {GROUP[t][(GROUP[t].index(t) + 1) % len(GROUP[t])] for t in terms}, rest | {NEUTRAL}]
+    return [rest | {GROUP[t][(GROUP[t].index(t) + 1) % len(GROUP[t])] for t in terms}, rest | {NEUTRAL[t] for t in terms}]
 
 
 def vocabulary(sample: DataFrame, size: int, min_signal: float) -> list[str]:
@@ -91,8 +114,8 @@ def vocabulary(sample: DataFrame, size: int, min_signal: float) -> list[str]:
     spread = expected * (1 - pos / n) * (n - F.col("df") + 1) / n + 1e-9
     signal = F.pow(F.greatest(F.abs(F.col("pos") - expected) - 1, F.lit(0.0)), 2) / spread
     ranked = counts.withColumn("signal", signal).where(
-        (F.col("signal") >= min_signal) & ~F.col("word").isin(*GROUP, NEUTRAL)).orderBy(F.desc("signal"), "word")
-    return [r.word for r in ranked.select("word").limit(size).collect()] + [*GROUP, NEUTRAL]
+        (F.col("signal") >= min_signal) & ~F.col("word").isin(*GROUP, *NOUNS)).orderBy(F.desc("signal"), "word")
+    return [r.word for r in ranked.select("word").limit(size).collect()] + [*GROUP, *NOUNS]
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, sample_rows: int = 20_000, words: int = 1024,

@@ -29,13 +29,17 @@ from pyspark.sql import functions as F
 from opsflow.llm.repair import Grammar, compress
 from opsflow.llm.tokens import encoder
 
+#: What a row weighs beside its text when parts are sized.
+ROW_BYTES = 512
+
 
 def write_documents(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text: str = "text",
                     shard_tokens: int = 1 << 20, part_bytes: int = 32 << 20) -> None:
     """Writes ``docs`` as token files below ``path``, which must not exist."""
     kind = dict(docs.dtypes)[id_col]
     arrow_kind = docs.select(id_col).schema
-    volume = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    # A row weighs something without text too, so that many short texts are cut into parts like few long ones.
+    volume = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES)).first()[0] or 0
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body"), F.xxhash64(text).alias("tie"))
     ordered = narrow.repartitionByRange(max(1, -(-volume // part_bytes)), "id", "tie").sortWithinPartitions("id", "tie")
 

@@ -5,8 +5,9 @@ encoded independently of each other, so a text's ids are its pieces' ids in orde
 worker therefore keeps the ids of the pieces it has met, and only new ones go to the
 library's model, in the byte letters that its first step would give them. This holds for texts of Latin letters and ASCII signs without
 unusual white space; every other text, and every text under another kind of tokenizer
-file, is encoded by the library as it stands. The cache is bounded: when one generation of
-pieces is full the one before it is dropped.
+file, is encoded by the library as it stands. Where white space counts for nothing, words
+are kept with the signs beside them, and a text is just split at its blanks. The cache is
+bounded: when one generation of pieces is full the one before it is dropped.
 """
 
 from __future__ import annotations
@@ -36,6 +37,20 @@ def _byte_letters() -> str:
 BYTE_LETTERS = _byte_letters()
 
 
+class _Pieces(dict):
+    """Ids of pieces, found when they are first asked for."""
+
+    def __init__(self, find, older: dict[str, bytes]):
+        self.find, self.older = find, older
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = self.find(piece)
+        self[piece] = found
+        return found
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
@@ -48,8 +63,8 @@ class Encoder:
         self.specials = [t["content"] for t in described.get("added_tokens", [])]
         self.kind = _kind(described)
         self.model = self.tokenizer.model
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.find = self._by_pieces if self.kind == "word" else self._by_model
+        self.pieces = _Pieces(self.find, {})
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order; a null text has none."""
@@ -66,22 +81,22 @@ class Encoder:
         """The text's pieces if they can be encoded apart, else None."""
         if self.kind is None or not PLAIN.fullmatch(text) or any(s in text for s in self.specials):
             return None
-        return WORD_PIECES.findall(text.lower()) if self.kind == "word" else BYTE_PIECES.findall(text)
+        return text.lower().split() if self.kind == "word" else BYTE_PIECES.findall(text)
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         cut = [self._cut(t) for t in texts]
         whole = iter(self._by_library([t for t, pieces in zip(texts, cut) if pieces is None]))
         if len(self.pieces) > PIECES_KEPT:
-            self.pieces, self.older = {}, self.pieces
-        new = set().union(*filter(None, cut)).difference(self.pieces)
-        again = {p: self.older[p] for p in new if p in self.older}
-        self.pieces.update(again)
-        missing = list(new.difference(again))
-        self.pieces.update(zip(missing, map(self._by_model, missing)))
+            self.pieces.older = {}
+            self.pieces = _Pieces(self.find, self.pieces)
         ids_of = self.pieces.__getitem__
         for pieces in cut:
             yield next(whole) if pieces is None else b"".join(map(ids_of, pieces))
 
+    def _by_pieces(self, word: str) -> bytes:
+        pieces = WORD_PIECES.findall(word)
+        return self._by_model(word) if len(pieces) == 1 else b"".join(map(self.pieces.__getitem__, pieces))
+
     def _by_model(self, piece: str) -> bytes:
         tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_LETTERS))
         return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])

@@ -1,13 +1,16 @@
 import hashlib
+import time
+import zlib
 
 import numpy as np
 import pytest
-from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 from samples import LONG, awkward, clashing, words
 
 from opsflow.llm import html_text, mixing, quality, topk, toxicity
 from opsflow.llm.queries import QUERIES
+from opsflow.llm.sample import labelled_sample
 from opsflow.session import job_scope
 
 SF = "/root/testdata/sf0.01"
@@ -153,6 +156,87 @@ def test_swaps():
     assert toxicity.swapped({"a", "day"}) == []
 
 
+def test_the_swap_terms_are_told_apart():
+    listed = [t for groups in toxicity.IDENTITY.values() for group in groups for t in group]
+    assert len(listed) == len(set(listed)) and not set(listed) & set(toxicity.NOUNS)
+    assert toxicity.swapped({"die", "frauen"}) == [{"die", "männer"}, {"die", "menschen"}]
+
+
+def plain_fit(rows, index, balance, ridge):
+    """The loss written out term by term and lowered by plain gradient steps."""
+    weights, bias = np.zeros(len(index)), 0.0
+    n, pairs = len(rows), [(told, other) for body, _ in rows for told in [toxicity.words_of(body)] for other in toxicity.swapped(told)]
+    vector = lambda found: np.array([w in found for w in index], float)
+    x, y = np.array([vector(toxicity.words_of(b)) for b, _ in rows]), np.array([v for _, v in rows], float)
+    gaps = np.array([vector(a) - vector(b) for a, b in pairs])
+    for _ in range(30_000):
+        error = 1 / (1 + np.exp(-(x @ weights + bias))) - y
+        slope = x.T @ error / n + 2 * ridge * weights + 2 * balance * gaps.T @ (gaps @ weights) / len(gaps)
+        weights, bias = weights - 0.05 * slope, bias - 0.05 * error.mean()
+    return weights, bias
+
+
+def test_toxicity_scores_equal_a_plain_fit(spark):
+    """One sentence a text, so that every swap is of the whole text."""
+    rows = [(b.replace(".", ""), y) for b, y in sentences()[:120]]
+    with job_scope(spark):
+        model = toxicity.fit_sample(spark.createDataFrame(rows, "body string, label int"), min_signal=4.0, balance=2.0, ridge=1e-2)
+    weights, bias = plain_fit(rows, list(model.words), 2.0, 1e-2)
+    texts = [b for b, _ in rows] + ["muslims", "", "idiot", "people"]
+    plain = [1 / (1 + np.exp(-(bias + sum(w for word, w in zip(model.words, weights) if word in toxicity.words_of(t))))) for t in texts]
+    assert np.abs(model.scores(texts) - plain).max() < 0.01
+
+
+def test_boosting_equals_trees_grown_one_node_at_a_time():
+    """Every split found by trying each feature and threshold on the rows themselves, every row walked down by itself."""
+    random = np.random.default_rng(4)
+    rows = random.integers(0, 6, (150, 3)).astype(float)
+    y = ((rows[:, 0] > 2) | (rows[:, 1] > random.integers(0, 6, 150))).astype(float)
+    forest = quality.boost(rows, y, trees=5, depth=2, bins=64, rate=0.3, ridge=1.0, least=5)
+    total = np.full(150, forest.start)
+
+    def best(inside, g, h):
+        found = (1e-6, None, None)
+        for f in range(3):
+            for cut in np.unique(np.quantile(rows[:, f], np.linspace(0, 1, 65)[1:-1])):
+                left = inside & (rows[:, f] <= cut)
+                right = inside & ~left
+                if min(left.sum(), right.sum()) >= 5:
+                    gain = sum(g[s].sum() ** 2 / (h[s].sum() + 1) for s in (left, right)) - g[inside].sum() ** 2 / (h[inside].sum() + 1)
+                    if gain > found[0] * (1 + 1e-9):
+                        found = (gain, f, cut)
+        return found
+
+    def grow(inside, g, h, depth):
+        _, f, cut = best(inside, g, h) if depth else (0, None, None)
+        if not depth:
+            return {i: -0.3 * g[inside].sum() / (h[inside].sum() + 1) for i in np.flatnonzero(inside)}
+        if f is None:
+            return grow(inside, g, h, depth - 1)
+        left = inside & (rows[:, f] <= cut)
+        return {i: v for half in (left, inside & ~left) if half.any() for i, v in grow(half, g, h, depth - 1).items()}
+
+    for _ in range(5):
+        p = 1 / (1 + np.exp(-total))
+        leaves = grow(np.ones(150, bool), p - y, p * (1 - p), 2)
+        total += np.array([leaves[i] for i in range(150)])
+    assert np.abs(forest.scores(rows) - 1 / (1 + np.exp(-total))).max() < 1e-9
+
+
+def test_the_sample_is_bounded_under_a_hot_id(spark):
+    hot = next(i for i in range(1, 99, 2) if zlib.crc32(str(i).encode()) % 4 != 2)
+    docs = spark.range(6000).select(
+        F.when(F.col("id") < 5000, hot).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    with job_scope(spark):
+        for rows in (10, 300, 100_000):
+            got = [sorted(map(tuple, labelled_sample(docs, labels, "toxic", 4, 2, rows).collect())) for _ in range(2)]
+            usable = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in [hot, *range(5000, 6000)])
+            assert got[0] == got[1] and len(got[0]) == min(rows, usable)
+        one = labelled_sample(docs, labels.where(F.col("doc_id") == hot), "toxic", 4, 2, 10).collect()
+        assert len(one) == 1 and one[0].label == 1
+
+
 @pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
 def test_classifiers_on_awkward_rows(spark, module, label):
     docs = clashing(awkward(spark))
@@ -195,6 +279,118 @@ def test_boosting_learns_and_flattens():
     assert np.allclose(got, [1 / (1 + np.exp(-w[2])) for w in walk])
 
 
+def test_visibility_is_inherited_and_taken_back():
+    show = html_text.visible_text
+    assert show('<div style="visibility:hidden">a<span style="visibility:visible">b</span>c</div>d') == "b\nd"
+    assert show('<p style="visibility:hidden">a<i style="visibility:inherit">b</i><i style="visibility: hidden; visibility: visible">c</i>') == "c"
+    assert show('<div style="display:none"><b style="visibility:visible">x</b></div><div hidden><b style="visibility:visible">y</b></div>') == ""
+    assert show('<ul><li style="visibility:collapse">a<li>b<li style="visibility:hidden">c<p style="visibility:visible">d</ul>') == "- b\n  d"
+    assert show('<ol><li style="visibility:hidden">a<li>b</ol>') == "2. b"
+    assert show('<svg visibility="hidden"><text>a</text><text visibility="visible">b</text></svg>') == "b"
+    assert show('<div style="visibility:hidden"><textarea>a</textarea><pre>b</pre><table><td>c<td style="visibility:visible">d</table></div>') == "  d"
+
+
+@pytest.mark.parametrize("part", ["<ul><li>x", "<ol><li>x<p>y", "<dl><dd>x", "<table><tr><td>x", "<div>x", "<b><p>x", "<table><td><ul><li>x"])
+def test_deep_pages_take_time_and_space_by_their_length(part):
+    times, sizes = [], []
+    for depth in (6_000, 24_000):
+        start = time.process_time()
+        text = html_text.visible_text(part * depth + "</i>" * depth)
+        times.append(time.process_time() - start)
+        sizes.append(len(text))
+        assert text.count("x") == depth * part.count("x")
+    assert times[1] < 12 * times[0] + 1 and sizes[1] < 4.5 * sizes[0] < 30 * (html_text.MAX_INDENT + 10) * 6_000
+
+
+def blocks_of(node, pre=False, listed=False, counter=None):
+    """A plain renderer: the node's lines, made from those of its children, each item and cell by itself. For lists, paragraphs, headings and tables."""
+    lines, words, due, number = [], "", False, 1
+
+    def close(force=False):
+        nonlocal words, due
+        if words.strip() or force:
+            lines.extend([""] * bool(due and lines) + [" ".join(words.split())])
+            due = False
+        words = ""
+
+    def add(block):
+        nonlocal due
+        close()
+        for line in block:
+            lines.extend([""] * bool(due and lines) + [line])
+            due = False
+
+    def trimmed(block):
+        while block and not block[-1]:
+            block.pop()
+        return block
+
+    def walk(node, listed, kind=None, number=None):
+        nonlocal words, due
+        for child in node.children:
+            if isinstance(child, str):
+                words += child
+            elif child.tag == "br":
+                close(True)
+            elif child.tag in ("ul", "ol"):
+                close()
+                due = due or not listed
+                walk(child, listed, child.tag, [1])
+                close()
+                due = due or not listed
+            elif child.tag in ("li", "dd"):
+                mark = "  " if child.tag == "dd" else f"{number[0]}. " if kind == "ol" else "- "
+                if kind == "ol" and child.tag == "li":
+                    number[0] += 1
+                inner = trimmed(blocks_of(child, listed=True)) or [""]
+                add([((mark if not i else " " * len(mark)) + line if line or not i else "").rstrip() for i, line in enumerate(inner)])
+                due = False
+            elif child.tag == "table":
+                close()
+                due = True
+                rows = [[(trimmed(blocks_of(cell, listed=listed)), 1, 1) for cell in row.children] for row in child.children]
+                add(html_text.aligned(rows))
+                due = True
+            elif child.tag in ("p", "h1"):
+                close()
+                due = True
+                walk(child, listed)
+                close()
+                due = True
+            elif child.tag == "div":
+                close()
+                walk(child, listed)
+                close()
+            else:
+                walk(child, listed)
+
+    walk(node, listed)
+    close()
+    return trimmed(lines)
+
+
+leaf = st.sampled_from(["one", " two ", "three four", " ", "<br>", "<b>bold</b>"])
+
+
+def wrapped(inner):
+    several = st.lists(inner, min_size=0, max_size=4).map("".join)
+    item = several.map(lambda x: f"<li>{x}</li>")
+    cell = several.map(lambda x: f"<td>{x}</td>")
+    row = st.lists(cell, min_size=1, max_size=3).map(lambda c: f"<tr>{''.join(c)}</tr>")
+    return st.one_of(
+        several.map(lambda x: f"<div>{x}</div>"), several.map(lambda x: f"<i>{x}</i>"),
+        st.lists(item, max_size=3).map(lambda x: f"<ul>{''.join(x)}</ul>"), st.lists(item, max_size=3).map(lambda x: f"<ol>{''.join(x)}</ol>"),
+        several.map(lambda x: f"<dl><dd>{x}</dd></dl>".replace("<dl>", "<div>").replace("</dl>", "</div>")),
+        st.lists(row, min_size=1, max_size=3).map(lambda x: f"<table>{''.join(x)}</table>"), leaf,
+    )
+
+
+@settings(max_examples=400, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
+@given(st.lists(st.recursive(leaf, wrapped, max_leaves=12), max_size=4).map("".join))
+def test_rendering_equals_a_plain_renderer(page):
+    assert html_text.visible_text(page) == "\n".join(blocks_of(html_text.parse(page)))
+
+
 PAGE = """<!doctype html><title>gone</title><style>p{}</style><body hidden=no></body><h1>Head</h1><p>One <b>two</b>three<p>next<br>line &amp; x
 <ul><li>a<li>b<ol start=3><li>c<li>d</ol><li>e</ul><div style="DISPLAY : none">gone</div><span hidden>gone</span>
 <table><caption>Cap</caption><tr><th>Name<th>Qty<tr><td>apple pie<td>3<tr><td colspan=2>a wide cell<tr><td rowspan=2>r<td>1<tr><td>2</table><pre>

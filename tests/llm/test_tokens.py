@@ -36,7 +36,7 @@ def test_bounded_caches(monkeypatch):
     batch = [f"number{i} of {i * 7 % 31}, then more." for i in range(300)]
     assert [np.frombuffer(b, "<u4").tolist() for b in own.encode_all(batch)] == [
         e.ids for e in own.tokenizer.encode_batch(batch, add_special_tokens=False)]
-    assert len(own.pieces) + len(own.older) <= 200
+    assert len(own.pieces) + len(own.pieces.older) <= 200
 
 
 @settings(max_examples=80, deadline=None)
@@ -77,6 +77,20 @@ def test_token_files(spark):
     assert sorted((str(r.doc_id), bytes(r.ids)) for r in got) == wanted
 
 
+def test_token_files_of_empty_tables_and_of_texts_without_words(spark):
+    with job_scope(spark):
+        path = work_path(spark, "files")
+        token_files.write_documents(spark.createDataFrame([], "doc_id long, text string"), path, WORD, end_id=2)
+        assert token_files.read_documents(spark, path).collect() == []
+        assert len(token_files.read_tokens(spark, path, 0, 10)) == 0
+        path = work_path(spark, "files")
+        rows = spark.range(200_000).selectExpr("id as doc_id", "cast(null as string) as text")
+        token_files.write_documents(rows, path, WORD, end_id=2)
+        back = token_files.read_documents(spark, path).selectExpr("count(*)", "sum(n_tokens)", "max(start)", "count(distinct start)").first()
+        assert tuple(back) == (200_000, 200_000, 199_999, 200_000)
+        assert spark.read.parquet(path).select("part").distinct().count() > 2
+
+
 def _check_packing(docs, rows, capacity):
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:

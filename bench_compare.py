@@ -51,7 +51,7 @@ def main() -> None:
     moves = staged(moves.toDF(*[c.lower() for c in moves.columns]), "bench-moves")
     last = F.to_date("transaction_date") == F.lit("2024-01-30").cast("date")
     stored, batch = work_path(spark, "bench-state"), itertools.count()
-    summary.refresh_table(stored, summary.summary_state(moves.where(~last)), next(batch))
+    summary.fold(stored, moves.where(~last), F.lit(next(batch)), "day")
 
     raw = staged(view(spark, sf_dir, "fx_movements"), "bench-raw")
     rules = [
@@ -72,7 +72,7 @@ def main() -> None:
             {
                 "summary_full": seconds(lambda: run(summary.daily_summary(moves))),
                 "summary_one_day_added": seconds(
-                    lambda: summary.refresh_table(stored, summary.summary_state(moves.where(last)), next(batch))
+                    lambda: summary.fold(stored, moves.where(last), F.lit(next(batch)), "day")
                 ),
                 "quality_fused": seconds(lambda: dq.run_suite(raw, "moves", rules)),
                 "quality_rule_by_rule": seconds(lambda: [dq.run_suite(raw, "moves", [r]) for r in rules]),

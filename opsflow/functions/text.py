@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
+# What is hidden of an address, and what is shown instead.
+MAILBOX, MAILBOX_MASK = ".+@", "****@"
+
 
 def strip(column: Column) -> Column:
     """Text without blanks, tabs and line ends at either side."""
@@ -31,7 +34,7 @@ def row_hash(columns: Sequence[Column]) -> Column:
 
 def mask_mailbox(column: Column) -> Column:
     """Hides everything up to the last ``@``; text without one is unchanged."""
-    return F.regexp_replace(column, ".+@", "****@")
+    return F.regexp_replace(column, MAILBOX, MAILBOX_MASK)
 
 
 def starts_with_match(column: Column, pattern: str) -> Column:

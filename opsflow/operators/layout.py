@@ -1,12 +1,10 @@
-"""Clustered writes, and a report on how well the files of a table are clustered."""
+"""Clustered and bucketed writes, and the key ranges of the files they leave."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
-
-from opsflow.operators.ranking import running_sum_at_scale
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def write_clustered(
@@ -46,9 +44,25 @@ def write_rebalanced(
     placed.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, keys: Sequence[str], mode: str = "overwrite") -> None:
-    """Catalog table bucketed and sorted by ``keys``, so that joins on them need no shuffle."""
-    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(table)
+def write_bucketed(
+    df: DataFrame, table: str, buckets: int, keys: Sequence[str], mode: str = "overwrite", path: str | None = None
+) -> None:
+    """Catalog table bucketed and sorted by ``keys``, so that joins and groups on them need no shuffle.
+
+    Rows are dealt to one task a bucket first, so that a bucket is one sorted file and not
+    one of every task. ``path`` names the folder of an external table.
+    """
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    writer = dealt.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def join_bucketed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join of two tables bucketed alike on ``keys``: bucket meets bucket where they lie, and nothing is shuffled.
+
+    Meant for two large sides; the hint keeps Spark from sending round the one that looks small.
+    """
+    return left.hint("merge").join(right.hint("merge"), list(keys), how)
 
 
 def file_ranges(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -64,27 +78,11 @@ def file_ranges(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def overlap_depth(ranges: DataFrame) -> DataFrame:
-    """Adds ``depth`` to each file: how many files, itself included, cover its low key.
+def files_in_order(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row: the number of files, and whether each one begins where the one before it has ended, or later.
 
-    A sweep over range starts and ends with a running sum. Ends sort after starts
-    of the same key, since both bounds belong to the file.
+    One row a file stands in the window, whatever the number of rows.
     """
-    starts = ranges.select(F.col("low").alias("at"), F.lit(0).alias("kind"), F.lit(1).alias("step"), "file")
-    ends = ranges.select(F.col("high").alias("at"), F.lit(1).alias("kind"), F.lit(-1).alias("step"), "file")
-    order = [F.col("at").asc(), F.col("kind").asc(), F.col("file").asc()]
-    swept = running_sum_at_scale(starts.unionByName(ends), [], order, "step", "open_files")
-    # Files that start at one key are all open there, whatever their order in the sweep.
-    depth = swept.where("kind = 0").groupBy("at").agg(F.max("open_files").alias("depth"))
-    return ranges.join(depth, ranges.low.eqNullSafe(depth["at"]), "left").drop("at")
-
-
-def layout_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row: files, rows, average and largest overlap depth, files that overlap no other."""
-    return overlap_depth(file_ranges(df, key)).agg(
-        F.count("*").alias("file_count"),
-        F.sum("row_count").alias("row_count"),
-        F.avg("depth").alias("average_depth"),
-        F.max("depth").alias("max_depth"),
-        F.count_if(F.col("depth") == 1).alias("files_at_depth_one"),
-    )
+    before = F.lag("high").over(Window.orderBy("low", "high"))
+    begun = file_ranges(df, key).withColumn("apart", F.coalesce(before <= F.col("low"), F.lit(True)))
+    return begun.agg(F.count("*").alias("file_count"), F.coalesce(F.bool_and("apart"), F.lit(True)).alias("in_order"))

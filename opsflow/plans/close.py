@@ -11,7 +11,7 @@ from opsflow.functions.dates import in_month
 from opsflow.operators.changes import upsert
 from opsflow.schemas import MONTHLY_CLOSE, conform
 from opsflow.session import job_scope, staged
-from opsflow.sources.tables import read_or_empty, replace_partitions
+from opsflow.sources.tables import drop_path, read_or_empty, replace_partitions
 
 KEYS = ("sku_id", "warehouse_id", "close_period")
 VALUES = ("net_qty", "total_value")
@@ -50,12 +50,14 @@ def monthly_close(
     """Runs the close for one month; a second run gives the same table.
 
     Staging and close table are partitioned by period and only this period's
-    partition is read and rewritten.
+    partition is read and rewritten. Staging is cleared first, so a month without
+    movements does not close on the rows of an earlier run.
     """
     period = period_label(year, month)
+    drop_path(spark, f"{staging_path}/close_period={period}")
     replace_partitions(conform(close_rows(movements, year, month), MONTHLY_CLOSE), staging_path, ["close_period"])
     this_period = F.col("close_period") == period
-    source = spark.read.schema(MONTHLY_CLOSE).parquet(staging_path).where(this_period)
+    source = read_or_empty(spark, staging_path, MONTHLY_CLOSE).where(this_period)
     current = read_or_empty(spark, close_path, MONTHLY_CLOSE).where(this_period)
     with job_scope(spark):
         # Stored first, because the partition that it replaces is also read for it.

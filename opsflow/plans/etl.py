@@ -15,6 +15,7 @@ from opsflow.functions.numeric import round_half_even
 from opsflow.functions.text import map_code, row_hash, title_case
 from opsflow.operators.joins import lookup
 from opsflow.schemas import STAGED_INVENTORY, conform
+from opsflow.session import job_scope, staged
 from opsflow.sources.logs import FAILURE, SUCCESS, append_run, last_success
 from opsflow.sources.tables import append_table, observed_rows
 
@@ -204,7 +205,7 @@ def run_pipeline(
     pipeline: str = PIPELINE,
     lookback_days: int | None = LOOKBACK_DAYS,
 ) -> RunResult:
-    """Extract, transform and append as one Spark job, then one log row.
+    """Extract, transform and append as one Spark job (with ``skip_loaded`` the extract is stored first), then one log row.
 
     A full load, and a first one, reaches ``lookback_days`` back; None loads everything.
 
@@ -223,15 +224,17 @@ def run_pipeline(
     try:
         dropped = Observation()
         rows = cleansed(sources, watermark, run.run_ts, dropped)
-        if skip_loaded and previous is not None:
-            rows = not_yet_loaded(rows, spark.read.schema(STAGED_INVENTORY).parquet(target_path), watermark)
-        loaded = append_table(
-            rows,
-            target_path,
-            STAGED_INVENTORY,
-            partition_by=["TRANSACTION_YEAR", "TRANSACTION_MONTH"],
-            cluster_by=["WAREHOUSE_ID"],
-        )
+        with job_scope(spark):
+            if skip_loaded and previous is not None:
+                # Stored, since both its months and its rows are read.
+                rows = not_yet_loaded(staged(rows, "extracted"), spark.read.schema(STAGED_INVENTORY).parquet(target_path), watermark)
+            loaded = append_table(
+                rows,
+                target_path,
+                STAGED_INVENTORY,
+                partition_by=["TRANSACTION_YEAR", "TRANSACTION_MONTH"],
+                cluster_by=["WAREHOUSE_ID"],
+            )
     except Exception as error:
         append_run(spark, log_path, pipeline, run.run_ts, 0, FAILURE, str(error))
         raise

@@ -7,11 +7,11 @@ import posixpath
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsflow.context import RunContext, resolve_date_token
+from opsflow.session import job_scope, staged
 from opsflow.sources.logs import FAILURE, NO_DATA, SUCCESS, append_delivery
-from opsflow.sources.tables import drop_path, observed_rows
 
 log = logging.getLogger(__name__)
 
@@ -116,16 +116,15 @@ def run_report(
 ) -> str:
     """Runs one report, stores its rows and logs the delivery; a failure is logged and raised.
 
-    A report without rows is logged as such and stores nothing.
+    A report without rows is logged as such and stores nothing; what an earlier run of the
+    day has stored stays. The query runs once, into the working folder.
     """
-    path = output_path(root, report, run)
     try:
-        counted = Observation()
-        rows = execute(spark, report, tables, run).observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").parquet(path)
-        count = observed_rows(counted)
-        if not count:
-            drop_path(spark, path)
+        with job_scope(spark):
+            rows = staged(execute(spark, report, tables, run), report.slug)
+            count = rows.count()
+            if count:
+                rows.write.mode("overwrite").parquet(output_path(root, report, run))
     except Exception as error:
         append_delivery(spark, log_path, report.name, run.run_ts, FAILURE, 0, report.recipients, str(error))
         raise

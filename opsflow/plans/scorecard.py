@@ -38,11 +38,12 @@ def recent_lines(orders: DataFrame, as_of: date, months: int = 12) -> DataFrame:
     )
 
 
-def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6) -> DataFrame:
-    """Delivery, price and quarter measures per supplier from one scan of the lines.
+def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6, count_orders: bool = True) -> DataFrame:
+    """Delivery, price and quarter measures per supplier.
 
-    The lines are summed by supplier and order first, so that orders are counted by
-    rows of the second step and a supplier with very many lines is spread over its orders.
+    All sums combine inside the tasks that read the lines, so one row a supplier and task is
+    shuffled. Only ``total_pos`` needs the orders themselves: with ``count_orders`` they are
+    counted apart, from a second scan of their few columns; without it the column is left out.
     """
     ordered, invoiced = F.col("unit_price_ordered"), F.col("unit_price_invoiced")
     gap = invoiced - ordered
@@ -56,7 +57,7 @@ def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6) -> D
     def on_time_pct(hits: str, rows: str) -> Column:
         return round_half_up(mean(F.col(hits), F.col(rows)) * 100, 2)
 
-    by_order = lines.groupBy("supplier_id", "po_id").agg(
+    sums = lines.groupBy("supplier_id").agg(
         F.count("*").alias("total_line_items"),
         F.count_if(F.abs(ratio(gap, ordered)) <= 0.01).alias("accurate_invoice_lines"),
         F.sum(gap_ratio).alias("gap_ratio_sum"),
@@ -73,15 +74,13 @@ def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6) -> D
         F.sum(F.when(prior, F.col("on_time"))).alias("prior_hits"),
         F.count_if(prior).alias("prior_lines"),
     )
-    parts = [c for c in by_order.columns if c not in ("supplier_id", "po_id", "max_delay_days")]
-    sums = by_order.groupBy("supplier_id").agg(
-        F.count("po_id").alias("total_pos"), F.max("max_delay_days").alias("max_delay_days"), *[F.sum(c).alias(c) for c in parts]
-    )
+    if count_orders:
+        sums = _with_distinct(sums, lines, "po_id", "total_pos")
     return sums.select(
         "supplier_id",
         "total_line_items",
         "accurate_invoice_lines",
-        "total_pos",
+        *(["total_pos"] if count_orders else []),
         F.col("total_ordered_qty").cast("double"),
         F.col("total_received_qty").cast("double"),
         round_half_up(mean(F.col("gap_ratio_sum"), F.col("gap_ratio_n")) * 100, 2).alias("avg_price_variance_pct"),
@@ -95,22 +94,27 @@ def supplier_measures(lines: DataFrame, as_of: date, prior_months: int = 6) -> D
     )
 
 
+def _with_distinct(sums: DataFrame, rows: DataFrame, column: str, name: str) -> DataFrame:
+    """``sums`` by supplier with the number of distinct values of ``column``; just the pairs are shuffled, so a large supplier is spread."""
+    pairs = rows.where(F.col(column).isNotNull()).select(F.col("supplier_id").alias("_of"), column).distinct()
+    counted = pairs.groupBy("_of").agg(F.count("*").alias("_n"))
+    joined = sums.join(counted, F.col("supplier_id").eqNullSafe(F.col("_of")), "left")
+    return joined.select(*sums.columns, F.coalesce("_n", F.lit(0)).alias(name))
+
+
 def receipt_quality(receipts: DataFrame, as_of: date, months: int = 12) -> DataFrame:
-    """Receipts, rejects, defect rate and distinct receipts with rejects, per supplier."""
+    """Receipts, rejects, defect rate and distinct receipts with rejects, per supplier.
+
+    Only the notes with a reject are shuffled one by one; a note without number is none.
+    """
     recent = receipts.where(F.col("receipt_date") >= day(months_back(as_of, months)))
-    by_note = recent.groupBy("supplier_id", "grn_id").agg(
+    sums = recent.groupBy("supplier_id").agg(
         F.count("*").alias("total_receipts"),
         F.sum("rejected_qty").alias("total_rejected_qty"),
         F.sum("accepted_qty").alias("total_accepted_qty"),
         F.sum("received_qty").alias("total_received_qty"),
-        F.coalesce(F.bool_or(F.col("rejected_qty") > 0), F.lit(False)).alias("with_reject"),
-    )
-    # One row per note here, so notes with a reject are counted by rows; a note without number is none.
-    rejected = F.count_if(F.col("with_reject") & F.col("grn_id").isNotNull())
-    sums = by_note.groupBy("supplier_id").agg(
-        *[F.sum(c).alias(c) for c in ("total_receipts", "total_rejected_qty", "total_accepted_qty", "total_received_qty")],
-        rejected.alias("shipments_with_defects"),
     )
+    sums = _with_distinct(sums, recent.where(F.col("rejected_qty") > 0), "grn_id", "shipments_with_defects")
     return sums.select(
         "supplier_id",
         "total_receipts",

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import posixpath
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
-
 from opsflow.context import months_back
 from opsflow.functions.dates import day
 from opsflow.functions.numeric import mean
 from opsflow.operators.changes import ACTION
 from opsflow.schemas import SUMMARY_STATE
-from opsflow.sources.tables import read_or_empty
+from opsflow.session import job_scope, staged
+from opsflow.sources.tables import read_or_empty, replace_partitions
 
 KEYS = ("snapshot_day", "warehouse_id", "sku_id", "category")
 # An average cannot be merged, so the state keeps its sum and count. The counts
@@ -74,8 +72,11 @@ def state_of_changes(feed: DataFrame) -> DataFrame:
 
 def merge_states(states: DataFrame) -> DataFrame:
     """One row per group from any number of partial states; emptied groups disappear."""
-    summed = states.groupBy(*KEYS).agg(*[F.sum(p).cast(STATE_TYPES[p]).alias(p) for p in PARTS])
-    return summed.where(F.col("row_count") > 0)
+    return _summed(states).where(F.col("row_count") > 0)
+
+
+def _summed(states: DataFrame) -> DataFrame:
+    return states.groupBy(*KEYS).agg(*[F.sum(p).cast(STATE_TYPES[p]).alias(p) for p in PARTS])
 
 
 def refresh(state: DataFrame, delta: DataFrame) -> DataFrame:
@@ -83,19 +84,52 @@ def refresh(state: DataFrame, delta: DataFrame) -> DataFrame:
     return merge_states(state.select(*KEYS, *PARTS).unionByName(delta.select(*KEYS, *PARTS)))
 
 
-def refresh_table(path: str, delta: DataFrame, batch_id: int) -> None:
-    """Adds a partial state to the stored summary, as the folder of its batch.
+def fold(path: str, rows: DataFrame, sequence: Column, grain: str = "month") -> None:
+    """Adds movements, or the changes of a feed, to the stored summary, each exactly once.
 
-    Sums merge when they are read, so nothing stored is read or rewritten. A repeated
-    batch overwrites its own folder. ``streaming.summary.compact_summary`` merges many
-    folders into one.
+    The state is partitioned by ``grain`` (month or day) of its days and holds one row a
+    group, so it never needs compaction. The partitions that the rows fall in are merged,
+    stored beside the state and swapped in; the others are not opened. ``sequence`` numbers
+    ascend over the whole source. Every partition carries the number up to which it is
+    folded (``applied``) and passes over rows up to it: a batch that comes again, after a
+    swap of some partitions or under a fresh checkpoint, is counted by those alone that lack
+    it. Groups without rows stay stored, as the mark of a partition must outlive its rows.
     """
-    delta.select(*KEYS, *PARTS).write.mode("overwrite").parquet(posixpath.join(path, f"batch_id={batch_id}"))
+    spark = rows.sparkSession
+    counted = rows.where(F.col("transaction_type").isin(*COUNTED_TYPES)).withColumns(
+        {"_period": _period(F.to_date("transaction_date"), grain), "_number": sequence.cast("bigint")}
+    )
+    # One row for each partition touched.
+    touched = counted.groupBy("_period").agg(F.max("_number").alias("upto")).collect()
+    if not touched:
+        return
+    stored = read_or_empty(spark, path, SUMMARY_STATE).where(F.col("period").isin([r["_period"] for r in touched]))
+    marks = stored.groupBy(F.col("period").alias("_of")).agg(F.max("applied").alias("_mark"))
+    fresh = counted.join(marks, F.col("_period") == F.col("_of"), "left").where(
+        F.col("_mark").isNull() | (F.col("_number") > F.col("_mark"))
+    )
+    delta = state_of_changes(fresh) if ACTION in rows.columns else summary_state(fresh)
+    kept = [F.col(c).cast(SUMMARY_STATE[c].dataType).alias(c) for c in (*KEYS, *PARTS)]
+    summed = _summed(stored.select(*KEYS, *PARTS).unionByName(delta.select(*kept))).withColumn("period", _period(F.col("snapshot_day"), grain))
+    upto = F.lit(max(r.upto for r in touched))
+    folded = summed.join(marks, F.col("period") == F.col("_of"), "left").select(
+        *[F.greatest("_mark", upto).alias(c) if c == "applied" else F.col(c) for c in SUMMARY_STATE.names]
+    )
+    with job_scope(spark):
+        replace_partitions(staged(folded, "folded"), path, ["period"])
+
+
+def _period(day: Column, grain: str) -> Column:
+    """Name of a day's partition; rows without a day have one of their own, which sorts last."""
+    return F.coalesce(F.date_format(day, {"month": "yyyy-MM", "day": "yyyy-MM-dd"}[grain]), F.lit("none"))
 
 
-def read_state(spark: SparkSession, path: str, schema: StructType = SUMMARY_STATE) -> DataFrame:
-    """The merged state of all batches."""
-    return merge_states(read_or_empty(spark, path, schema))
+def read_state(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """The stored state, from the day ``since`` on if given; only the partitions from its month on are opened."""
+    state = read_or_empty(spark, path, SUMMARY_STATE)
+    if since is not None:
+        state = state.where((F.col("period") >= f"{since:%Y-%m}") & (F.col("snapshot_day") >= day(since)))
+    return state.where(F.col("row_count") > 0).select(*KEYS, *PARTS)
 
 
 def summary_view(state: DataFrame) -> DataFrame:

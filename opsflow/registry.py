@@ -10,20 +10,22 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DecimalType
 
-from opsflow.context import RunContext
+from opsflow.context import RunContext, months_back
 from opsflow.functions.text import starts_with_match
 from opsflow.functions.numeric import lenient_double
-from opsflow.operators import changes as chg, flatten, joins, layout, masking, quality as dq, ranking, rolling, versions
-from opsflow.plans import anomaly, close, etl, reconcile, reports, scorecard, summary
+from opsflow.operators import (
+    changes as chg, flatten, intervals, joins, layout, masking, quality as dq, ranking, rolling, sketches, versions,
+)
+from opsflow.plans import anomaly, close, close_script, etl, reconcile, reports, scorecard, summary
 from opsflow.schemas import DELIVERY_LOG, INVENTORY_FACT, MONTHLY_CLOSE, RUN_LOG, STAGED_INVENTORY, conform
 from opsflow.session import staged, work_path
 from opsflow.sources.logs import delivery_manifest
-from opsflow.sources.tables import create_if_missing, insert_select, is_folder, path_exists
+from opsflow.sources.tables import create_if_missing, insert_select, is_folder, literal_table, path_exists
 from opsflow.sources.views import view
-from opsflow.streaming import cdc, load, summary as summary_stream
+from opsflow.streaming import cdc, feed as log_feed, load, summary as summary_stream
 
 REPORT_DAY = date(2024, 1, 30)
 SCORE_DAY = date(2001, 8, 1)
@@ -165,7 +167,7 @@ def supplier_delivery(spark, sf):
 
 @query
 def supplier_price_variance(spark, sf):
-    return scorecard.supplier_measures(_order_lines(spark, sf), SCORE_DAY).select(
+    return scorecard.supplier_measures(_order_lines(spark, sf), SCORE_DAY, count_orders=False).select(
         "supplier_id",
         "total_line_items",
         "accurate_invoice_lines",
@@ -181,11 +183,30 @@ def supplier_quality(spark, sf):
 
 @query
 def supplier_quarters(spark, sf):
-    return scorecard.supplier_measures(_order_lines(spark, sf), SCORE_DAY).select(
+    return scorecard.supplier_measures(_order_lines(spark, sf), SCORE_DAY, count_orders=False).select(
         "supplier_id", "otd_pct_current_qtr", "otd_pct_prior_qtr"
     )
 
 
+ORDER_MONTHS = ("1996-01-01", "1996-07-01")
+
+
+@query
+def supplier_orders_estimated(spark, sf):
+    """Orders per supplier in half a year, by sketches stored per supplier and month, beside the exact count."""
+    path = work_path(spark, "order-sketches")
+    lines = view(spark, sf, "fx_purchase_orders").withColumn("month", F.date_trunc("month", "po_date").cast("date"))
+    sketches.distinct_sketches(lines, ["supplier_id", "month"], "po_id").write.parquet(path)
+    first, following = (F.lit(m).cast("date") for m in ORDER_MONTHS)
+    stored = spark.read.parquet(path).where((F.col("month") >= first) & (F.col("month") < following))
+    estimated = sketches.merged_counts(stored, ["supplier_id"], "estimate")
+    window = lines.where((F.col("po_date") >= first) & (F.col("po_date") < following))
+    exact = window.groupBy("supplier_id").agg(F.count_distinct("po_id").alias("orders"))
+    return exact.join(estimated, "supplier_id", "left").select(
+        "supplier_id", "orders", F.coalesce(sketches.within("estimate", "orders"), F.lit(False)).alias("within_bound")
+    )
+
+
 # --- ledger reconciliation -------------------------------------------------
 
 
@@ -486,23 +507,73 @@ def merge_changes(spark, sf):
     return _fact_values(chg.merge_changes(_fact(before, EARLIER_TS), feed, FACT_KEY, FACT_UPDATES, RUN_TS))
 
 
-@query
-def cdc_stream(spark, sf):
-    """The same merge, fed by a file stream in several micro-batches."""
+def _stream_fact(spark, sf, sequence=None):
+    """The older version as a fact table, and the feed to the newer one as a stream of four files."""
     before, after = _versions(spark, sf)
     root = work_path(spark, "cdc")
-    table = cdc.FactTable(posixpath.join(root, "fact"), INVENTORY_FACT, FACT_KEY, FACT_UPDATES, buckets=8)
-    load_feed = before.withColumns({chg.ACTION: F.lit("INSERT"), chg.IS_UPDATE: F.lit(False)})
-    cdc.merge_batch(load_feed, -1, table, EARLIER_TS)
+    table = cdc.FactTable(posixpath.join(root, "fact"), INVENTORY_FACT, FACT_KEY, FACT_UPDATES, buckets=8, sequence=sequence)
+    images = before.withColumns({chg.ACTION: F.lit("INSERT"), chg.IS_UPDATE: F.lit(False)})
+    cdc.merge_batch(images.withColumn("commit_id", F.lit(0)) if sequence else images, table, EARLIER_TS)
     feed = chg.changes(before, after, FACT_KEY)
     folder = posixpath.join(root, "feed")
-    # Both images of an update must reach the same micro-batch, hence the same file.
-    feed.repartition(4, FACT_KEY).write.parquet(folder)
-    source = load.file_stream(spark, folder, feed.schema, files_per_batch=1)
+    if not sequence:
+        # Both images of an update must reach the same micro-batch, hence the same file.
+        feed.repartition(4, FACT_KEY).write.parquet(folder)
+    for commit in range(1, 5) if sequence else ():
+        part = feed.where(F.pmod(F.xxhash64(FACT_KEY), F.lit(4)) == commit - 1).withColumn("commit_id", F.lit(commit))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return table, load.file_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1), root
+
+
+@query
+def cdc_stream(spark, sf):
+    """The same merge, fed by a file stream in several micro-batches."""
+    table, source, root = _stream_fact(spark, sf)
     cdc.run_cdc_stream(source, table, posixpath.join(root, "checkpoint"), RUN_TS).awaitTermination()
     return _fact_values(table.read(spark))
 
 
+@query
+def cdc_stream_restarted(spark, sf):
+    """The same again, and then once more from the start under a fresh checkpoint, a month later: nothing may change."""
+    table, source, root = _stream_fact(spark, sf, sequence="commit_id")
+    for checkpoint, stamp in (("first", RUN_TS), ("second", datetime(2024, 2, 29))):
+        cdc.run_cdc_stream(source, table, posixpath.join(root, checkpoint), stamp).awaitTermination()
+    return _fact_values(table.read(spark))
+
+
+@query
+def change_feed_from_log(spark, sf):
+    """What a consumer of the commit log gets: half of the log in its second try, the first of which fails, then the rest."""
+    log = view(spark, sf, "fx_commit_log")
+    root = work_path(spark, "log-feed")
+    offsets, got = posixpath.join(root, "offsets"), posixpath.join(root, "feed")
+    middle = F.col("commit_ts") < F.lit(MID_WATERMARK).cast("timestamp_ntz")
+
+    def failing(feed, upto):
+        raise InterruptedError("the consumer was stopped")
+
+    def store(run):
+        return lambda feed, upto: feed.withColumn("run", F.lit(run)).write.mode("append").parquet(got)
+
+    try:
+        log_feed.consume(log.where(middle), LOG_KEY, offsets, "reader", failing, EARLIER_TS)
+    except InterruptedError:
+        log_feed.consume(log.where(middle), LOG_KEY, offsets, "reader", store(1), EARLIER_TS)
+    log_feed.consume(log, LOG_KEY, offsets, "reader", store(2), RUN_TS)
+    log_feed.consume(log, LOG_KEY, offsets, "reader", store(3), RUN_TS)  # nothing is left
+    return _quantities(spark.read.parquet(got))
+
+
+@query
+def change_feed_log_append_only(spark, sf):
+    """Keys that the second half of the commit log has brought, of a log without DELETE rows for them."""
+    log = view(spark, sf, "fx_commit_log")
+    half = log.where(F.col("commit_ts") < F.lit(datetime(2024, 1, 3)).cast("timestamp_ntz"))
+    feed = log_feed.feed_between(log, LOG_KEY, log_feed.newest_commit(half), log_feed.newest_commit(log), append_only=True)
+    return _quantities(feed)
+
+
 @query
 def merge_ordered_changes(spark, sf):
     """One batch with many changes of a key: updates, deletes, re-inserts and plain inserts, in the order of their commits."""
@@ -601,16 +672,20 @@ def daily_summary_incremental(spark, sf):
     return _summary_view(summary.refresh(stored, summary.summary_state(rows.where(~early))))
 
 
-@query
-def daily_summary_from_changes(spark, sf):
-    """Summary of one table version, moved to the next version by its change feed alone."""
-    typed = [
+def _typed_versions(spark, sf):
+    return [
         v.withColumns({
             "transaction_type": F.when(F.col("transaction_id") % 3 == 0, "SHIPMENT").otherwise("RECEIPT"),
             "category": F.col("warehouse_id"),
         })
         for v in _versions(spark, sf)
     ]
+
+
+@query
+def daily_summary_from_changes(spark, sf):
+    """Summary of one table version, moved to the next version by its change feed alone."""
+    typed = _typed_versions(spark, sf)
     stored = summary.summary_state(typed[0])
     delta = summary.state_of_changes(chg.changes(*typed, FACT_KEY))
     return _summary_view(summary.refresh(stored, delta))
@@ -618,16 +693,43 @@ def daily_summary_from_changes(spark, sf):
 
 @query
 def daily_summary_table(spark, sf):
-    """A stored summary refreshed twice, one part of the month at a time, and each refresh repeated."""
+    """A stored summary folded twice, one part of the month at a time, and each fold repeated."""
     rows = _movements(spark, sf)
     early = F.col("transaction_date") < F.lit(MID_WATERMARK).cast("timestamp_ntz")
     path = work_path(spark, "summary-table")
-    for batch_id, part in enumerate((early, ~early)):
+    for number, part in enumerate((early, ~early)):
         for _ in range(2):
-            summary.refresh_table(path, summary.summary_state(rows.where(part)), batch_id)
+            summary.fold(path, rows.where(part), F.lit(number))
     return _summary_view(summary.read_state(spark, path))
 
 
+@query
+def daily_summary_change_stream(spark, sf):
+    """A summary kept by a stream of inserts, then updates and deletes, in several micro-batches, and read again from the start."""
+    before, after = _typed_versions(spark, sf)
+    root = work_path(spark, "summary-changes")
+    folder, path = posixpath.join(root, "feed"), posixpath.join(root, "summary")
+    images = before.withColumns({chg.ACTION: F.lit("INSERT"), chg.IS_UPDATE: F.lit(False)})
+    feed = chg.changes(before, after, FACT_KEY)
+    third = F.pmod(F.xxhash64(FACT_KEY), F.lit(3))
+    for commit, rows in enumerate([images, *[feed.where(third == i) for i in range(3)]]):
+        rows.withColumn("commit_id", F.lit(commit)).coalesce(1).write.mode("append").parquet(folder)
+    source = load.file_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1)
+    for checkpoint in ("first", "second"):
+        summary_stream.run_summary_stream(source, path, posixpath.join(root, checkpoint), "commit_id").awaitTermination()
+    return _summary_view(summary.read_state(spark, path))
+
+
+@query
+def daily_summary_range(spark, sf):
+    """Three months of a summary stored by month, of movements spread over eight months."""
+    rows = _movements(spark, sf)
+    moved = F.date_add(F.to_date("transaction_date"), F.col("transaction_id").cast("int") % 8 * 31)
+    path = work_path(spark, "summary-range")
+    summary.fold(path, rows.withColumn("transaction_date", moved), F.lit(0))
+    return _summary_view(summary.read_state(spark, path, since=months_back(date(2024, 8, 20), 3)))
+
+
 def _event_stream(spark, sf, name):
     path = posixpath.join(sf, "events.parquet")
     schema = spark.read.parquet(path).schema
@@ -704,6 +806,25 @@ def close_insert_select(spark, sf):
     return _close_values(spark.read.schema(MONTHLY_CLOSE).parquet(path))
 
 
+@query
+def close_sql_script(spark, sf):
+    """The close as one SQL script, run for half the month, for a month without movements, and for the whole month; its last message."""
+    names = [_table_name(label) for label in ("script_close", "script_staging", "script_merged")]
+    moves = view(spark, sf, "fx_movements")
+    folder, source = work_path(spark, "close-script"), _table_name("script_movements")
+    close_script.create_close_tables(spark, *names, folder)
+    half = moves.where(F.col("transaction_date") < F.lit(MID_WATERMARK).cast("timestamp_ntz"))
+    for rows, month, stamp in ((half, 1, MID_WATERMARK), (half, 6, RUN_TS), (moves, 1, RUN_TS)):
+        rows.createOrReplaceTempView(source)
+        message = close_script.run_close_script(spark, source, *names, 2024, month, stamp)
+    table = spark.read.schema(MONTHLY_CLOSE).parquet(posixpath.join(folder, names[0])).select(*MONTHLY_CLOSE.names)
+    closed = _close_values(table).withColumn("message", F.lit(message))
+    spark.catalog.dropTempView(source)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")  # the entries, not the files
+    return closed
+
+
 @query
 def top_invoice_per_supplier(spark, sf):
     order = [F.col("gross_amount").desc_nulls_first(), F.col("invoice_number"), F.col("net_amount")]
@@ -739,6 +860,23 @@ def mask_vendor_email(spark, sf):
     return masking.masked(hidden, {"clear_email": policy}, "DATA_ADMIN")
 
 
+@query
+def mask_by_session_role(spark, sf):
+    """One view of the vendors, read under two roles that the session takes one after the other."""
+    path, shown, mask = work_path(spark, "vendors"), _table_name("governed"), _table_name("mask")
+    vendors = view(spark, sf, "fx_vendors").select("vendor_id", "contact_email")
+    vendors.write.parquet(path)
+    masking.declare_role(spark)
+    masking.create_email_mask(spark, mask, {"DATA_ADMIN", "FINANCE_ANALYST"})
+    masking.governed_view(spark, shown, f"parquet.`{path}`", vendors.columns, {"contact_email": mask})
+    seen = []
+    for role in ("REPORT_READER", "DATA_ADMIN"):
+        masking.set_role(spark, role)
+        seen.append(staged(spark.table(shown).withColumn("role", F.lit(role)), "seen"))
+    spark.catalog.dropTempView(shown)
+    return seen[0].unionByName(seen[1])
+
+
 # --- reports and layout ----------------------------------------------------
 
 SNAPSHOT_RUN = RunContext.at(datetime(2024, 1, 30, 7))
@@ -756,6 +894,27 @@ def report_inventory_summary(spark, sf):
     return reports.execute(spark, reports.CATALOGUE[0], tables, SNAPSHOT_RUN)
 
 
+@query
+def report_sql_text(spark, sf):
+    """A report kept as SQL text, with a named date token and a named value."""
+    report = reports.Report(
+        "Low Stock",
+        """SELECT warehouse_name, category, count(DISTINCT sku_id) AS skus_below_reorder FROM {inventory_snapshot}
+           WHERE snapshot_date = CAST(:snapshot_date AS DATE) AND quantity_on_hand < reorder_point AND category <> :left_out
+           GROUP BY warehouse_name, category""",
+        {"snapshot_date": "today", "left_out": "ECONOMY ANODIZED STEEL"},
+    )
+    return reports.execute(spark, report, {"inventory_snapshot": view(spark, sf, "fx_snapshot")}, SNAPSHOT_RUN)
+
+
+@query
+def movements_by_code(spark, sf):
+    """Movements counted by a literal table of type codes; a code that no movement has counts zero."""
+    codes = literal_table(spark, [("RCPT", "receipt"), ("SHIP", "shipment"), ("TRFR", "transfer")], "code string, meaning string")
+    moves = view(spark, sf, "fx_movements").select(F.upper(F.trim("transaction_type")).alias("code"), "transaction_id")
+    return codes.join(moves, "code", "left").groupBy("code", "meaning").agg(F.count("transaction_id").alias("movements"))
+
+
 @query
 def report_scorecard(spark, sf):
     tables = {"supplier_scorecard_weekly": _weekly(supplier_scorecard(spark, sf), "2001-07-29")}
@@ -796,22 +955,45 @@ def report_no_data(spark, sf):
 
 @query
 def layout_depth(spark, sf):
-    """How many customers' spans of orders cover the start of each customer's span."""
+    """How many customers' spans of orders cover the first order of each customer."""
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     day = F.col("o_orderdate").cast("date")
-    spans = orders.groupBy(F.col("o_custkey").cast("string").alias("file")).agg(
+    spans = orders.groupBy(F.col("o_custkey").cast("string").alias("customer")).agg(
         F.count("*").alias("row_count"), F.min(day).alias("low"), F.max(day).alias("high")
     )
-    return layout.overlap_depth(spans).select(F.col("file").alias("customer"), "row_count", F.col("depth").cast("bigint"))
+    depth = intervals.with_overlap(spans, "low", "high")
+    return depth.select("customer", "row_count", F.col("depth").cast("bigint"))
 
 
 @query
 def layout_clustered_rows(spark, sf):
-    """A table written in clusters keeps every row; each file's key range is in order."""
+    """A table written in clusters keeps every row, its files follow each other in key order, and rows lie sorted in them."""
     path = work_path(spark, "clustered")
-    rows = view(spark, sf, "fx_inventory")
-    layout.write_clustered(rows, path, ["transaction_date", "warehouse_id"], spread_by=["sku_id"])
+    rows, key = view(spark, sf, "fx_inventory"), ["transaction_date", "warehouse_id", "sku_id"]
+    layout.write_clustered(rows, path, key[:2], spread_by=key[2:])
     written = spark.read.schema(rows.schema).parquet(path)
+    files = layout.files_in_order(written, key)
+    # One row group of a sorted file after the other: the key at a row never falls behind the one before it.
+    placed = written.select(F.input_file_name().alias("file"), F.col("_metadata.row_index").alias("at"), F.struct(*key).alias("key"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    fallen = placed.withColumn("fell", F.col("key") < before).agg(F.coalesce(F.bool_or("fell"), F.lit(False)).alias("fell"))
     return written.groupBy("transaction_date", "warehouse_id").agg(
         F.count("*").alias("row_count"), F.sum("quantity_on_hand").cast("double").alias("quantity_on_hand")
+    ).withColumns({"files_in_order": files.select("in_order").scalar(), "rows_in_order": ~fallen.scalar()})
+
+
+@query
+def layout_bucketed_join(spark, sf):
+    """Orders and their lines, bucketed alike by order: joined and grouped where they lie."""
+    names = {n: _table_name(n) for n in ("orders", "lines")}
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("order_key"), "o_custkey", "o_orderstatus")
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_orderkey").alias("order_key"), "l_quantity", "l_linenumber")
+    for name, rows in (("orders", orders), ("lines", lines)):
+        layout.write_bucketed(rows, names[name], 8, ["order_key"], path=work_path(spark, f"bucketed-{name}"))
+    joined = layout.join_bucketed(spark.table(names["orders"]), spark.table(names["lines"]), ["order_key"])
+    result = joined.groupBy("order_key", "o_custkey", "o_orderstatus").agg(
+        F.count("*").alias("line_count"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity")
     )
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")  # the entries, not the files
+    return result

@@ -55,6 +55,10 @@ DELIVERY_LOG = table(
     logged_at=STAMP, report_name=TEXT, status=TEXT, row_count=LONG, recipients=TEXT, error=TEXT
 )
 
+FEED_OFFSETS = table(consumer=TEXT, commit_id=LONG, moved_at=STAMP)
+
+MERGE_MARKS = table(mark=LONG, merged_at=STAMP)
+
 INVENTORY_FACT = table(
     transaction_id=LONG,
     sku_id=LONG,
@@ -81,8 +85,11 @@ SUMMARY_STATE = table(
     cost_sum=TOTAL,
     cost_count=LONG,
     row_count=LONG,
+    applied=LONG,
+    period=TEXT,
 )
 
+SUMMARY_FEED = table(feed=TEXT)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

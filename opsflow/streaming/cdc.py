@@ -1,15 +1,17 @@
 """Change micro-batches merged into a fact table.
 
-The table is Parquet partitioned by key hash (``bucket``) and by the batch that wrote the
-rows (``version``). A batch reads the newest version of the buckets its changes fall in,
-merges, and writes those buckets once under its own version; readers take the newest
-version of each bucket. So nothing is overwritten that is still being read, no row is
-written twice, and a batch that is repeated after a failure starts from the versions
-before its own and overwrites what it left. :func:`drop_old_versions` frees the space.
-
-Keys are unique, so no bucket is hot; choose ``buckets`` so that one of them holds about
-a gigabyte. Which buckets a batch touches never comes to the driver: it is a semi join on
-the partition columns, which Spark turns into partition pruning.
+The table is plain Parquet partitioned by a hash of the key. A batch reads the partitions
+its changes fall in, merges, stores the outcome beside the table, and then swaps those
+partitions in by dynamic partition overwrite; every other partition is left alone. Keys are
+unique, so no partition is hot; choose ``buckets`` so that one holds a few hundred
+megabytes, and so many that a usual batch does not touch them all.
+
+A repeated batch gives the same table, since each merge step can be taken twice: what is
+gone stays gone, and a row that was inserted or updated is so again. With a ``sequence``
+column, whose numbers ascend over the whole source, a mark beside the table also tells
+which changes are in it, whatever checkpoint or batch number they come under: a stream
+that starts again with a fresh checkpoint passes over what it has delivered before. Without
+one, a source must not be read again from its start once later batches were merged.
 """
 
 from __future__ import annotations
@@ -21,18 +23,20 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from opsflow.functions.dates import naive
 from opsflow.operators import changes as chg
+from opsflow.schemas import MERGE_MARKS
+from opsflow.session import job_scope, staged
 from opsflow.sources.tables import drop_path, read_or_empty, replace_partitions
 
-BUCKET, VERSION, DELETED = "bucket", "version", "_deleted"
+BUCKET = "bucket"
 
 
 @dataclass(frozen=True)
 class FactTable:
-    """Where the fact lives and how it is merged; ``sequence`` orders several changes of one key in a batch."""
+    """Where the fact lies and how it is merged; ``sequence`` orders the changes of a key and marks what was merged."""
 
     path: str
     schema: StructType
@@ -43,51 +47,51 @@ class FactTable:
     sequence: str | None = None
 
     @property
-    def stored_schema(self) -> StructType:
-        places = [StructField(DELETED, BooleanType()), StructField(BUCKET, IntegerType()), StructField(VERSION, LongType())]
-        return StructType([*self.schema, *places])
+    def marks_path(self) -> str:
+        return f"{self.path}-marks"
 
     def bucket_of(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def newest(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Rows of the newest version of each bucket (before batch ``before``), removed ones with their mark."""
-        rows = read_or_empty(spark, self.path, self.stored_schema)
-        if before is not None:
-            rows = rows.where(F.col(VERSION) < before)
-        newest = rows.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION))  # reads partition values only
-        return rows.join(newest, [BUCKET, VERSION], "left_semi")
+    def stored(self, spark: SparkSession) -> DataFrame:
+        """The rows with their partition, which filters can name."""
+        return read_or_empty(spark, self.path, StructType([*self.schema, StructField(BUCKET, IntegerType())]))
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Current rows."""
-        return self.newest(spark).where(~F.col(DELETED)).select(*self.schema.names)
+        return self.stored(spark).select(*self.schema.names)
 
+    def mark(self, spark: SparkSession) -> int | None:
+        """The highest sequence number merged so far."""
+        return read_or_empty(spark, self.marks_path, MERGE_MARKS).agg(F.max("mark")).first()[0]
 
-def merge_batch(feed: DataFrame, batch_id: int, table: FactTable, run_ts: datetime) -> None:
-    """Merges one batch of changes; batch numbers ascend, and repeating the last one gives the same table."""
+
+def merge_batch(feed: DataFrame, table: FactTable, run_ts: datetime) -> None:
+    """Merges one batch of changes; those up to the table's mark are in it already and are passed over."""
     spark = feed.sparkSession
     columns = [f for f in table.schema if f.name != table.stamp_column]
     extra = [chg.ACTION, chg.IS_UPDATE, *([table.sequence] if table.sequence else [])]
-    typed = feed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns], *extra)
-    net = chg.net_changes(typed, table.key, table.sequence)
-    ops = chg.operations(net, table.key, table.stamp_column, naive(run_ts))
-    touched = typed.select(table.bucket_of(table.key).alias(BUCKET)).distinct()
-    live = table.newest(spark, batch_id).where(~F.col(DELETED)).join(touched, BUCKET, "left_semi").select(*table.schema.names)
-    merged = chg.apply_effects(live, chg.effects(ops, table.key), table.key, table.update_columns, table.stamp_column)
-    # A removed row is written as a mark, so a bucket that loses its last row gets a new version too.
-    placed = merged.withColumns({BUCKET: table.bucket_of(table.key), VERSION: F.lit(batch_id).cast("long")})
-    replace_partitions(placed.select(*table.stored_schema.names), table.path, [BUCKET, VERSION])
-
-
-def drop_old_versions(spark: SparkSession, table: FactTable) -> None:
-    """Removes the versions that a newer one of the same bucket has replaced; no reader may still be on them.
-
-    The driver walks one row per replaced folder, not per row of the table.
-    """
-    rows = read_or_empty(spark, table.path, table.stored_schema)
-    kept = rows.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION))
-    for r in rows.select(BUCKET, VERSION).distinct().join(kept, [BUCKET, VERSION], "left_anti").toLocalIterator():
-        drop_path(spark, f"{table.path}/{BUCKET}={r[BUCKET]}/{VERSION}={r[VERSION]}")
+    fresh = feed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns], *extra)
+    if table.sequence:
+        mark = table.mark(spark)
+        fresh = fresh if mark is None else fresh.where(F.col(table.sequence) > F.lit(mark))
+    # At most ``buckets`` small numbers; as literals they prune the partitions before the scan starts.
+    touched = sorted(r[0] for r in fresh.select(table.bucket_of(table.key)).distinct().collect())
+    if not touched:
+        return
+    current = table.stored(spark).where(F.col(BUCKET).isin(touched)).select(*table.schema.names)
+    merged = chg.merge_changes(current, fresh, table.key, table.update_columns, run_ts, table.stamp_column, table.sequence)
+    with job_scope(spark):
+        beside = staged(merged.withColumn(BUCKET, table.bucket_of(table.key)), "merged")
+        replace_partitions(beside, table.path, [BUCKET])
+        # The overwrite leaves a partition alone that has no rows any more.
+        held = {r[0] for r in beside.select(BUCKET).distinct().collect()}
+        for bucket in touched:
+            if bucket not in held:
+                drop_path(spark, f"{table.path}/{BUCKET}={bucket}")
+    if table.sequence:
+        # Last, so that a batch that failed before is taken again whole.
+        reached = fresh.agg(F.max(table.sequence).cast("bigint").alias("mark")).withColumn("merged_at", naive(run_ts))
+        reached.write.mode("append").parquet(table.marks_path)
 
 
 def run_cdc_stream(
@@ -103,11 +107,10 @@ def run_cdc_stream(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Tested for rows, then netted and searched for buckets; keep it instead of reading the source again.
+        # Searched for partitions, then merged; keep it instead of reading the source again.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if not batch.isEmpty():
-                merge_batch(batch, batch_id, table, run_ts)
+            merge_batch(batch, table, run_ts)
         finally:
             batch.unpersist()
 

@@ -1,38 +1,54 @@
-"""Daily summary fed by a stream of movements."""
+"""Daily summary fed by a stream of movements or of their changes."""
 
 from __future__ import annotations
 
+import json
 import posixpath
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from opsflow.plans.summary import COUNTED_TYPES, KEYS, read_state, refresh_table, summary_state
-from opsflow.schemas import SUMMARY_STATE
+from opsflow.plans.summary import COUNTED_TYPES, KEYS, fold
+from opsflow.schemas import SUMMARY_FEED
 from opsflow.sources.tables import read_or_empty
 
 
-def run_summary_stream(movements: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Writes each micro-batch's sums and counts to its own folder.
+def run_summary_stream(
+    rows: DataFrame, path: str, checkpoint: str, sequence: str | None = None, every: str | None = None, grain: str = "month"
+) -> StreamingQuery:
+    """Folds each micro-batch into the stored summary.
 
-    Sums merge, so no state is held between batches and a late row is never
-    dropped. A repeated batch overwrites its own folder.
+    A stream with an action column is a change feed: what it deletes is taken off again, and
+    an update takes off the old row and adds the new one. No state is held between
+    batches, and a late row is never dropped. ``sequence`` names a column of numbers that
+    ascend over the source, which makes the summary independent of the checkpoint. Without
+    one, the batch numbers stand for it, and the summary refuses any checkpoint but its first.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        refresh_table(path, summary_state(batch), batch_id)
-
-    writer = movements.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+        if sequence is None:
+            require_same_feed(batch.sparkSession, path, checkpoint)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fold(path, batch, F.col(sequence) if sequence else F.lit(batch_id), grain)
+        finally:
+            batch.unpersist()
+
+    writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def compact_summary(spark: SparkSession, path: str, target: str, schema: StructType = SUMMARY_STATE) -> DataFrame:
-    """Writes the merged state as the first folder of a new path, from which the next stream goes on."""
-    state = read_state(spark, path, schema)
-    state.write.mode("error").parquet(posixpath.join(target, "batch_id=-1"))
-    return read_or_empty(spark, target, schema)
+def require_same_feed(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Notes which checkpoint feeds ``path`` and fails if another one did before: its batch numbers mean other rows."""
+    own = json.loads(spark.read.text(posixpath.join(checkpoint, "metadata")).first()[0])["id"]
+    known = read_or_empty(spark, f"{path}-feed", SUMMARY_FEED).first()
+    if known is None:
+        spark.createDataFrame([(own,)], SUMMARY_FEED).write.parquet(f"{path}-feed")
+    elif known.feed != own:
+        raise ValueError(f"{path} is fed under another checkpoint")
 
 
 def windowed_summary(movements: DataFrame, lateness: str = "2 days") -> DataFrame:
@@ -63,9 +79,13 @@ def windowed_summary(movements: DataFrame, lateness: str = "2 days") -> DataFram
 
 
 def run_windowed_stream(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Writes each micro-batch's changed windows to its own folder, the days still open included."""
+    """Writes each micro-batch's changed windows to its own folder, the days still open included.
+
+    The folders are told apart by batch numbers, so ``path`` refuses a second checkpoint.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        require_same_feed(batch.sparkSession, path, checkpoint)
         batch.write.mode("overwrite").parquet(posixpath.join(path, f"batch_id={batch_id}"))
 
     writer = windows.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -3,11 +3,12 @@ from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from helpers import D, plan, rows, ts
+from helpers import D, by_key, plan, rows, ts
 from opsflow.context import RunContext
-from opsflow.operators import flatten, layout, masking
+from opsflow.operators import flatten, intervals, layout, masking, sketches
 from opsflow.plans import reports
 from opsflow.schemas import DELIVERY_LOG
 from opsflow.session import job_scope, scale_settings, shared_dir, staged
@@ -96,6 +97,32 @@ def test_flatten_object_of_lines(spark):
     assert rows(flatten.flatten_lines(orders)) == [("o", "A", D(1), None), ("o", "B", None, None)]
 
 
+def test_a_rerun_without_rows_keeps_the_stored_report(spark, tables, tmp_path):
+    root, log = str(tmp_path / "out"), str(tmp_path / "log")
+    first = reports.run_report(spark, reports.CATALOGUE[0], tables, RUN, root, log)
+    stored = rows(spark.read.parquet(reports.output_path(root, reports.CATALOGUE[0], RUN)))
+    empty = {**tables, "inventory_snapshot": tables["inventory_snapshot"].where("false")}
+    assert (first, reports.run_report(spark, reports.CATALOGUE[0], empty, RUN, root, log)) == ("SUCCESS", "NO_DATA")
+    assert rows(spark.read.parquet(reports.output_path(root, reports.CATALOGUE[0], RUN))) == stored != []
+
+
+def test_governed_view_follows_the_session_role(spark, tmp_path):
+    spark.createDataFrame([("a@b@c.com", 1), (None, 2), ("plain", 3)], "email string, id int").write.parquet(str(tmp_path / "v"))
+    masking.declare_role(spark)
+    masking.create_email_mask(spark, "opsflow_mask", {"DATA_ADMIN", "O'Hara"})
+    masking.governed_view(spark, "opsflow_governed", f"parquet.`{tmp_path}/v`", ["email", "id"], {"email": "opsflow_mask"})
+    hidden, clear = [("****@c.com", 1), ("plain", 3), (None, 2)], [("a@b@c.com", 1), ("plain", 3), (None, 2)]
+    sorted_hidden, sorted_clear = sorted(hidden, key=repr), sorted(clear, key=repr)
+    assert rows(spark.table("opsflow_governed")) == sorted_hidden  # no role yet
+    for role, wanted in (("GUEST", sorted_hidden), ("DATA_ADMIN", sorted_clear), ("O'Hara", sorted_clear), ("' OR true --", sorted_hidden)):
+        masking.set_role(spark, role)
+        assert rows(spark.sql("SELECT * FROM opsflow_governed")) == wanted
+    masking.set_role(spark, "GUEST")
+    # A filter on the column sees the mask too.
+    assert spark.sql("SELECT * FROM opsflow_governed WHERE email LIKE 'a@%'").isEmpty()
+    spark.catalog.dropTempView("opsflow_governed")
+
+
 def test_masking_by_role(spark):
     df = spark.createDataFrame([("a@b@c.com", 1), (None, 2), ("plain", 3)], "email string, id int")
     policy = {"email": masking.email_policy({"DATA_ADMIN"})}
@@ -115,17 +142,18 @@ def stock(spark):
     )
 
 
-def test_clustered_files_overlap_less(spark, stock, tmp_path):
+def test_clustered_files_follow_each_other(spark, stock, tmp_path):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         stock.repartition(8).write.parquet(str(tmp_path / "loose"))
         layout.write_clustered(stock, str(tmp_path / "tight"), ["d", "w"], spread_by=["id"])
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    loose = layout.layout_report(spark.read.parquet(str(tmp_path / "loose")), ["d", "w"]).first()
-    tight = layout.layout_report(spark.read.parquet(str(tmp_path / "tight")), ["d", "w"]).first()
-    assert loose["max_depth"] == 8 and loose["row_count"] == tight["row_count"] == 20_000
-    assert tight["average_depth"] < 2.01 and tight["file_count"] > 4
+    loose = layout.files_in_order(spark.read.parquet(str(tmp_path / "loose")), ["d", "w", "id"]).first()
+    tight = layout.files_in_order(spark.read.parquet(str(tmp_path / "tight")), ["d", "w", "id"]).first()
+    assert (loose.file_count, loose.in_order) == (8, False)
+    assert tight.file_count > 4 and tight.in_order
+    assert layout.files_in_order(stock.where("false"), ["d"]).first().in_order
 
 
 def test_one_value_is_cut_over_files(spark, stock, tmp_path):
@@ -139,26 +167,51 @@ def test_one_value_is_cut_over_files(spark, stock, tmp_path):
     assert files.where("low.w = 'HOT' and high.w = 'HOT'").count() >= 3
 
 
-def test_overlap_depth_by_hand(spark):
-    ranges = spark.createDataFrame([("a", 1, 5), ("b", 3, 8), ("c", 5, 6), ("d", 9, 9), ("e", 9, 9)], "file string, low int, high int")
-    got = {r["file"]: r["depth"] for r in layout.overlap_depth(ranges.withColumn("row_count", F.lit(1))).collect()}
-    assert got == {"a": 1, "b": 2, "c": 3, "d": 2, "e": 2}
+def test_overlap_by_hand(spark):
+    spans = spark.createDataFrame([("a", 1, 5), ("b", 3, 8), ("c", 5, 6), ("d", 9, 9), ("e", 9, 9), ("f", None, None)], "name string, low int, high int")
+    got = {r["name"]: r["depth"] for r in intervals.with_overlap(spans, "low", "high").collect()}
+    assert got == {"a": 1, "b": 2, "c": 3, "d": 2, "e": 2, "f": 1}
+
 
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 6)), min_size=1, max_size=20))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_overlap_equals_all_pairs(spark, spans):
+    numbered = [(i, low, low + length) for i, (low, length) in enumerate(spans)]
+    got = {r.i: r.depth for r in intervals.with_overlap(spark.createDataFrame(numbered, "i int, low int, high int"), "low", "high").collect()}
+    assert got == {i: sum(a <= low <= b for _, a, b in numbered) for i, low, _ in numbered}
 
-def test_bucketed_tables_join_without_a_shuffle(spark, stock):
-    for name in ("opsflow_left", "opsflow_right"):
-        layout.write_bucketed(stock.select("id", "w"), name, 4, ["id"])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+def test_bucketed_tables_join_and_group_without_a_shuffle(spark, stock, tmp_path):
+    names = ["opsflow_left", "opsflow_right"]
+    for name in names:
+        layout.write_bucketed(stock.select("id", "w"), name, 4, ["id"], path=str(tmp_path / name))
     try:
-        joined = spark.table("opsflow_left").join(spark.table("opsflow_right").withColumnRenamed("w", "v"), "id")
-        assert "Exchange" not in plan(joined)
-        assert joined.count() == 20_000
+        joined = layout.join_bucketed(spark.table(names[0]), spark.table(names[1]).withColumnRenamed("w", "v"), ["id"])
+        grouped = joined.groupBy("id", "w").agg(F.count("v").alias("n"))
+        for df in (joined, grouped):
+            assert "Exchange" not in plan(df) and "SortMergeJoin" in plan(df)
+        assert grouped.count() == 20_000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        for name in ("opsflow_left", "opsflow_right"):
+        for name in names:
             spark.sql(f"DROP TABLE {name}")
 
 
+def test_sketches_merge_over_any_window(spark):
+    rows_in = spark.range(60_000).select(
+        (F.col("id") % 4).alias("g"), (F.col("id") % 6).alias("month"), (F.col("id") % 24_000).alias("order_id"),
+    ).union(spark.createDataFrame([(9, 1, None), (8, 1, 5), (8, 2, 5)], "g long, month long, order_id long"))
+    stored = sketches.distinct_sketches(rows_in, ["g", "month"], "order_id")
+    for months in ([1], [1, 2, 3], [0, 1, 2, 3, 4, 5]):
+        inside = rows_in.where(F.col("month").isin(months))
+        exact = by_key(inside.groupBy("g").agg(F.count_distinct("order_id").alias("n")), "g", "n")
+        got = by_key(sketches.merged_counts(stored.where(F.col("month").isin(months)), ["g"], "n"), "g", "n")
+        assert got.keys() == exact.keys()
+        assert all(abs(got[g] - exact[g]) <= 4 * sketches.STANDARD_ERROR * exact[g] for g in exact)
+    assert max(map(len, by_key(stored, "g", "sketch").values())) < 6000
+    checked = spark.createDataFrame([(104, 100), (110, 100), (0, 0)], "estimate long, exact long")
+    assert [r[0] for r in checked.select(sketches.within("estimate", "exact")).collect()] == [True, False, True]
+
+
 def test_shared_dir_must_be_named(spark):
     context = SimpleNamespace(master="local[2]", getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError):

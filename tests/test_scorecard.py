@@ -3,7 +3,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import D, by_key, plan
+from helpers import D, by_key, plan, rows
 from opsflow.plans import scorecard
 
 AS_OF = date(2024, 5, 15)
@@ -137,3 +137,17 @@ def test_line_measures_share_one_aggregate(spark):
     text = plan(scorecard.supplier_measures(scorecard.recent_lines(df, AS_OF), AS_OF))
     # The distinct count runs on its own: nothing expands the measures per distinct column.
     assert "Expand" not in text
+
+
+def test_orders_are_counted_apart_and_only_where_asked(spark, tmp_path):
+    spark.createDataFrame([line(i % 3, i) for i in range(9)] + [line(None, 2), line(2, None)], PO).write.parquet(str(tmp_path / "po"))
+    lines = scorecard.recent_lines(spark.read.parquet(str(tmp_path / "po")), AS_OF)
+    counted = scorecard.supplier_measures(lines, AS_OF)
+    plain = scorecard.supplier_measures(lines, AS_OF, count_orders=False)
+    # Without the count one row a supplier and task is shuffled, and orders are not even read.
+    text, texts = plan(plain), plan(counted)
+    assert text.count("Exchange hashpartitioning") == 1 and "hashpartitioning(supplier_id" in text and "po_id" not in text
+    # With it, what is shuffled by order are the two columns alone.
+    wide = [part.split(")")[0] for part in texts.split("Exchange hashpartitioning(")[1:]]
+    assert sum("po_id" in part for part in wide) == 1
+    assert "total_pos" not in plain.columns and rows(plain) == rows(counted.drop("total_pos"))

@@ -1,11 +1,12 @@
 from datetime import date
 
+import pytest
 from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from helpers import D, by_key, plan, rows, ts
 from opsflow.operators import changes as chg
-from opsflow.plans import close, summary
+from opsflow.plans import close, close_script, summary
 from opsflow.schemas import MONTHLY_CLOSE
 
 MOVES = (
@@ -61,15 +62,16 @@ def test_stored_summary_takes_each_batch_once(spark, tmp_path):
     path = str(tmp_path / "s")
     content = {i: (1 + i % 3, "A", "RECEIPT", i, 1) for i in range(6)}
     before = moves(spark, content)
-    summary.refresh_table(path, summary.summary_state(before), 0)
-    first = sorted((tmp_path / "s" / "batch_id=0").iterdir())
+    summary.fold(path, before, F.lit(0), "day")
+    files = {d.name: sorted(d.iterdir()) for d in (tmp_path / "s").glob("period=*")}
     # Day 1 loses all its rows, day 3 gains one.
     after = moves(spark, {**{i: m for i, m in content.items() if m[0] != 1}, 9: (3, "B", "SHIPMENT", 4, 2)})
-    delta = summary.state_of_changes(chg.changes(before, after, "id"))
     for _ in range(2):
-        summary.refresh_table(path, delta, 1)
+        summary.fold(path, chg.changes(before, after, "id"), F.lit(1), "day")
     assert rows(summary.summary_view(summary.read_state(spark, path))) == rows(summary.daily_summary(after))
-    assert sorted((tmp_path / "s" / "batch_id=0").iterdir()) == first
+    # Only the days that changed were written again.
+    kept = [name for name in files if sorted((tmp_path / "s" / name).iterdir()) == files[name]]
+    assert len(files) == 3 and len(kept) == 1
 
 
 def test_recent_days_newest_first(spark):
@@ -106,6 +108,52 @@ def test_close_twice_gives_the_same_table(spark, tmp_path):
     assert stamps == {"2024-01": ts("2024-02-05"), "2024-02": ts("2024-03-01")}
 
 
+def test_a_month_that_has_lost_its_movements_keeps_its_last_close(spark, tmp_path):
+    staging, table = str(tmp_path / "s"), str(tmp_path / "c")
+    df = spark.createDataFrame([(1, ts("2024-01-05 00:00:00"), "W", "A", "C", "X", D(2), D(3))], MOVES)
+    close.monthly_close(spark, df, 2024, 1, staging, table, ts("2024-02-01"))
+    close.monthly_close(spark, df.where("false"), 2024, 1, staging, table, ts("2024-02-09"))
+    got = spark.read.schema(MONTHLY_CLOSE).parquet(table)
+    assert rows(got, "sku_id", "net_qty", "updated_at") == [("A", D(2), ts("2024-02-01"))]
+    close.monthly_close(spark, df.where("false"), 2024, 3, staging, table, ts("2024-04-01"))
+    assert spark.read.schema(MONTHLY_CLOSE).parquet(table).count() == 1
+
+
+def test_close_script_equals_the_close(spark, tmp_path):
+    data = [
+        (1, ts("2024-01-31 23:59:59.999999"), "W", "A", "C", "X", D(2), D(3)),
+        (2, ts("2024-02-01 00:00:00"), "W", "A", "C", "X", D(5), D(1)),
+        (3, ts("2024-01-05 00:00:00"), "W", "B", "C", "X", None, D(1)),
+        (4, ts("2024-01-05 00:00:00"), "W'; DROP", "B", "C", "X", D(1), D(1)),
+    ]
+    names = [f"opsflow_script_{n}" for n in ("close", "staging", "merged")]
+    close_script.create_close_tables(spark, *names, str(tmp_path / "script"))
+    spark.createDataFrame(data, MOVES).createOrReplaceTempView("opsflow_script_moves")
+
+    def both(content, year, month, stamp):
+        df = spark.createDataFrame(content, MOVES)
+        df.createOrReplaceTempView("opsflow_script_moves")
+        messages = {
+            close_script.run_close_script(spark, "opsflow_script_moves", *names, year, month, ts(stamp)),
+            close.monthly_close(spark, df, year, month, str(tmp_path / "s"), str(tmp_path / "c"), ts(stamp)),
+        }
+        assert messages == {f"Monthly close for {year}-{month:02d} completed successfully."}
+        wanted = spark.read.schema(MONTHLY_CLOSE).parquet(str(tmp_path / "c"))
+        assert rows(spark.table(names[0]).select(*MONTHLY_CLOSE.names)) == rows(wanted.select(*MONTHLY_CLOSE.names)) != []
+
+    try:
+        both(data[:2], 2024, 1, "2024-02-01")
+        both(data, 2024, 2, "2024-03-01")
+        both(data, 2024, 1, "2024-03-02")
+        both(data, 2024, 7, "2024-08-01")
+        with pytest.raises(RuntimeError, match="Monthly close for 2024-01 failed"):
+            close_script.run_close_script(spark, "opsflow_no_such_view", *names, 2024, 1, ts("2024-04-01"))
+    finally:
+        spark.catalog.dropTempView("opsflow_script_moves")
+        for name in names:
+            spark.sql(f"DROP TABLE {name}")
+
+
 def test_month_range_reaches_the_scan(spark, tmp_path):
     moves(spark, {1: (1, "A", "RECEIPT", 1, 1)}).write.parquet(str(tmp_path / "m"))
     text = plan(close.close_rows(spark.read.parquet(str(tmp_path / "m")), 2024, 1))

@@ -96,26 +96,28 @@ def fold(path: str, rows: DataFrame, sequence: Column, grain: str = "month") ->
     it. Groups without rows stay stored, as the mark of a partition must outlive its rows.
     """
     spark = rows.sparkSession
-    counted = rows.where(F.col("transaction_type").isin(*COUNTED_TYPES)).withColumns(
-        {"_period": _period(F.to_date("transaction_date"), grain), "_number": sequence.cast("bigint")}
-    )
-    # One row for each partition touched.
-    touched = counted.groupBy("_period").agg(F.max("_number").alias("upto")).collect()
-    if not touched:
-        return
-    stored = read_or_empty(spark, path, SUMMARY_STATE).where(F.col("period").isin([r["_period"] for r in touched]))
-    marks = stored.groupBy(F.col("period").alias("_of")).agg(F.max("applied").alias("_mark"))
-    fresh = counted.join(marks, F.col("_period") == F.col("_of"), "left").where(
-        F.col("_mark").isNull() | (F.col("_number") > F.col("_mark"))
-    )
-    delta = state_of_changes(fresh) if ACTION in rows.columns else summary_state(fresh)
-    kept = [F.col(c).cast(SUMMARY_STATE[c].dataType).alias(c) for c in (*KEYS, *PARTS)]
-    summed = _summed(stored.select(*KEYS, *PARTS).unionByName(delta.select(*kept))).withColumn("period", _period(F.col("snapshot_day"), grain))
-    upto = F.lit(max(r.upto for r in touched))
-    folded = summed.join(marks, F.col("period") == F.col("_of"), "left").select(
-        *[F.greatest("_mark", upto).alias(c) if c == "applied" else F.col(c) for c in SUMMARY_STATE.names]
+    signs = [ACTION] if ACTION in rows.columns else []
+    counted = rows.where(F.col("transaction_type").isin(*COUNTED_TYPES)).select(
+        "transaction_date", *KEYS[1:], "transaction_type", "quantity", "unit_cost", *signs,
+        _period(F.to_date("transaction_date"), grain).alias("_period"), sequence.cast("bigint").alias("_number"),
     )
     with job_scope(spark):
+        counted = staged(counted, "counted")  # searched for its periods, then folded
+        # One row for each partition touched.
+        touched = counted.groupBy("_period").agg(F.max("_number").alias("upto")).collect()
+        if not touched:
+            return
+        stored = read_or_empty(spark, path, SUMMARY_STATE).where(F.col("period").isin([r["_period"] for r in touched]))
+        marks = stored.groupBy(F.col("period").alias("_of")).agg(F.max("applied").alias("_mark"))
+        fresh = counted.join(marks, F.col("_period") == F.col("_of"), "left").where(
+            F.col("_mark").isNull() | (F.col("_number") > F.col("_mark"))
+        )
+        delta = state_of_changes(fresh) if signs else summary_state(fresh)
+        kept = [F.col(c).cast(SUMMARY_STATE[c].dataType).alias(c) for c in (*KEYS, *PARTS)]
+        summed = _summed(stored.select(*KEYS, *PARTS).unionByName(delta.select(*kept)))
+        upto = F.lit(max(r.upto for r in touched))
+        folded = summed.withColumn("period", _period(F.col("snapshot_day"), grain)).join(marks, F.col("period") == F.col("_of"), "left")
+        folded = folded.select(*[F.greatest("_mark", upto).alias(c) if c == "applied" else F.col(c) for c in SUMMARY_STATE.names])
         replace_partitions(staged(folded, "folded"), path, ["period"])
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from opsflow.session import staged
 
-ROWS_AT_ONCE = 1 << 15
+# Rows and bytes that are gathered before they are worked, beyond the unit that they end in.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 15, 64 << 20
 
 
 def deal(rows: DataFrame, keys: list[str], salt: str, tile: int, band: str | None = None) -> DataFrame:
@@ -63,7 +64,7 @@ def compare(dealt: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndar
         for batch in batches:
             if batch.num_rows:
                 held.append(batch)
-            if sum(b.num_rows for b in held) >= ROWS_AT_ONCE:
+            if sum(b.num_rows for b in held) >= ROWS_AT_ONCE or sum(b.nbytes for b in held) >= BYTES_AT_ONCE:
                 rows = pa.Table.from_batches(held)
                 starts = _starts(rows, unit)
                 held = rows.slice(starts[-1]).combine_chunks().to_batches()

@@ -171,3 +171,21 @@ def test_vectors_of_one_id_are_linked_each_by_its_own(spark):
         df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
         got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect())
     assert got == [(1, 1, 1), (1, 2, 1), (1, 3, 1), (2, 1, 1), (3, 3, 1), (4, 3, 1), (5, 2, 1), (6, 2, 1), (9, 3, 1)]
+
+
+def test_pairs_at_the_threshold_are_found_and_none_below(spark):
+    """Pairs planted just above and just below cosine 0.95, far from each other; the hashing misses 0.3 % of the first."""
+    random = np.random.default_rng(95)
+    rows, above = [], 600
+    for pair in range(2 * above):
+        cosine = 0.9501 if pair < above else 0.9499
+        axis, other = np.linalg.qr(random.standard_normal((64, 2)))[0].T
+        near = cosine * axis + np.sqrt(1 - cosine**2) * other
+        rows += [(2 * pair, (axis * 3).tolist()), (2 * pair + 1, (near * 0.01).tolist())]
+    with job_scope(spark):
+        got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), threshold=0.95).collect()
+    assert len(got) == 4 * above
+    assert all(r.n_links == 0 and r.kept for r in got if r.vec_id >= 2 * above)
+    found = [r for r in got if r.vec_id < 2 * above and r.n_links]
+    assert all(r.n_links == 1 and r.component_id == r.vec_id // 2 * 2 for r in found)
+    assert len(found) / (2 * above) >= 0.985

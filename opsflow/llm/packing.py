@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from opsflow.llm.tokens import encoder
 
+BYTES_AT_ONCE = 8 << 20
+
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each item; items of equal length keep their order."""
@@ -57,19 +59,27 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text: str, capacity: in
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            of, starts, ids, totals = [], [], [], []
-            for row, body in enumerate(encode.encode_all(batch.column(1).to_pylist())):
+            of, starts, ids, totals, held = [], [], [], [], 0
+            # Texts are taken one by one and pieces handed on at ``BYTES_AT_ONCE``, whatever a batch holds.
+            for row, body in enumerate(encode.encode_all(t.as_py() for t in batch.column(1))):
                 body += end
                 for start in range(0, len(body), 4 * capacity):
                     of.append(row)
                     starts.append(start // 4)
                     ids.append(body[start : start + 4 * capacity])
                     totals.append(len(body) // 4)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(of, pa.int64())), pa.array(starts, pa.int64()),
-                 pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
-                ["piece_id", "start", "length", "ids", "doc_tokens"],
-            )
+                held += len(body)
+                if held >= BYTES_AT_ONCE:
+                    yield cut_of(batch, of, starts, ids, totals)
+                    of, starts, ids, totals, held = [], [], [], [], 0
+            yield cut_of(batch, of, starts, ids, totals)
+
+    def cut_of(batch: pa.RecordBatch, of: list, starts: list, ids: list, totals: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(of, pa.int64())), pa.array(starts, pa.int64()),
+             pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
+            ["piece_id", "start", "length", "ids", "doc_tokens"],
+        )
 
     schema = f"piece_id {kind}, start long, length long, ids binary, doc_tokens long"
     return docs.select(F.col(id_col), F.col(text)).mapInArrow(cut, schema)

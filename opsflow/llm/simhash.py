@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wo
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], np.uint64)
+            values = np.array([fingerprint(t.as_py(), words) for t in batch.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(values.view(np.int64))], ["id", "text_key", "fingerprint"]
             )

@@ -62,7 +62,7 @@ def write_documents(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_
             )
 
         for batch in batches:
-            for doc_id, body in zip(batch.column(0).to_pylist(), encode.encode_all(batch.column(1).to_pylist())):
+            for doc_id, body in zip(batch.column(0).to_pylist(), encode.encode_all(t.as_py() for t in batch.column(1))):
                 ids.append(doc_id)
                 bodies.append(body + end)
                 held += len(body) // 4 + 1

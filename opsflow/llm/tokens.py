@@ -6,8 +6,9 @@ worker therefore keeps the ids of the pieces it has met, and only new ones go to
 library's model, in the byte letters that its first step would give them. This holds for texts of Latin letters and ASCII signs without
 unusual white space; every other text, and every text under another kind of tokenizer
 file, is encoded by the library as it stands. Where white space counts for nothing, words
-are kept with the signs beside them, and a text is just split at its blanks. The cache is
-bounded: when one generation of pieces is full the one before it is dropped.
+are kept with the signs beside them, and a text is just split at its blanks. Texts are cut
+and pieces looked up a few megabytes at a time, on arrays. The cache is bounded: when one
+generation of pieces is full the one before it is dropped.
 """
 
 from __future__ import annotations
@@ -16,16 +17,22 @@ import json
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 PLAIN = re.compile(rf"[\n -~{LETTERS}]*")
 # How the two vocabularies cut texts, for the letters above.
 WORD_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
-BYTE_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+# Between texts and between pieces; no plain text holds it.
+GAP = "\0"
 PIECES_KEPT = 300_000
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 21
 
 
 def _byte_letters() -> str:
@@ -37,18 +44,65 @@ def _byte_letters() -> str:
 BYTE_LETTERS = _byte_letters()
 
 
-class _Pieces(dict):
-    """Ids of pieces, found when they are first asked for."""
+# What the bytes of a plain text are; those of two-byte characters are letters all.
+IN_GAP, SPACE, LINE_END, LETTER, DIGIT, SIGN = range(6)
+BYTE_KINDS = np.full(256, LETTER, np.uint8)
+for _byte in range(128):
+    if not chr(_byte).isalpha():
+        BYTE_KINDS[_byte] = {0: IN_GAP, 32: SPACE, 10: LINE_END}.get(_byte, DIGIT if chr(_byte).isdigit() else SIGN)
+
+
+def byte_starts(text: np.ndarray) -> np.ndarray:
+    """Whether a piece starts at each byte, as the byte vocabulary cuts: ``'(?:[stmd]|re|ve|ll)| ?[letters]+| ?[0-9]+| ?[signs]+|\\s+(?!\\S)|\\s+``.
+
+    Texts end with a gap, which is a piece of its own.
+    """
+    kind = BYTE_KINDS[text]
+    before, after = np.append(np.uint8(IN_GAP), kind[:-1]), np.append(kind[1:], np.uint8(IN_GAP))
+    blank, behind_blank = (kind == SPACE) | (kind == LINE_END), (before == SPACE) | (before == LINE_END)
+    # A run takes one space before it; what blanks are left are one piece, or two where a line end stands last.
+    starts = np.where(blank, ~behind_blank | (after >= LETTER), (kind != before) & (before != SPACE))
+    starts |= kind == IN_GAP
+    starts |= before == IN_GAP
+    quote = np.flatnonzero((text == ord("'")) & starts)
+    first, second = text[quote + 1], text[np.minimum(quote + 2, len(text) - 1)]
+    one = np.isin(first, np.frombuffer(b"stmd", np.uint8))
+    two = ((first == ord("r")) | (first == ord("v"))) & (second == ord("e")) | (first == ord("l")) & (second == ord("l"))
+    starts[quote[one | two] + 1] = False
+    starts[quote[one] + 2] = True
+    starts[quote[two] + 3] = True
+    return starts
+
+
+def word_starts(text: np.ndarray) -> np.ndarray:
+    """Whether a word or a run of blanks starts at each byte; a gap is a piece of its own."""
+    kind = np.minimum(BYTE_KINDS[text], LETTER)
+    kind[kind == LINE_END] = SPACE
+    return (kind != np.append(np.uint8(IN_GAP), kind[:-1])) | (kind == IN_GAP)
 
-    def __init__(self, find, older: dict[str, bytes]):
-        self.find, self.older = find, older
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self.older.get(piece)
-        if found is None:
-            found = self.find(piece)
-        self[piece] = found
-        return found
+class _Pieces:
+    """Distinct pieces, and how many ids each has of ``flat``, where they lie one after the other; a gap has none."""
+
+    def __init__(self, older: _Pieces | None):
+        self.pieces, self.sizes, self.flat = pa.array([GAP], pa.string()), np.zeros(1, np.int32), np.zeros(0, "<u4")
+        self.older = older
+
+    def __len__(self) -> int:
+        return len(self.pieces) - 1
+
+    def add(self, pieces: pa.Array, sizes: np.ndarray, flat: np.ndarray) -> None:
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.sizes, self.flat = np.append(self.sizes, sizes), np.append(self.flat, flat)
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids for each of the places, and all their ids."""
+        counts = self.sizes[places]
+        # Where a piece's ids lie in ``flat``, less where they come to lie.
+        shift = (np.cumsum(self.sizes) - self.sizes)[places] - (np.cumsum(counts) - counts)
+        at = np.repeat(shift, counts)
+        at += np.arange(len(at))
+        return counts, self.flat[at]
 
 
 class Encoder:
@@ -63,8 +117,7 @@ class Encoder:
         self.specials = [t["content"] for t in described.get("added_tokens", [])]
         self.kind = _kind(described)
         self.model = self.tokenizer.model
-        self.find = self._by_pieces if self.kind == "word" else self._by_model
-        self.pieces = _Pieces(self.find, {})
+        self.pieces = _Pieces(_Pieces(None))
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order; a null text has none."""
@@ -77,29 +130,66 @@ class Encoder:
                 held, chars = [], 0
         yield from self._encode(held)
 
-    def _cut(self, text: str) -> list[str] | None:
-        """The text's pieces if they can be encoded apart, else None."""
-        if self.kind is None or not PLAIN.fullmatch(text) or any(s in text for s in self.specials):
-            return None
-        return text.lower().split() if self.kind == "word" else BYTE_PIECES.findall(text)
+    def _plain(self, text: str) -> bool:
+        """Whether the text's pieces can be encoded apart."""
+        return self.kind is not None and PLAIN.fullmatch(text) is not None and not any(s in text for s in self.specials)
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self._cut(t) for t in texts]
-        whole = iter(self._by_library([t for t, pieces in zip(texts, cut) if pieces is None]))
+        plain = [self._plain(t) for t in texts]
+        whole = iter(self._by_library([t for t, own in zip(texts, plain) if not own]))
+        apart = self._by_pieces([t for t, own in zip(texts, plain) if own])
+        for own in plain:
+            yield next(apart) if own else next(whole)
+
+    def _by_pieces(self, texts: list[str]) -> Iterator[bytes]:
+        if not texts:
+            return
         if len(self.pieces) > PIECES_KEPT:
-            self.pieces.older = {}
-            self.pieces = _Pieces(self.find, self.pieces)
-        ids_of = self.pieces.__getitem__
-        for pieces in cut:
-            yield next(whole) if pieces is None else b"".join(map(ids_of, pieces))
-
-    def _by_pieces(self, word: str) -> bytes:
-        pieces = WORD_PIECES.findall(word)
-        return self._by_model(word) if len(pieces) == 1 else b"".join(map(self.pieces.__getitem__, pieces))
-
-    def _by_model(self, piece: str) -> bytes:
-        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_LETTERS))
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            self.pieces.older = None
+            self.pieces = _Pieces(self.pieces)
+        joined = GAP.join([*texts, ""])
+        data = (joined.lower() if self.kind == "word" else joined).encode()
+        body = np.frombuffer(data, np.uint8)
+        starts = np.flatnonzero((word_starts if self.kind == "word" else byte_starts)(body))
+        offsets = np.append(starts, len(body)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        self._learn(pieces.dictionary)
+        known = pc.index_in(pieces.dictionary, value_set=self.pieces.pieces).to_numpy()
+        counts, ids = self.pieces.ids(known[pieces.indices.to_numpy()])
+        ends = 4 * np.cumsum(counts, dtype=np.int64)[body[starts] == ord(GAP)]
+        run, start = ids.tobytes(), 0
+        for stop in ends.tolist():
+            yield run[start:stop]
+            start = stop
+
+    def _learn(self, distinct: pa.Array) -> None:
+        """Brings the pieces into the cache, from its older part or from the model."""
+        kept, older = self.pieces, self.pieces.older
+        new = distinct.filter(pc.invert(pc.is_in(distinct, value_set=kept.pieces)))
+        if older is not None and len(older):
+            places = pc.index_in(new, value_set=older.pieces)
+            kept.add(new.filter(places.is_valid()), *older.ids(places.drop_null().to_numpy()))
+            new = new.filter(places.is_null())
+        if len(new):
+            words = new.to_pylist()
+            kept.add(new, *(self._by_words(words) if self.kind == "word" else self._by_model(words)))
+
+    def _by_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word with its signs, or run of blanks, and all their ids."""
+        parts = [WORD_PIECES.findall(word) for word in words]
+        sizes, flat = self._by_model([p for found in parts for p in found])
+        held = np.append(0, np.cumsum([len(found) for found in parts]))
+        return np.diff(np.append(0, np.cumsum(sizes))[held]).astype(np.int32), flat
+
+    def _by_model(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each piece, and all their ids."""
+        if not pieces:
+            return np.zeros(0, np.int32), np.zeros(0, "<u4")
+        letters = GAP.join(pieces).encode().decode("latin-1").translate(BYTE_LETTERS).split(BYTE_LETTERS[ord(GAP)])
+        tokenize = self.model.tokenize
+        found = [[t.id for t in tokenize(piece)] for piece in letters]
+        sizes = np.fromiter(map(len, found), np.int32, len(found))
+        return sizes, np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))
 
     def _by_library(self, texts: list[str]) -> list[bytes]:
         if not texts:

@@ -1,13 +1,15 @@
+import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from samples import LONG, awkward, clashing
 
-from opsflow.llm import packing, repair, token_files
+from opsflow.llm import packing, repair, token_files, tokens
 from opsflow.llm.tokens import Encoder, encoder
 from opsflow.session import job_scope, work_path
 
@@ -39,6 +41,46 @@ def test_bounded_caches(monkeypatch):
     assert len(own.pieces) + len(own.pieces.older) <= 200
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aZé09 \n'!.strevl", max_size=30), max_size=4))
+def test_bytes_are_cut_as_the_pattern_says(batch):
+    cutter = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zé]+| ?[0-9]+| ?[^\sA-Za-z0-9é]+|\s+(?!\S)|\s+")
+    wanted = [piece for text in batch for piece in [*cutter.findall(text), tokens.GAP]]
+    data = "".join(text + tokens.GAP for text in batch).encode()
+    if data:
+        at = np.append(np.flatnonzero(tokens.byte_starts(np.frombuffer(data, np.uint8))), len(data)).tolist()
+        assert [data[a:b].decode() for a, b in zip(at, at[1:])] == wanted
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_kept_pieces_take_little_memory(path):
+    own, letters = Encoder(path), "abcdefghijklmnopqrstuvwxyz"
+    text = " ".join(a + b + c + a for a in letters for b in letters for c in letters)
+    assert b"".join(own.encode_all([text])) == np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    kept = own.pieces.pieces.nbytes + own.pieces.sizes.nbytes + own.pieces.flat.nbytes
+    assert len(own.pieces) >= len(letters) ** 3 and kept < 40 * len(own.pieces)
+
+
+def test_pieces_are_handed_on_before_a_batch_is_done(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BYTES_AT_ONCE", 4000)
+    seen = []
+
+    class Docs:
+        dtypes = [("doc_id", "bigint"), ("text", "string")]
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, cut, schema):
+            batch = pa.RecordBatch.from_pydict({"doc_id": list(range(50)), "text": ["many words " * 50] * 50})
+            monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 1000)
+            seen.extend(cut(iter([batch])))
+
+    packing.pieces(Docs(), BYTE, "doc_id", "text", 2048, 1)
+    assert len(seen) >= 5 and max(b.column("ids").nbytes for b in seen) < 20_000
+    assert [i for b in seen for i in b.column("piece_id").to_pylist()] == list(range(50))
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=400), st.integers(0, 400), st.integers(0, 400), st.sampled_from([6, 49_408, 65_000, 200_000]))
 def test_grammar_round_trip_and_random_access(run, start, stop, base):

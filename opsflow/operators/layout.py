@@ -44,6 +44,12 @@ def write_rebalanced(
     placed.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def buckets_for(*tables: DataFrame, bucket_rows: int = 1 << 20, least: int = 8) -> int:
+    """A power of two of buckets, alike for tables that are to be joined, that gives about ``bucket_rows`` rows to one or fewer."""
+    wanted = max(least, -(-sum(t.count() for t in tables) // bucket_rows))
+    return 1 << (wanted - 1).bit_length()
+
+
 def write_bucketed(
     df: DataFrame, table: str, buckets: int, keys: Sequence[str], mode: str = "overwrite", path: str | None = None
 ) -> None:

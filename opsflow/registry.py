@@ -988,8 +988,10 @@ def layout_bucketed_join(spark, sf):
     names = {n: _table_name(n) for n in ("orders", "lines")}
     orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("order_key"), "o_custkey", "o_orderstatus")
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_orderkey").alias("order_key"), "l_quantity", "l_linenumber")
+    # Both tables need the same number of buckets; it follows from the rows, so that a task's bucket does not grow with them.
+    buckets = layout.buckets_for(orders, lines)
     for name, rows in (("orders", orders), ("lines", lines)):
-        layout.write_bucketed(rows, names[name], 8, ["order_key"], path=work_path(spark, f"bucketed-{name}"))
+        layout.write_bucketed(rows, names[name], buckets, ["order_key"], path=work_path(spark, f"bucketed-{name}"))
     joined = layout.join_bucketed(spark.table(names["orders"]), spark.table(names["lines"]), ["order_key"])
     result = joined.groupBy("order_key", "o_custkey", "o_orderstatus").agg(
         F.count("*").alias("line_count"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity")

@@ -196,6 +196,14 @@ def test_bucketed_tables_join_and_group_without_a_shuffle(spark, stock, tmp_path
             spark.sql(f"DROP TABLE {name}")
 
 
+def test_buckets_follow_the_rows(spark):
+    some, none = spark.range(20_000), spark.range(0)
+    assert layout.buckets_for(some, none) == layout.buckets_for(none, none) == 8
+    assert layout.buckets_for(some, some, bucket_rows=1000) == 64
+    assert layout.buckets_for(some.union(some), some.union(some), bucket_rows=1000) == 128
+    assert layout.buckets_for(some, bucket_rows=9000, least=1) == 4
+
+
 def test_sketches_merge_over_any_window(spark):
     rows_in = spark.range(60_000).select(
         (F.col("id") % 4).alias("g"), (F.col("id") % 6).alias("month"), (F.col("id") % 24_000).alias("order_id"),

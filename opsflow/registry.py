@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, IntegerType, StructField, StructType
 
 from opsflow.context import RunContext, months_back
 from opsflow.functions.text import starts_with_match
@@ -507,38 +507,73 @@ def merge_changes(spark, sf):
     return _fact_values(chg.merge_changes(_fact(before, EARLIER_TS), feed, FACT_KEY, FACT_UPDATES, RUN_TS))
 
 
+def _store_by_commit(feed, folder, commits):
+    """A change feed computed once and dealt out by key to so many commits, each a folder of as many files as its rows need."""
+    dealt = feed.withColumn("commit", F.pmod(F.xxhash64(FACT_KEY), F.lit(commits)).cast("int") + 1)
+    # The rebalance gathers small commits in few files and leaves a large one to many tasks.
+    dealt.hint("rebalance", F.col("commit")).write.partitionBy("commit").parquet(folder)
+
+
+def _commits_of(spark, folder, commits, schema):
+    """The commits of ``_store_by_commit`` in their order; each has its rows, of which there may be none."""
+    stored = spark.read.schema(StructType([*schema, StructField("commit", IntegerType())])).parquet(folder)
+    return [stored.where(F.col("commit") == c).drop("commit") for c in range(1, commits + 1)]
+
+
+def _drain(commits, folder, run):
+    """Every commit is appended to the stream's folder, in its own files, and drained: whatever their number, they are one micro-batch."""
+    for rows in commits:
+        rows.write.mode("append").parquet(folder)
+        run()
+
+
+def _files_of_a_fourth(spark, folder):
+    """Files a micro-batch, to read a folder in about four."""
+    return max(1, len(spark.read.parquet(folder).inputFiles()) // 4)
+
+
 def _stream_fact(spark, sf, sequence=None):
-    """The older version as a fact table, and the feed to the newer one as a stream of four files."""
+    """The older version as a fact table, the feed to the newer one in four commits, and the folder they are streamed from."""
     before, after = _versions(spark, sf)
     root = work_path(spark, "cdc")
     table = cdc.FactTable(posixpath.join(root, "fact"), INVENTORY_FACT, FACT_KEY, FACT_UPDATES, buckets=8, sequence=sequence)
     images = before.withColumns({chg.ACTION: F.lit("INSERT"), chg.IS_UPDATE: F.lit(False)})
     cdc.merge_batch(images.withColumn("commit_id", F.lit(0)) if sequence else images, table, EARLIER_TS)
     feed = chg.changes(before, after, FACT_KEY)
-    folder = posixpath.join(root, "feed")
-    if not sequence:
-        # Both images of an update must reach the same micro-batch, hence the same file.
-        feed.repartition(4, FACT_KEY).write.parquet(folder)
-    for commit in range(1, 5) if sequence else ():
-        part = feed.where(F.pmod(F.xxhash64(FACT_KEY), F.lit(4)) == commit - 1).withColumn("commit_id", F.lit(commit))
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return table, load.file_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1), root
+    # Both images of an update have one key, so they reach the same commit and micro-batch.
+    _store_by_commit(feed, posixpath.join(root, "changes"), 4)
+    commits = _commits_of(spark, posixpath.join(root, "changes"), 4, feed.schema)
+    if sequence:
+        commits = [rows.withColumn("commit_id", F.lit(number)) for number, rows in enumerate(commits, 1)]
+    return table, commits, root
 
 
 @query
 def cdc_stream(spark, sf):
     """The same merge, fed by a file stream in several micro-batches."""
-    table, source, root = _stream_fact(spark, sf)
-    cdc.run_cdc_stream(source, table, posixpath.join(root, "checkpoint"), RUN_TS).awaitTermination()
+    table, commits, root = _stream_fact(spark, sf)
+    folder = posixpath.join(root, "feed")
+
+    def run():
+        source = load.file_stream(spark, folder, commits[0].schema)
+        cdc.run_cdc_stream(source, table, posixpath.join(root, "checkpoint"), RUN_TS).awaitTermination()
+
+    _drain(commits, folder, run)
     return _fact_values(table.read(spark))
 
 
 @query
 def cdc_stream_restarted(spark, sf):
     """The same again, and then once more from the start under a fresh checkpoint, a month later: nothing may change."""
-    table, source, root = _stream_fact(spark, sf, sequence="commit_id")
-    for checkpoint, stamp in (("first", RUN_TS), ("second", datetime(2024, 2, 29))):
+    table, commits, root = _stream_fact(spark, sf, sequence="commit_id")
+    folder = posixpath.join(root, "feed")
+
+    def run(checkpoint, stamp, files_per_batch=None):
+        source = load.file_stream(spark, folder, commits[0].schema, files_per_batch)
         cdc.run_cdc_stream(source, table, posixpath.join(root, checkpoint), stamp).awaitTermination()
+
+    _drain(commits, folder, lambda: run("first", RUN_TS))
+    run("second", datetime(2024, 2, 29), _files_of_a_fourth(spark, folder))
     return _fact_values(table.read(spark))
 
 
@@ -711,12 +746,16 @@ def daily_summary_change_stream(spark, sf):
     folder, path = posixpath.join(root, "feed"), posixpath.join(root, "summary")
     images = before.withColumns({chg.ACTION: F.lit("INSERT"), chg.IS_UPDATE: F.lit(False)})
     feed = chg.changes(before, after, FACT_KEY)
-    third = F.pmod(F.xxhash64(FACT_KEY), F.lit(3))
-    for commit, rows in enumerate([images, *[feed.where(third == i) for i in range(3)]]):
-        rows.withColumn("commit_id", F.lit(commit)).coalesce(1).write.mode("append").parquet(folder)
-    source = load.file_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1)
-    for checkpoint in ("first", "second"):
+    _store_by_commit(feed, posixpath.join(root, "changes"), 3)
+    commits = [images.select(feed.columns), *_commits_of(spark, posixpath.join(root, "changes"), 3, feed.schema)]
+    commits = [rows.withColumn("commit_id", F.lit(number)) for number, rows in enumerate(commits)]
+
+    def run(checkpoint, files_per_batch=None):
+        source = load.file_stream(spark, folder, commits[0].schema, files_per_batch)
         summary_stream.run_summary_stream(source, path, posixpath.join(root, checkpoint), "commit_id").awaitTermination()
+
+    _drain(commits, folder, lambda: run("first"))
+    run("second", _files_of_a_fourth(spark, folder))
     return _summary_view(summary.read_state(spark, path))
 
 

@@ -5,6 +5,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from helpers import D, day, plan, rows, ts
+from opsflow import registry
 from opsflow.operators import changes as chg, versions
 from opsflow.plans import etl, summary
 from opsflow.registry import QUERIES
@@ -304,3 +305,40 @@ def test_event_stream_reads_a_table_of_part_files(spark, tmp_path, name):
     with job_scope(spark):
         wanted = rows(QUERIES[name](spark, SF))
         assert wanted and rows(QUERIES[name](spark, str(tmp_path))) == wanted
+
+
+def test_a_commit_of_many_files_is_one_micro_batch(spark, tmp_path):
+    on = day("2024-01-05")
+    commits = [
+        spark.createDataFrame([moved(0, "INSERT", on, D(i), sku=f"S{i}") for i in range(40)], CHANGES).repartition(4),
+        spark.createDataFrame([moved(1, "DELETE", on, D(i), sku=f"S{i}") for i in range(0, 40, 2)], CHANGES).repartition(3),
+    ]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run(checkpoint, files=None):
+        source = load.file_stream(spark, folder, commits[0].schema, files)
+        stream_summary.run_summary_stream(source, out, str(tmp_path / checkpoint), "commit_id").awaitTermination()
+
+    registry._drain(commits, folder, lambda: run("first"))
+    assert len(spark.read.parquet(folder).inputFiles()) == 7
+    assert sorted(f.name for f in (tmp_path / "first" / "commits").glob("[0-9]*")) == ["0", "1"]
+    wanted = sorted((f"S{i}", D(i)) for i in range(1, 40, 2))
+    assert rows(summary.read_state(spark, out), "sku_id", "total_received") == sorted(wanted, key=repr)
+    run("second", registry._files_of_a_fourth(spark, folder))
+    assert len([*(tmp_path / "second" / "commits").glob("[0-9]*")]) == 7
+    assert rows(summary.read_state(spark, out), "sku_id", "total_received") == sorted(wanted, key=repr)
+
+
+def test_a_large_commit_is_written_by_many_tasks(spark, tmp_path):
+    asked = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    feed = spark.range(40_000).select(F.col("id").alias("transaction_id"), F.sha2(F.col("id").cast("string"), 256).alias("body"))
+    before = spark.conf.get(asked)
+    spark.conf.set(asked, "100k")
+    try:
+        registry._store_by_commit(feed, str(tmp_path / "changes"), 2)
+    finally:
+        spark.conf.set(asked, before)
+    for commit in (1, 2):
+        assert len([*(tmp_path / "changes" / f"commit={commit}").glob("*.parquet")]) > 3
+    commits = registry._commits_of(spark, str(tmp_path / "changes"), 2, feed.schema)
+    assert rows(commits[0].union(commits[1])) == rows(feed) and all(c.count() > 15_000 for c in commits)

@@ -5,9 +5,9 @@ encoded independently of each other, so a text's ids are its pieces' ids in orde
 worker therefore keeps the ids of the pieces it has met, and only new ones go to the
 library's model, in the byte letters that its first step would give them. This holds for texts of Latin letters and ASCII signs without
 unusual white space; every other text, and every text under another kind of tokenizer
-file, is encoded by the library as it stands. Where white space counts for nothing, words
-are kept with the signs beside them, and a text is just split at its blanks. Texts are cut
-and pieces looked up a few megabytes at a time, on arrays. The cache is bounded: when one
+file, is encoded by the library as it stands. Texts are cut and pieces looked up a few
+megabytes at a time, on arrays; where white space counts for nothing it is left out first.
+The cache finds pieces by their hashes, compares them whole, and is bounded: when one
 generation of pieces is full the one before it is dropped.
 """
 
@@ -26,7 +26,6 @@ import pyarrow.compute as pc
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 PLAIN = re.compile(rf"[\n -~{LETTERS}]*")
 # How the two vocabularies cut texts, for the letters above.
-WORD_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 # Between texts and between pieces; no plain text holds it.
@@ -64,6 +63,22 @@ def byte_starts(text: np.ndarray) -> np.ndarray:
     starts = np.where(blank, ~behind_blank | (after >= LETTER), (kind != before) & (before != SPACE))
     starts |= kind == IN_GAP
     starts |= before == IN_GAP
+    _cut_contractions(text, starts)
+    return starts
+
+
+def word_starts(text: np.ndarray) -> np.ndarray:
+    """Whether a piece starts at each byte, as the word vocabulary cuts (``WORD_SPLIT``); runs of blanks and gaps are pieces of their own."""
+    kind = BYTE_KINDS[text]
+    kind[kind == LINE_END] = SPACE
+    starts = kind != np.append(np.uint8(IN_GAP), kind[:-1])
+    starts |= (kind == DIGIT) | (kind == IN_GAP)
+    _cut_contractions(text, starts)
+    return starts
+
+
+def _cut_contractions(text: np.ndarray, starts: np.ndarray) -> None:
+    """Makes ``'(?:[stmd]|re|ve|ll)`` a piece where a piece starts with it."""
     quote = np.flatnonzero((text == ord("'")) & starts)
     first, second = text[quote + 1], text[np.minimum(quote + 2, len(text) - 1)]
     one = np.isin(first, np.frombuffer(b"stmd", np.uint8))
@@ -71,29 +86,42 @@ def byte_starts(text: np.ndarray) -> np.ndarray:
     starts[quote[one | two] + 1] = False
     starts[quote[one] + 2] = True
     starts[quote[two] + 3] = True
-    return starts
-
-
-def word_starts(text: np.ndarray) -> np.ndarray:
-    """Whether a word or a run of blanks starts at each byte; a gap is a piece of its own."""
-    kind = np.minimum(BYTE_KINDS[text], LETTER)
-    kind[kind == LINE_END] = SPACE
-    return (kind != np.append(np.uint8(IN_GAP), kind[:-1])) | (kind == IN_GAP)
 
 
 class _Pieces:
-    """Distinct pieces, and how many ids each has of ``flat``, where they lie one after the other; a gap has none."""
+    """Distinct pieces, and how many ids each has of ``flat``, where they lie one after the other; a gap has none.
+
+    ``hashes`` ascend, and ``places`` tells whose each is. Pieces of equal hash are told apart
+    whole: only the first is found again, which costs time but never gives another's ids.
+    """
 
     def __init__(self, older: _Pieces | None):
         self.pieces, self.sizes, self.flat = pa.array([GAP], pa.string()), np.zeros(1, np.int32), np.zeros(0, "<u4")
+        self.hashes, self.places = np.array([hash(GAP)], np.int64), np.zeros(1, np.int32)
         self.older = older
 
     def __len__(self) -> int:
         return len(self.pieces) - 1
 
-    def add(self, pieces: pa.Array, sizes: np.ndarray, flat: np.ndarray) -> None:
+    def find(self, pieces: pa.Array, hashes: np.ndarray) -> np.ndarray:
+        """Place of each of the pieces, or -1."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        maybe = np.flatnonzero(self.hashes[at] == hashes)
+        places = self.places[at[maybe]]
+        same = pc.equal(pieces.take(pa.array(maybe)), self.pieces.take(pa.array(places))).to_numpy(zero_copy_only=False)
+        found = np.full(len(pieces), -1, np.int64)
+        found[maybe[same]] = places[same]
+        return found
+
+    def add(self, pieces: pa.Array, hashes: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """Keeps the pieces with their ids, and gives their places."""
+        places = np.arange(len(self.pieces), len(self.pieces) + len(pieces), dtype=np.int32)
         self.pieces = pa.concat_arrays([self.pieces, pieces])
         self.sizes, self.flat = np.append(self.sizes, sizes), np.append(self.flat, flat)
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[order], side="right")
+        self.hashes, self.places = np.insert(self.hashes, at, hashes[order]), np.insert(self.places, at, places[order])
+        return places
 
     def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids for each of the places, and all their ids."""
@@ -148,43 +176,40 @@ class Encoder:
             self.pieces.older = None
             self.pieces = _Pieces(self.pieces)
         joined = GAP.join([*texts, ""])
-        data = (joined.lower() if self.kind == "word" else joined).encode()
-        body = np.frombuffer(data, np.uint8)
-        starts = np.flatnonzero((word_starts if self.kind == "word" else byte_starts)(body))
+        if self.kind == "word":
+            body = np.frombuffer(joined.lower().encode(), np.uint8)
+            solid = (body != ord(" ")) & (body != ord("\n"))
+            starts, body = np.flatnonzero(word_starts(body)[solid]), body[solid]
+        else:
+            body = np.frombuffer(joined.encode(), np.uint8)
+            starts = np.flatnonzero(byte_starts(body))
         offsets = np.append(starts, len(body)).astype(np.int32)
-        pieces = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        self._learn(pieces.dictionary)
-        known = pc.index_in(pieces.dictionary, value_set=self.pieces.pieces).to_numpy()
-        counts, ids = self.pieces.ids(known[pieces.indices.to_numpy()])
+        pieces = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
+        counts, ids = self.pieces.ids(self._places(pieces.dictionary)[pieces.indices.to_numpy()])
         ends = 4 * np.cumsum(counts, dtype=np.int64)[body[starts] == ord(GAP)]
         run, start = ids.tobytes(), 0
         for stop in ends.tolist():
             yield run[start:stop]
             start = stop
 
-    def _learn(self, distinct: pa.Array) -> None:
-        """Brings the pieces into the cache, from its older part or from the model."""
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """Places of the pieces in the cache, which takes new ones from its older part or from the model."""
         kept, older = self.pieces, self.pieces.older
-        new = distinct.filter(pc.invert(pc.is_in(distinct, value_set=kept.pieces)))
-        if older is not None and len(older):
-            places = pc.index_in(new, value_set=older.pieces)
-            kept.add(new.filter(places.is_valid()), *older.ids(places.drop_null().to_numpy()))
-            new = new.filter(places.is_null())
+        words = distinct.to_numpy(zero_copy_only=False)
+        hashes = np.fromiter(map(hash, words), np.int64, len(words))
+        places = kept.find(distinct, hashes)
+        new = np.flatnonzero(places < 0)
+        if len(new) and older is not None:
+            before = older.find(distinct.take(pa.array(new)), hashes[new])
+            seen = new[before >= 0]
+            places[seen] = kept.add(distinct.take(pa.array(seen)), hashes[seen], *older.ids(before[before >= 0]))
+            new = new[before < 0]
         if len(new):
-            words = new.to_pylist()
-            kept.add(new, *(self._by_words(words) if self.kind == "word" else self._by_model(words)))
-
-    def _by_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each word with its signs, or run of blanks, and all their ids."""
-        parts = [WORD_PIECES.findall(word) for word in words]
-        sizes, flat = self._by_model([p for found in parts for p in found])
-        held = np.append(0, np.cumsum([len(found) for found in parts]))
-        return np.diff(np.append(0, np.cumsum(sizes))[held]).astype(np.int32), flat
+            places[new] = kept.add(distinct.take(pa.array(new)), hashes[new], *self._by_model(words[new].tolist()))
+        return places
 
     def _by_model(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each piece, and all their ids."""
-        if not pieces:
-            return np.zeros(0, np.int32), np.zeros(0, "<u4")
         letters = GAP.join(pieces).encode().decode("latin-1").translate(BYTE_LETTERS).split(BYTE_LETTERS[ord(GAP)])
         tokenize = self.model.tokenize
         found = [[t.id for t in tokenize(piece)] for piece in letters]

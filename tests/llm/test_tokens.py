@@ -41,6 +41,48 @@ def test_bounded_caches(monkeypatch):
     assert len(own.pieces) + len(own.pieces.older) <= 200
 
 
+class _Asked:
+    """A model that notes what it is asked for."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, []
+
+    def tokenize(self, piece):
+        self.asked.append(piece)
+        return self.model.tokenize(piece)
+
+
+def test_words_are_encoded_once_whatever_signs_stand_beside_them(monkeypatch):
+    own = Encoder(WORD)
+    own.model = _Asked(own.model)
+    batch = ["Rare rare, (rare) rare! it's", "rare; \"rare\" rare?! 'rare 10 01 it's", "RARE\nrare's"]
+    wanted = [e.ids for e in own.tokenizer.encode_batch(batch, add_special_tokens=False)]
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 10)
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.encode_all(batch)] == wanted
+    assert len(own.model.asked) == len(set(own.model.asked)) and "rare" in own.model.asked
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_pieces_of_equal_hash_are_told_apart(path, monkeypatch):
+    monkeypatch.setattr(tokens, "hash", len, raising=False)
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 10)
+    monkeypatch.setattr(tokens, "PIECES_KEPT", 20)
+    own, batch = Encoder(path), ["one two six", "ten two one!", "old new six ten", *(f"w{i} {i % 7}" for i in range(40))] * 2
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.encode_all(batch)] == [
+        e.ids for e in own.tokenizer.encode_batch(batch, add_special_tokens=False)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aZé09 \n'!.strevlmd", max_size=30), max_size=4))
+def test_words_are_cut_as_the_pattern_says(batch):
+    cutter = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-zé]+|[0-9]|[^\sa-z0-9é]+|\s+")
+    wanted = [piece for text in batch for piece in [*cutter.findall(text.lower()), tokens.GAP]]
+    data = "".join(text.lower() + tokens.GAP for text in batch).encode()
+    if data:
+        at = np.append(np.flatnonzero(tokens.word_starts(np.frombuffer(data, np.uint8))), len(data)).tolist()
+        assert [data[a:b].decode() for a, b in zip(at, at[1:])] == wanted
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text("aZé09 \n'!.strevl", max_size=30), max_size=4))
 def test_bytes_are_cut_as_the_pattern_says(batch):
